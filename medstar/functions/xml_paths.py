@@ -74,20 +74,16 @@ def parse_path(path: str) -> tuple[Step, ...]:
     return tuple(steps)
 
 
-def _to_local_names(root) -> None:
-    """Rewrite every ``{namespace}name`` tag to ``name``, once per tree."""
-    for el in root.iter():
-        tag = el.tag
-        if tag[0] == "{":
-            el.tag = tag[tag.index("}") + 1:]
-
+# Tags are "{namespace}name" or "name"; a step matches the local name.
 
 def _child(nodes, name):
-    return [c for n in nodes for c in n if c.tag == name]
+    sfx = "}" + name
+    return [c for n in nodes for c in n if c.tag == name or c.tag.endswith(sfx)]
 
 
 def _desc(nodes, name):
-    return [d for n in nodes for d in n.iter(name)]
+    sfx = "}" + name
+    return [d for n in nodes for d in n.iter() if d.tag == name or d.tag.endswith(sfx)]
 
 
 def _attr(nodes, name) -> list[str]:
@@ -109,6 +105,20 @@ def select(nodes: list, steps: Sequence[Step]):
     return nodes
 
 
+def _element_set(root, steps: tuple, cache: dict) -> list:
+    """Node set of element-only ``steps`` from the root, memoised per
+    document by path prefix (fields share their leading steps)."""
+    if not steps:
+        return [root]
+    hit = cache.get(steps)
+    if hit is None:
+        prev = _element_set(root, steps[:-1], cache)
+        s = steps[-1]
+        hit = _child(prev, s.name) if s.axis == "child" else _desc(prev, s.name)
+        cache[steps] = hit
+    return hit
+
+
 def node_text(node) -> str:
     return "".join(node.itertext())
 
@@ -185,15 +195,16 @@ class Field:
     def __post_init__(self):
         object.__setattr__(self, "steps", parse_path(self.path))
 
-    def evaluate(self, root) -> str:
+    def evaluate(self, root, cache: dict | None = None) -> str:
         steps = self.steps
+        cache = {} if cache is None else cache
+        last = steps[-1]
+        elem_steps = steps[:-1] if last.axis == "attr" else steps
+        elems = _element_set(root, elem_steps, cache)
         if self.node_filter is not None:
             # filter the element set, then take the attribute step
-            elems = select([root], steps[:-1])
             elems = [e for e in elems if self.node_filter(e, self.name)]
-            result = select(elems, steps[-1:])
-        else:
-            result = select([root], steps)
+        result = _attr(elems, last.name) if last.axis == "attr" else elems
         if self.mode == "head":
             if not result:
                 raise Reject(f"{self.name}: no single match for {self.path}")
@@ -216,13 +227,13 @@ def parse_document(content: str):
         root = ET.fromstring(content)
     except ET.ParseError as e:
         raise Reject(f"content: malformed XML ({e})") from None
-    _to_local_names(root)    # comments and PIs are not kept by the parser
-    return root
+    return root               # comments and PIs are not kept by the parser
 
 
 def evaluate_fields(content: str, fields: Sequence[Field]) -> dict:
     root = parse_document(content)
-    return {f.name: f.evaluate(root) for f in fields}
+    cache: dict = {}
+    return {f.name: f.evaluate(root, cache) for f in fields}
 
 
 # ------------------------------------------------- the Arrow UDF ----------
@@ -248,7 +259,7 @@ def extract_udf(fields: Sequence[Field], on_error: str = "reject"):
 
     @F.pandas_udf(result_schema(fields))
     def _extract(content: pd.Series) -> pd.DataFrame:
-        rows = []
+        cols = {n: [] for n in names}
         for doc in content:
             try:
                 out = evaluate_fields(doc, fields)
@@ -258,10 +269,13 @@ def extract_udf(fields: Sequence[Field], on_error: str = "reject"):
                     raise
                 out = dict(empty)
                 out["err"] = str(e)
-            rows.append(out)
-        return pd.DataFrame(rows, columns=names)
+            for n in names:
+                cols[n].append(out[n])
+        return pd.DataFrame(cols, columns=names)
 
-    return _extract
+    # Declared non-deterministic so Catalyst never copies the call into a
+    # pushed-down filter: each document is parsed exactly once per plan.
+    return _extract.asNondeterministic()
 
 
 def extract(content: Column | str, fields: Sequence[Field],

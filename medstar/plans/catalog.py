@@ -26,7 +26,7 @@ def queryable_columns(spark: SparkSession, project: str) -> DataFrame:
     """Q8: ``(table_name, column_name, data_type, ordinal)`` of a project."""
     rows = []
     for t in spark.catalog.listTables(project):
-        for i, c in enumerate(spark.catalog.listColumns(t.name, project)):
+        for i, c in enumerate(spark.catalog.listColumns(f"{project}.{t.name}")):
             rows.append((t.name, c.name, c.dataType, i))
     return spark.createDataFrame(
         rows, "table_name string, column_name string, data_type string, ordinal int")
