@@ -48,12 +48,12 @@ def _ingested(spark: SparkSession, sf_dir: str) -> WideTable:
 
 def q_header_extract(spark, sf_dir):
     docs = order_documents(spark, sf_dir)
-    return X.good(X.extract_header(docs, keep=("path",), engine="jvm"))
+    return X.good(X.extract_header(docs, keep=("path",), engine="exact"))
 
 
-def q_header_extract_exact(spark, sf_dir):
+def q_header_extract_jvm(spark, sf_dir):
     docs = order_documents(spark, sf_dir)
-    return X.good(X.extract_header(docs, keep=("path",), engine="exact"))
+    return X.good(X.extract_header(docs, keep=("path",), engine="jvm"))
 
 
 def q_fact_extract(spark, sf_dir):
@@ -291,7 +291,7 @@ def q_partitioned_table(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "header_extract": q_header_extract,
-    "header_extract_exact": q_header_extract_exact,
+    "header_extract_jvm": q_header_extract_jvm,
     "fact_extract": q_fact_extract,
     "fact_rejects": q_fact_rejects,
     "range_scan": q_range_scan,
@@ -417,7 +417,7 @@ _TABLE_LIST = ", ".join(f"'{t}'" for t in "region nation customer supplier part
 
 ORACLE: dict[str, str] = {
     "header_extract": _HEADER_SQL,
-    "header_extract_exact": _HEADER_SQL,
+    "header_extract_jvm": _HEADER_SQL,
     "fact_extract": _DOC_VALUES + f"SELECT path, {_FACT_SELECT} FROM d WHERE first_supp IS NOT NULL",
     "fact_rejects": _DOC_VALUES + """
         SELECT path, 'outSickId' AS field,

@@ -22,7 +22,7 @@ HEADER_CELLS = {
 
 
 def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version: int,
-                     rejects_table: str | None = None, engine: str = "jvm",
+                     rejects_table: str | None = None, engine: str = "exact",
                      on_error: str = "reject") -> WideTable:
     """Documents ``(path, content)`` -> header cells + whole content as
     batch ``version`` of the wide document table.
