@@ -89,7 +89,8 @@ class CubeStore:
         if not versions:
             return {}
         latest = max(versions)
-        rows = self.spark.read.json(f"{self._meta_path()}/{latest}").collect()
+        rows = self.spark.read.schema("name string, body string") \
+            .json(f"{self._meta_path()}/{latest}").collect()
         return {r["name"]: CubeDef.from_row(r["body"]) for r in rows}
 
     def _save(self, cubes: dict[str, CubeDef]) -> None:

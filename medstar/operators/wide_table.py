@@ -31,7 +31,7 @@ DOCUMENT_FAMILIES = {
 }
 # ---------------------------------------------------------------------------
 
-DEFAULT_BUCKETS = 8
+DEFAULT_BUCKETS = None      # -> spark.sql.shuffle.partitions at creation
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -58,9 +58,16 @@ class WideTable:
     @classmethod
     def create(cls, spark: SparkSession, name: str,
                families: Mapping[str, Sequence[str]] = DOCUMENT_FAMILIES,
-               location: str | None = None, buckets: int = DEFAULT_BUCKETS) -> "WideTable":
-        """Ensure the table (K7): create it when absent, once, on the driver."""
+               location: str | None = None, buckets: int | None = DEFAULT_BUCKETS
+               ) -> "WideTable":
+        """Ensure the table (K7): create it when absent, once, on the driver.
+
+        The bucket count is fixed for the table's life; size it to the
+        cluster (default: ``spark.sql.shuffle.partitions``).
+        """
         t = cls(spark, name, families)
+        if buckets is None:
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         if not table_exists(spark, name):
             location = location or f"{shared_dir(spark)}/tables/{name}"
             fams = ", ".join(
@@ -103,9 +110,18 @@ class WideTable:
         """
         out = rows.withColumn("_version", F.lit(int(version)).cast("bigint"))
         cols = ["row_key", *self.families, "_source", "_version"]
-        (out.select(*cols).write.mode("overwrite")
+        # hash-partition by key into the bucket count first (same hash as the
+        # bucketing): each task then writes one file of one bucket, instead
+        # of every task writing a file into every bucket
+        out = out.select(*cols).repartition(self.buckets(), "row_key")
+        (out.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").insertInto(self.name))
 
+    def buckets(self) -> int:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}") \
+            .filter("col_name = 'Num Buckets'").collect()
+        return int(rows[0]["data_type"])
+
     def put_cells(self, cells: DataFrame, version: int) -> None:
         """Single-cell writes (K4): rows ``(row_key, family, qualifier, value)``.
 
