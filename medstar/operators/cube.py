@@ -196,9 +196,9 @@ class CubeStore:
         return seg
 
     def _write_segment(self, cube: CubeDef, seg: str, rows: DataFrame) -> None:
-        (rows.withColumn("segment", F.lit(seg)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("segment")
-         .parquet(self._cube_path(cube.name)))
+        # straight into the segment's own folder: replaces this segment only,
+        # whatever the session's partitionOverwriteMode
+        rows.write.mode("overwrite").parquet(f"{self._cube_path(cube.name)}/segment={seg}")
 
     def merge(self, name: str, lo: str, hi: str) -> str:
         """Q3: one segment from all segments inside ``[lo, hi)``."""

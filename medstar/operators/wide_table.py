@@ -17,6 +17,7 @@ so a row key written a million times costs one partial value per task.
 
 from __future__ import annotations
 
+import uuid
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,14 +109,21 @@ class WideTable:
 
         Rewriting the same ``version`` replaces that batch only.
         """
-        out = rows.withColumn("_version", F.lit(int(version)).cast("bigint"))
-        cols = ["row_key", *self.families, "_source", "_version"]
+        cols = ["row_key", *self.families, "_source"]
         # hash-partition by key into the bucket count first (same hash as the
         # bucketing): each task then writes one file of one bucket, instead
         # of every task writing a file into every bucket
-        out = out.select(*cols).repartition(self.buckets(), "row_key")
-        (out.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").insertInto(self.name))
+        out = rows.select(*cols).repartition(self.buckets(), "row_key")
+        # a static partition spec replaces exactly this batch, whatever the
+        # session's partitionOverwriteMode
+        view = f"_medstar_put_{uuid.uuid4().hex[:12]}"
+        out.createOrReplaceTempView(view)
+        try:
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.name} PARTITION (_version = {int(version)}) "
+                f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
+        finally:
+            self.spark.catalog.dropTempView(view)
 
     def buckets(self) -> int:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}") \

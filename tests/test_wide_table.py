@@ -70,3 +70,17 @@ def test_compaction(spark):
     t.drop_versions_below(10)
     assert t.versions() == [10]
     assert t.latest().collect() == before
+
+
+def test_batches_survive_static_overwrite_mode(spark):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        t = _t(spark)
+        rows = t.cells(_rows(spark, [("a", "t", None)]), "k", {"specific:title": "title"})
+        t.put(rows, 1)
+        t.put(rows, 2)
+        t.put(rows, 2)
+        assert t.versions() == [1, 2] and t.log().count() == 2
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
