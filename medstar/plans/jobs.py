@@ -64,3 +64,13 @@ def fact_job(wt: WideTable, key_range=INPATIENT_RANGE, on_error: str = "reject",
 def fact_rejects(wt: WideTable, key_range=INPATIENT_RANGE) -> DataFrame:
     content = inpatient_content(wt, key_range)
     return rejects(parse_fact(content, content="specific_content", keep=("row_key",)))
+
+
+def store_fact(spark: SparkSession, fact: DataFrame, table: str,
+               location: str | None = None) -> None:
+    """E2 sink: append the fact to the warehouse fact table (K12 + K9, by
+    name).  A rerun appends again, as the original JDBC append did; use a
+    batch column and overwrite it when that is not wanted."""
+    from .warehouse import append_by_name, create_fact_table
+    create_fact_table(spark, table, location)
+    append_by_name(fact.select(*FACT_COLUMNS), table)

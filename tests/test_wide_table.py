@@ -84,3 +84,24 @@ def test_batches_survive_static_overwrite_mode(spark):
         assert t.versions() == [1, 2] and t.log().count() == 2
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_ingest_fact_job_and_store(spark):
+    from medstar.plans import jobs
+    from medstar.session import scratch_path
+    from medstar.sources.documents import literal_documents
+    from tests.docs import inpatient
+    docs = literal_documents(spark, [
+        ("a.xml", inpatient(ids=('<id root="2.1" extension="RN32_001"/>',))),
+        ("b.xml", inpatient(ids=('<id root="2.1" extension="RN32_002"/>',), age="x")),
+        ("c.xml", inpatient(ids=('<id root="2.1" extension="RN31_001"/>',))),
+        ("d.xml", "<broken")])
+    rej = f"rej_{uuid.uuid4().hex[:8]}"
+    wt = jobs.ingest_documents(spark, docs, f"emr_{uuid.uuid4().hex[:8]}", 1, rejects_table=rej)
+    assert sorted(r["field"] for r in spark.table(rej).collect()) == ["content"]
+    fact = jobs.fact_job(wt)
+    assert [r["row_key"] for r in fact.collect()] == ["RN32_001"]          # range + good
+    assert [r["field"] for r in jobs.fact_rejects(wt).collect()] == ["ageId"]
+    table = f"fact_{uuid.uuid4().hex[:8]}"
+    jobs.store_fact(spark, fact, table, location=scratch_path(spark, "fact"))
+    assert spark.table(table).count() == 1
