@@ -79,6 +79,7 @@ class CubeStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._cached: tuple[str, list[dict]] | None = None   # (version, rows)
 
     # ----------------------------------------------------------- metadata --
     def _meta_path(self) -> str:
@@ -89,9 +90,11 @@ class CubeStore:
         if not versions:
             return {}
         latest = max(versions)
-        rows = self.spark.read.schema("name string, body string") \
-            .json(f"{self._meta_path()}/{latest}").collect()
-        return {r["name"]: CubeDef.from_row(r["body"]) for r in rows}
+        if self._cached is None or self._cached[0] != latest:
+            rows = self.spark.read.schema("name string, body string") \
+                .json(f"{self._meta_path()}/{latest}").collect()
+            self._cached = (latest, [{"name": r["name"], "body": r["body"]} for r in rows])
+        return {r["name"]: CubeDef.from_row(r["body"]) for r in self._cached[1]}
 
     def _save(self, cubes: dict[str, CubeDef]) -> None:
         version = f"v{time.time_ns():020d}"
@@ -99,6 +102,7 @@ class CubeStore:
         df = self.spark.createDataFrame(rows, "name string, body string") if rows else \
             self.spark.createDataFrame([], "name string, body string")
         df.coalesce(1).write.mode("overwrite").json(f"{self._meta_path()}/{version}")
+        self._cached = (version, rows)
         for old in fs.list_names(self.spark, self._meta_path()):
             if old < version:
                 fs.delete(self.spark, f"{self._meta_path()}/{old}")
@@ -147,19 +151,9 @@ class CubeStore:
                 F.max(cube.time_column).alias("last_month"),
                 F.hll_sketch_agg(cube.patient_column).alias("patients_hll")]
         if cube.grouping_sets is None:
-            grouped = fact.cube(*dims)
+            grouped = fact.cube(*dims)                       # all 2^d groupings
         else:
-            sets = ", ".join("(" + ", ".join(s) + ")" for s in cube.grouping_sets)
-            grouped = None
-            fact.createOrReplaceTempView("_medstar_cube_input")
-            agg_sql = ", ".join([
-                "count(1) AS n_visits",
-                f"min({cube.time_column}) AS first_month",
-                f"max({cube.time_column}) AS last_month",
-                f"hll_sketch_agg({cube.patient_column}) AS patients_hll"])
-            return self.spark.sql(
-                f"SELECT CAST(grouping_id() AS BIGINT) AS gid, {', '.join(dims)}, {agg_sql} "
-                f"FROM _medstar_cube_input GROUP BY GROUPING SETS ({sets})")
+            grouped = fact.groupingSets([list(s) for s in cube.grouping_sets], *dims)
         return grouped.agg(F.grouping_id().cast("bigint").alias("gid"), *aggs) \
             .select("gid", *dims, *MEASURES)
 
@@ -197,8 +191,10 @@ class CubeStore:
 
     def _write_segment(self, cube: CubeDef, seg: str, rows: DataFrame) -> None:
         # straight into the segment's own folder: replaces this segment only,
-        # whatever the session's partitionOverwriteMode
-        rows.write.mode("overwrite").parquet(f"{self._cube_path(cube.name)}/segment={seg}")
+        # whatever the session's partitionOverwriteMode; one sub-folder per
+        # cuboid, so a query reads the files of its cuboid only
+        (rows.write.mode("overwrite").partitionBy("gid")
+         .parquet(f"{self._cube_path(cube.name)}/segment={seg}"))
 
     def merge(self, name: str, lo: str, hi: str) -> str:
         """Q3: one segment from all segments inside ``[lo, hi)``."""
@@ -240,15 +236,17 @@ class CubeStore:
         self._update(cube)
 
     # -------------------------------------------------------------- reads --
+    def _schema(self, cube: CubeDef) -> str:
+        return ", ".join([f"`{d}` string" for d in cube.dimensions]
+                         + ["n_visits bigint", "first_month string", "last_month string",
+                            "patients_hll binary", "gid bigint", "segment string"])
+
     def _read_segments(self, cube: CubeDef, names: list[str]) -> DataFrame:
         base = self._cube_path(cube.name)
+        schema = self._schema(cube)
         if not names:
-            schema = ", ".join(["gid bigint"] + [f"`{d}` string" for d in cube.dimensions]
-                               + ["n_visits bigint", "first_month string",
-                                  "last_month string", "patients_hll binary",
-                                  "segment string"])
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.option("basePath", base)
+        return (self.spark.read.schema(schema).option("basePath", base)
                 .parquet(*[f"{base}/segment={n}" for n in names]))
 
     def cuboids(self, name: str) -> DataFrame:

@@ -120,3 +120,22 @@ def test_warehouse_and_catalog(spark):
     catalog.wipe_cache(spark, "METADATA", f"{project}.nation")
     with pytest.raises(ValueError):
         catalog.wipe_cache(spark, "OTHER", "x")
+
+
+def test_grouping_sets_and_cuboid_pruning(spark, fact):
+    s = CubeStore(spark, scratch_path(spark, "cubes-gs"))
+    s.define(CubeDef("g", DIMS, grouping_sets=[["genderId", "inClassId"], ["genderId"]]))
+    s.build("g", fact, JAN95, JAN97)
+    gids = sorted(r["gid"] for r in s.cuboids("g").select("gid").distinct().collect())
+    assert gids == [0, 1]                       # no grand total, no class-only cuboid
+    got = sorted(tuple(r) for r in s.query("g", ["genderId"]).select("genderId", "n_visits")
+                 .collect())
+    want = sorted(tuple(r) for r in fact.groupBy("genderId").agg(F.count(F.lit(1))).collect())
+    assert got == want
+    # a class-only question is answered from the (gender, class) cuboid
+    by_class = {r["inClassId"]: r["n_visits"] for r in s.query("g", ["inClassId"]).collect()}
+    assert sum(by_class.values()) == fact.count()
+    with pytest.raises(ValueError):
+        s.query("g", [], where={"ageId": "1"})            # not a dimension
+    plan = s.cuboids("g").filter("gid = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(gid" in plan
