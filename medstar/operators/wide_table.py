@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
+from ..sources import fs
 
 # ---- fixed values: the document table of the original jobs --------------
 DOCUMENT_FAMILIES = {
@@ -150,8 +151,15 @@ class WideTable:
     def log(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def location(self) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}") \
+            .filter("col_name = 'Location'").collect()
+        return rows[0]["data_type"]
+
     def versions(self) -> list[int]:
-        return sorted(r[0] for r in self.log().select("_version").distinct().collect())
+        """Batch numbers present, from the partition folders (no data read)."""
+        names = fs.list_names(self.spark, self.location(), hidden=True)
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("_version="))
 
     def latest(self, cells: Iterable[str] | None = None,
                key_range: tuple[str | None, str | None] | None = None) -> DataFrame:
@@ -213,6 +221,11 @@ class WideTable:
         self.put(view, version)
 
     def drop_versions_below(self, version: int) -> None:
+        """Retire folded batches: catalog entry and files (the table is
+        external, so dropping the partition alone would leave the files)."""
+        loc = self.location()
         for v in self.versions():
             if v < version:
                 self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (_version={v})")
+                fs.delete(self.spark, f"{loc}/_version={v}")
+        self.spark.catalog.refreshTable(self.name)

@@ -64,5 +64,9 @@ def show_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 20) -> str:
-    """The first rows as text, on the driver; nothing prints on executors."""
-    return df._jdf.showString(n, 20, False) if hasattr(df, "_jdf") else str(df.take(n))
+    """The first ``n`` rows as text, on the driver; nothing is printed
+    inside executors (the original printed from every task)."""
+    rows = df.take(n)
+    lines = [" | ".join(df.columns)]
+    lines += [" | ".join("null" if v is None else str(v) for v in r) for r in rows]
+    return "\n".join(lines)

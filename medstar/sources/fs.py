@@ -18,13 +18,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries of a folder (empty if it does not exist)."""
+def list_names(spark: SparkSession, path: str, hidden: bool = False) -> list[str]:
+    """Names of the entries of a folder (empty if it does not exist).
+    Names starting with ``_`` or ``.`` are skipped unless ``hidden``."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(p)
-                  if not st.getPath().getName().startswith(("_", ".")))
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(n for n in names if hidden or not n.startswith(("_", ".")))
 
 
 def delete(spark: SparkSession, path: str) -> bool:

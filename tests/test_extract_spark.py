@@ -46,3 +46,21 @@ def test_udf_runs_once_per_document(spark):
     jvm = X.good(X.extract_header(_docs(spark), engine="jvm"))._jdf.queryExecution() \
         .optimizedPlan().toString()
     assert jvm.count("from_xml") == 1
+
+
+def test_engine_differences_are_the_documented_ones(spark):
+    mixed = inpatient(titles=("<title>a<b>x</b>c</title>",))
+    trailing = inpatient(tail="text after the root")
+    docs = literal_documents(spark, [("mixed.xml", mixed), ("trailing.xml", trailing)])
+    exact = {r["path"]: r for r in X.extract_header(docs, engine="exact").collect()}
+    jvm = {r["path"]: r for r in X.extract_header(docs, engine="jvm").collect()}
+    assert exact["mixed.xml"]["title"] == "axc"
+    assert jvm["mixed.xml"]["title"] == "a<b>x</b>c"
+    assert exact["trailing.xml"]["err"].startswith("content")
+    assert jvm["trailing.xml"]["err"] is None
+
+
+def test_preview_prints_on_driver(spark):
+    from medstar.plans.warehouse import preview
+    text = preview(spark.createDataFrame([("a", None)], "x string, y string"))
+    assert text.splitlines() == ["x | y", "a | null"]
