@@ -26,7 +26,6 @@ from medstar.operators import extract as X
 from medstar.operators.delimited import PLAYER_CELLS, PLAYER_FAMILIES, parse_delimited
 from medstar.operators.wide_table import WideTable
 from medstar.plans import jobs
-from medstar.sources.documents import first_document
 from medstar.sources.seed import order_documents
 from medstar.operators.cube import CubeDef, CubeStore
 from medstar.operators.item_stats import item_statistics
@@ -135,7 +134,8 @@ def q_first_document(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents").select(
         F.format_string("docs/%08d.txt", "doc_id").alias("path"),
         F.col("text").alias("content"))
-    return first_document(d).select(F.lit("row4").alias("row_key"), "path", "content")
+    wt = jobs.upload_first_document(spark, d, _name("upload"), version=1)
+    return wt.scan(["specific:content"])
 
 
 def q_row_count(spark, sf_dir):
@@ -459,8 +459,8 @@ ORACLE: dict[str, str] = {
                printf('%.2f', p_retailprice) AS cf2_salary
         FROM part WHERE p_size <= 45""",
     "first_document": """
-        SELECT 'row4' AS row_key, printf('docs/%08d.txt', doc_id) AS path, text AS content
-        FROM documents ORDER BY path LIMIT 1""",
+        SELECT 'row4' AS row_key, text AS specific_content
+        FROM documents ORDER BY printf('docs/%08d.txt', doc_id) LIMIT 1""",
     "row_count": "SELECT count(*) AS n_rows FROM documents",
     "star_join": _FACT + """
         , months AS (SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS time_id FROM orders)

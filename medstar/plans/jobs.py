@@ -74,3 +74,16 @@ def store_fact(spark: SparkSession, fact: DataFrame, table: str,
     from .warehouse import append_by_name, create_fact_table
     create_fact_table(spark, table, location)
     append_by_name(fact.select(*FACT_COLUMNS), table)
+
+
+def upload_first_document(spark: SparkSession, docs: DataFrame, table: str, version: int,
+                          row_key: str = "row4") -> WideTable:
+    """K3: the first document (by path) as the ``specific:content`` cell of
+    one fixed row.  The original took whichever document came first; here
+    the order is the path, so the result is the same on every run."""
+    from ..sources.documents import first_document
+    wt = WideTable.create(spark, table, DOCUMENT_FAMILIES)
+    first = first_document(docs)
+    wt.put(wt.cells(first, F.lit(row_key), {"specific:content": "content"}, source="path"),
+           version)
+    return wt
