@@ -31,7 +31,7 @@ from medstar.operators.cube import CubeDef, CubeStore
 from medstar.operators.item_stats import item_statistics
 from medstar.operators.star import star_join
 from medstar.plans import catalog, warehouse
-from medstar.plans.dimensions import derived_dimensions
+from medstar.plans.dimensions import derived_dimensions, dimension_frames, load_dimensions
 from medstar.session import scratch_path
 from medstar.sources.tables import read_table
 
@@ -242,6 +242,20 @@ def q_cube_listing(spark, sf_dir):
     return listing.join(counts, "name", "left")
 
 
+def q_dimension_load(spark, sf_dir):
+    """E3 into warehouse tables, read back as (dimension, key, label)."""
+    frames = dimension_frames(spark, sf_dir)
+    tables = load_dimensions(spark, frames, _name("emr_dw"), scratch_path(spark, "dims"))
+    out = None
+    for table in tables:
+        t = spark.table(table)
+        key, label = t.columns[0], t.columns[1]
+        part = t.select(F.lit(table.rsplit("t_dimension_", 1)[1]).alias("dimension"),
+                        F.col(key).alias("dim_key"), F.col(label).alias("label"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 _PROJECT_TABLES = "region,nation,customer,supplier,part,orders,lineitem"
 
 
@@ -313,6 +327,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cube_purge": q_cube_purge,
     "cube_query": q_cube_query,
     "cube_listing": q_cube_listing,
+    "dimension_load": q_dimension_load,
     "table_listing": q_table_listing,
     "table_stats": q_table_stats,
     "item_stats": q_item_stats,
@@ -508,6 +523,21 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'visits_by_class', 'emr', 'visits_by_class', 'READY', 1,
                'genderId,inClassId', c.n FROM c""",
+    "dimension_load": """
+        SELECT 'age' AS dimension, CAST(i AS VARCHAR) AS dim_key,
+               printf('%d-%d', i * 10, i * 10 + 9) AS label FROM range(15) r(i)
+        UNION ALL
+        SELECT 'gender', k, l FROM (VALUES ('0', 'unknown'), ('1', 'male'), ('2', 'female'),
+                                           ('9', 'unspecified')) g(k, l)
+        UNION ALL
+        SELECT DISTINCT 'time', strftime(o_orderdate, '%Y%m'), strftime(o_orderdate, '%Y')
+        FROM orders
+        UNION ALL
+        SELECT 'doctor', 'DR2' || CAST(s_suppkey AS VARCHAR), s_name FROM supplier
+        UNION ALL
+        SELECT 'class', printf('KS%02d', n_nationkey), n_name FROM nation
+        UNION ALL
+        SELECT 'sick', 'JB' || CAST(p_partkey AS VARCHAR), p_name FROM part""",
     "table_listing": f"""
         SELECT table_name, column_name, {_TYPE_NAMES} AS data_type,
                CAST(ordinal_position - 1 AS INTEGER) AS ordinal

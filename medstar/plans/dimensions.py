@@ -110,3 +110,27 @@ def append_jdbc(df: DataFrame, url: str, table: str, column_types: str | None =
     for k, v in login.items():
         w = w.option(k, v)
     w.save()
+
+
+def dimension_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six dimensions by their original table suffix."""
+    return {"age": age_dim(spark), "gender": gender_dim(spark),
+            "time": time_dim(spark, sf_dir), "doctor": doctor_dim(spark, sf_dir),
+            "class": class_dim(spark, sf_dir), "sick": sick_dim(spark, sf_dir)}
+
+
+def load_dimensions(spark: SparkSession, frames: dict[str, DataFrame], database: str,
+                    root: str) -> list[str]:
+    """Every dimension into ``database.t_dimension_<name>``, created when
+    absent and appended **by position** (K9, K10, U1).  Returns the tables."""
+    from .warehouse import insert_by_position
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    tables = []
+    for name, df in frames.items():
+        table = f"{database}.t_dimension_{name}"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+                  f"LOCATION '{root.rstrip('/')}/t_dimension_{name}'")
+        insert_by_position(df, table)
+        tables.append(table)
+    return tables
