@@ -299,11 +299,14 @@ def q_item_stats(spark, sf_dir):
 
 def q_partitioned_table(spark, sf_dir):
     db = _name("test_emr")
-    warehouse.create_database(spark, db)
-    table = f"{db}.t_item_index"
-    warehouse.create_item_index(spark, table, location=scratch_path(spark, "item_index"))
-    warehouse.insert_by_position(item_statistics(_scores(spark, sf_dir), FULL_MARK), table)
-    spark.sql("USE default")
+    current = spark.catalog.currentDatabase()
+    try:
+        warehouse.create_database(spark, db)
+        table = f"{db}.t_item_index"
+        warehouse.create_item_index(spark, table, location=scratch_path(spark, "item_index"))
+        warehouse.insert_by_position(item_statistics(_scores(spark, sf_dir), FULL_MARK), table)
+    finally:
+        spark.catalog.setCurrentDatabase(current)
     return _as_double(spark.table(table).filter(F.col("paper_code") == "1"))
 
 

@@ -195,12 +195,17 @@ class Field:
     def __post_init__(self):
         object.__setattr__(self, "steps", parse_path(self.path))
 
+    @property
+    def element_steps(self) -> tuple:
+        last = self.steps[-1]
+        return self.steps[:-1] if last.axis == "attr" else self.steps
+
     def evaluate(self, root, cache: dict | None = None) -> str:
-        steps = self.steps
-        cache = {} if cache is None else cache
-        last = steps[-1]
-        elem_steps = steps[:-1] if last.axis == "attr" else steps
-        elems = _element_set(root, elem_steps, cache)
+        return self.finish(_element_set(root, self.element_steps, {} if cache is None else cache))
+
+    def finish(self, elems: list) -> str:
+        """From the element set of the path to the field value."""
+        last = self.steps[-1]
         if self.node_filter is not None:
             # filter the element set, then take the attribute step
             elems = [e for e in elems if self.node_filter(e, self.name)]
@@ -218,6 +223,36 @@ class Field:
         return self.post(value) if self.post is not None else value
 
 
+class FieldPlan:
+    """A field list compiled once: every distinct path prefix becomes one
+    step in a list, so a document evaluates each prefix once, in order."""
+
+    def __init__(self, fields: Sequence[Field]):
+        self.fields = tuple(fields)
+        self.steps: list[tuple[int, str, str]] = []     # (parent, axis, name)
+        index: dict[tuple, int] = {}
+        self.refs: list[int] = []
+        for f in self.fields:
+            parent = -1
+            es = f.element_steps
+            for i in range(len(es)):
+                key = es[: i + 1]
+                if key not in index:
+                    index[key] = len(self.steps)
+                    self.steps.append((parent, es[i].axis, es[i].name))
+                parent = index[key]
+            self.refs.append(parent)
+
+    def evaluate(self, root) -> dict:
+        sets: list = []
+        top = [root]
+        for parent, axis, name in self.steps:
+            src = top if parent < 0 else sets[parent]
+            sets.append(_child(src, name) if axis == "child" else _desc(src, name))
+        return {f.name: f.finish(top if ref < 0 else sets[ref])
+                for f, ref in zip(self.fields, self.refs)}
+
+
 def parse_document(content: str):
     if content is None:
         raise Reject("content: null")
@@ -230,10 +265,9 @@ def parse_document(content: str):
     return root               # comments and PIs are not kept by the parser
 
 
-def evaluate_fields(content: str, fields: Sequence[Field]) -> dict:
-    root = parse_document(content)
-    cache: dict = {}
-    return {f.name: f.evaluate(root, cache) for f in fields}
+def evaluate_fields(content: str, fields: "Sequence[Field] | FieldPlan") -> dict:
+    plan = fields if isinstance(fields, FieldPlan) else FieldPlan(fields)
+    return plan.evaluate(parse_document(content))
 
 
 # ------------------------------------------------- the Arrow UDF ----------
@@ -254,6 +288,7 @@ def extract_udf(fields: Sequence[Field], on_error: str = "reject"):
     if on_error not in ("reject", "fail"):
         raise ValueError("on_error must be 'reject' or 'fail'")
     fields = tuple(fields)
+    plan = FieldPlan(fields)
     names = [f.name for f in fields] + ["err"]
     empty = {n: None for n in names}
 
@@ -262,7 +297,7 @@ def extract_udf(fields: Sequence[Field], on_error: str = "reject"):
         cols = {n: [] for n in names}
         for doc in content:
             try:
-                out = evaluate_fields(doc, fields)
+                out = evaluate_fields(doc, plan)
                 out["err"] = None
             except Reject as e:
                 if on_error == "fail":
