@@ -287,6 +287,20 @@ class CubeStore:
             out = out.withColumn("patients_est", F.hll_sketch_estimate("patients_hll"))
         return out.drop("patients_hll")
 
+    def register_views(self, prefix: str = "cube_") -> list[str]:
+        """Q6 (a): one temp view per READY cube (its cuboid rows, HLL sketches
+        read as estimates), so plain ``spark.sql`` text can query them."""
+        names = []
+        for c in self._load().values():
+            if c.status != "READY":
+                continue
+            view = f"{prefix}{c.name}"
+            (self.cuboids(c.name)
+             .withColumn("patients_est", F.hll_sketch_estimate("patients_hll"))
+             .drop("patients_hll").createOrReplaceTempView(view))
+            names.append(view)
+        return names
+
     # ------------------------------------------------------------ listing --
     def list_cubes(self, offset: int = 0, limit: int = 100, name_contains: str | None = None,
                    project: str | None = None) -> DataFrame:

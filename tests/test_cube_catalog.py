@@ -139,3 +139,12 @@ def test_grouping_sets_and_cuboid_pruning(spark, fact):
         s.query("g", [], where={"ageId": "1"})            # not a dimension
     plan = s.cuboids("g").filter("gid = 1")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(gid" in plan
+
+
+def test_sql_over_registered_cube_views(spark, fact):
+    s = _store(spark)
+    s.build("c", fact, JAN95, JAN97)
+    assert s.register_views(prefix=f"v{uuid.uuid4().hex[:6]}_") != []
+    view = [v for v in s.register_views(prefix="cube_t_")][0]
+    n = spark.sql(f"SELECT sum(n_visits) AS n FROM {view} WHERE gid = 3").collect()[0]["n"]
+    assert n == fact.count()
