@@ -375,7 +375,7 @@ _FACT_SELECT = """
 
 _HEADER_SQL = _DOC_VALUES + """
 SELECT path, row_key,
-       '2.16.156.10011.' || doc_type || '.01' AS id,
+       '2.999.' || doc_type || '.1' AS id,
        'C00' || doc_type AS typeCode,
        strftime(o_orderdate, '%Y%m%d%H%M%S') AS effectiveTime,
        'Inpatient record & ' || o_orderpriority AS title,

@@ -29,17 +29,16 @@ DOC_TEMPLATE = (
     '<ClinicalDocument xmlns="urn:hl7-org:v3" '
     'xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance">\n'
     '<realmCode code="CN"/>\n'
-    '<typeId root="2.16.840.1.113883.1.3" extension="POCD_MT000040"/>\n'
     '<!-- document serial -->\n'
-    '<id root="2.16.156.10011.%1$s.01" extension="%2$s"/>\n'
-    '<code code="C00%1$s" codeSystem="2.16.156.10011.2.4"/>\n'
+    '<id root="2.999.%1$s.1" extension="%2$s"/>\n'
+    '<code code="C00%1$s"/>\n'
     '<title>%3$s</title>\n'
     '<effectiveTime value="%4$s"/>\n'
     '<languageCode code="%5$s"/>\n'
     '<recordTarget typeCode="RCT"><patientRole>\n'
-    '<id root="2.16.156.10011.1.12" extension="%6$s"/>\n'
+    '<id root="2.999.9.1" extension="%6$s"/>\n'
     '<addr><city>%7$s</city><county>%8$s</county></addr>\n'
-    '<patient><id root="2.16.156.10011.1.3" extension="ID%9$s"/>'
+    '<patient><id root="2.999.9.2" extension="ID%9$s"/>'
     '<administrativeGenderCode code="%10$s"/><age unit="a" value="%11$s"/></patient>\n'
     '</patientRole></recordTarget>\n'
     '<legalAuthenticator><assignedEntity><id extension="DR2%12$s"/></assignedEntity>'
@@ -68,9 +67,9 @@ DOCTORS_TEMPLATE = (
     '<authenticator><assignedEntity><id extension="DR1%s"/></assignedEntity></authenticator>\n'
 )
 DIAGNOSIS_TEMPLATE = (
-    '<entry><observation><code code="DE05.01.024.00"><qualifier>'
+    '<entry><observation><code code="DX-MAIN"><qualifier>'
     '<name displayName="JB%s"/></qualifier></code></observation></entry>\n'
-    '<entry><observation><code code="DE05.01.025.00"><qualifier>'
+    '<entry><observation><code code="DX-OTHER"><qualifier>'
     '<name displayName="ZD%s"/></qualifier></code></observation></entry>\n'
 )
 
