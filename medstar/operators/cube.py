@@ -13,9 +13,8 @@ stored.
 
 Storage: ``<root>/<cube>/segment=<yyyyMM_yyyyMM>/`` parquet, one row per
 grouping (``gid`` = ``grouping_id()``) and dimension values.  A small
-metadata dataset under ``<root>/_meta`` holds cube definitions, status and
-segments; it is rewritten as a new version on every change (tiny: one row
-per cube).
+metadata file under ``<root>/_meta`` holds cube definitions, status and
+segments; every change writes a new version (tiny: one line per cube).
 
 Build, refresh and merge are Spark aggregations; the only driver work is the
 metadata row and the list of segment folders.
@@ -86,25 +85,26 @@ class CubeStore:
         return f"{self.root}/_meta"
 
     def _load(self) -> dict[str, CubeDef]:
-        versions = fs.list_names(self.spark, self._meta_path())
+        versions = [v for v in fs.list_names(self.spark, self._meta_path())
+                    if v.endswith(".json")]
         if not versions:
             return {}
         latest = max(versions)
         if self._cached is None or self._cached[0] != latest:
-            rows = self.spark.read.schema("name string, body string") \
-                .json(f"{self._meta_path()}/{latest}").collect()
-            self._cached = (latest, [{"name": r["name"], "body": r["body"]} for r in rows])
+            text = fs.read_text(self.spark, f"{self._meta_path()}/{latest}")
+            self._cached = (latest, [json.loads(line) for line in text.splitlines() if line])
         return {r["name"]: CubeDef.from_row(r["body"]) for r in self._cached[1]}
 
     def _save(self, cubes: dict[str, CubeDef]) -> None:
-        version = f"v{time.time_ns():020d}"
+        """A new metadata version (one small JSON-lines file, written by the
+        driver: it holds one line per cube, never data)."""
+        version = f"v{time.time_ns():020d}.json"
         rows = [c.to_row() for c in cubes.values()]
-        df = self.spark.createDataFrame(rows, "name string, body string") if rows else \
-            self.spark.createDataFrame([], "name string, body string")
-        df.coalesce(1).write.mode("overwrite").json(f"{self._meta_path()}/{version}")
+        fs.write_text(self.spark, f"{self._meta_path()}/{version}",
+                      "".join(json.dumps(r) + "\n" for r in rows))
         self._cached = (version, rows)
         for old in fs.list_names(self.spark, self._meta_path()):
-            if old < version:
+            if old.endswith(".json") and old < version:
                 fs.delete(self.spark, f"{self._meta_path()}/{old}")
 
     def define(self, cube: CubeDef) -> CubeDef:

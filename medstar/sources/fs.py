@@ -31,3 +31,28 @@ def list_names(spark: SparkSession, path: str, hidden: bool = False) -> list[str
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file whole: to a temporary name, then renamed, so a
+    reader never sees half of it."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not move {path}.tmp into place")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
