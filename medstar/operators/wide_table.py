@@ -108,17 +108,29 @@ class WideTable:
     def put(self, rows: DataFrame, version: int) -> None:
         """Write one batch (K1, K2).  ``rows`` has the layout of ``cells``.
 
-        Rewriting the same ``version`` replaces that batch only.
+        Rewriting the same ``version`` replaces that batch only.  Several
+        rows of one key in a batch are combined first, per cell the largest
+        ``(source, value)`` wins, with partial aggregation on the map side:
+        a key holding a third of the batch costs one row per task, and the
+        batch lands in the table as at most one row per key.  The combine's
+        exchange (hash of ``row_key``) is also the bucket layout, so each
+        task writes few bucket files.
         """
+        aggs = []
+        for fam, quals in self.families.items():
+            cells = []
+            for q in quals:
+                v = F.col(f"{fam}.{q}")
+                best = F.max(F.when(v.isNotNull(), F.struct(F.col("_source").alias("s"),
+                                                            v.alias("v"))))
+                cells.append(best["v"].alias(q))
+            aggs.append(F.struct(*cells).alias(fam))
+        combined = rows.groupBy("row_key").agg(*aggs, F.max("_source").alias("_source"))
         cols = ["row_key", *self.families, "_source"]
-        # hash-partition by key into the bucket count first (same hash as the
-        # bucketing): each task then writes one file of one bucket, instead
-        # of every task writing a file into every bucket
-        out = rows.select(*cols).repartition(self.buckets(), "row_key")
         # a static partition spec replaces exactly this batch, whatever the
         # session's partitionOverwriteMode
         view = f"_medstar_put_{uuid.uuid4().hex[:12]}"
-        out.createOrReplaceTempView(view)
+        combined.select(*cols).createOrReplaceTempView(view)
         try:
             self.spark.sql(
                 f"INSERT OVERWRITE TABLE {self.name} PARTITION (_version = {int(version)}) "
@@ -137,14 +149,14 @@ class WideTable:
         Several writes to one cell in the same batch keep the largest value,
         so the result does not depend on task order.
         """
-        aggs = []
+        fam_cols = []
         for fam, quals in self.families.items():
-            aggs.append(F.struct(*[
-                F.max(F.when((F.col("family") == fam) & (F.col("qualifier") == q),
-                             F.col("value").cast("string"))).alias(q)
+            fam_cols.append(F.struct(*[
+                F.when((F.col("family") == fam) & (F.col("qualifier") == q),
+                       F.col("value").cast("string")).alias(q)
                 for q in quals]).alias(fam))
-        rows = (cells.groupBy(F.col("row_key").cast("string").alias("row_key"))
-                .agg(*aggs).withColumn("_source", F.lit(None).cast("string")))
+        rows = cells.select(F.col("row_key").cast("string").alias("row_key"), *fam_cols,
+                            F.lit(None).cast("string").alias("_source"))
         self.put(rows, version)
 
     # --------------------------------------------------------------- reads --

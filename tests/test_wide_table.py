@@ -105,3 +105,18 @@ def test_ingest_fact_job_and_store(spark):
     table = f"fact_{uuid.uuid4().hex[:8]}"
     jobs.store_fact(spark, fact, table, location=scratch_path(spark, "fact"))
     assert spark.table(table).count() == 1
+
+
+def test_hot_key_batch_is_combined_before_the_shuffle(spark):
+    import os
+    t = WideTable.create(spark, f"wt_{uuid.uuid4().hex[:8]}", buckets=4)
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").cast("string").alias("title"))
+    t.put(t.cells(df, "k", {"specific:title": "title"}), 1)
+    assert t.log().filter("row_key = 'HOT'").count() == 1          # one row per key
+    loc = t.location().replace("file:", "")
+    files = [f for f in os.listdir(f"{loc}/_version=1") if f.endswith(".parquet")]
+    assert len(files) <= 4                                         # one file per bucket
+    hot = t.latest(["specific:title"]).filter("row_key = 'HOT'").collect()[0]
+    assert hot["specific"]["title"] == "999"                        # largest value wins
