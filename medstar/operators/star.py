@@ -38,14 +38,31 @@ class Dimension:
     max_rows: int = DEFAULT_BROADCAST_ROWS
 
 
+# Prefix of salted stand-ins for null keys; no dimension key starts with it.
+_NULL_SALT = "\u0000null:"
+
+
 def star_join(fact: DataFrame, dims: list[Dimension], how: str = "left") -> DataFrame:
     """Fact rows with the attributes of every dimension (key columns dropped).
 
     ``how='left'`` keeps fact rows whose key has no dimension row (the
     attributes are null); ``how='inner'`` drops them.
+
+    When a dimension is too big to broadcast, fact rows with a null key would
+    all hash to one shuffle partition; they join on a stand-in key instead
+    (a hash of the row, so retries see the same value) that spreads them and
+    never matches.  Other hot keys are split by AQE's skew-join handling.
     """
     out = fact
     for d in dims:
-        side = F.broadcast(d.df) if d.fixed else checked_broadcast(d.df, d.max_rows)
-        out = out.join(side, out[d.fact_key] == side[d.key], how).drop(side[d.key])
+        if d.fixed or is_bounded(d.df, d.max_rows):
+            side = F.broadcast(d.df)
+            out = out.join(side, out[d.fact_key] == side[d.key], how).drop(side[d.key])
+            continue
+        salted = F.coalesce(F.col(d.fact_key).cast("string"),
+                            F.concat(F.lit(_NULL_SALT),
+                                     F.xxhash64(*[F.col(c) for c in out.columns]).cast("string")))
+        tmp = f"__join_{d.fact_key}"
+        left = out.withColumn(tmp, salted)
+        out = left.join(d.df, left[tmp] == d.df[d.key], how).drop(d.df[d.key]).drop(tmp)
     return out

@@ -49,3 +49,15 @@ def test_star_join_left_keeps_unmatched(spark):
     got = sorted(tuple(r) for r in out.collect())
     assert got == [("1", "KS01", "male", "cardio"), ("3", "KS99", None, None)]
     assert star_join(fact, [Dimension(g, "gender_id", "genderId")], how="inner").count() == 1
+
+
+def test_star_join_big_dimension_with_null_keys(spark):
+    fact = spark.createDataFrame([("1", "a"), (None, "b"), (None, "c"), ("7", "d")],
+                                 "doc string, tag string")
+    dim = spark.createDataFrame([("1", "Dr One"), ("2", "Dr Two")], "doc_id string, name string")
+    out = star_join(fact, [Dimension(dim, "doc_id", "doc", max_rows=1)])   # too big: no broadcast
+    got = sorted((r["tag"], r["doc"], r["name"]) for r in out.collect())
+    assert got == [("a", "1", "Dr One"), ("b", None, None), ("c", None, None), ("d", "7", None)]
+    assert out.columns == ["doc", "tag", "name"]
+    inner = star_join(fact, [Dimension(dim, "doc_id", "doc", max_rows=1)], how="inner")
+    assert [r["tag"] for r in inner.collect()] == ["a"]
