@@ -61,3 +61,19 @@ def test_star_join_big_dimension_with_null_keys(spark):
     assert out.columns == ["doc", "tag", "name"]
     inner = star_join(fact, [Dimension(dim, "doc_id", "doc", max_rows=1)], how="inner")
     assert [r["tag"] for r in inner.collect()] == ["a"]
+
+
+def test_star_join_same_result_with_and_without_broadcast(spark):
+    from medstar.operators.extract import patient_fact
+    from medstar.plans.dimensions import derived_dimensions
+    from medstar.sources.seed import order_documents
+    from tests.conftest import SF_SMALL
+    fact = patient_fact(order_documents(spark, SF_SMALL), keep=("path",))
+    small = derived_dimensions(spark, SF_SMALL)
+    big = derived_dimensions(spark, SF_SMALL)
+    for d in big:
+        if not d.fixed:
+            d.max_rows = 1                       # force the shuffle join
+    a = sorted(tuple(r) for r in star_join(fact, small).collect())
+    b = sorted(tuple(r) for r in star_join(fact, big).collect())
+    assert a == b and len(a) > 0
