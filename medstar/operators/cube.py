@@ -319,6 +319,15 @@ class CubeStore:
                   "n_segments int, dimensions string")
         return df.orderBy("name").offset(offset).limit(limit)
 
+    def model(self, name: str) -> DataFrame:
+        """Q7 (data model): what a cube is built from."""
+        c = self.get(name)
+        return self.spark.createDataFrame(
+            [(c.model, c.name, c.project, ",".join(c.dimensions), c.time_column,
+              c.patient_column, ",".join(MEASURES))],
+            "model string, cube string, project string, dimensions string, "
+            "time_column string, patient_column string, measures string")
+
     def describe(self, name: str) -> DataFrame:
         """Q7: one cube's definition and segments."""
         c = self.get(name)

@@ -85,6 +85,8 @@ def test_listing_pages(spark):
                                              project="emr").collect()]
     assert names == ["visits_b"]
     assert s.describe("visits_a").count() == 0
+    m = s.model("visits_a").collect()[0]
+    assert (m["model"], m["dimensions"], m["time_column"]) == ("visits_a", "genderId", "inTimeId")
 
 
 def test_item_statistics_small(spark):
