@@ -94,18 +94,6 @@ def _attr(nodes, name) -> list[str]:
     return [] if v is None else [v]
 
 
-def select(nodes: list, steps: Sequence[Step]):
-    """Evaluate element steps; an ``attr`` step returns a list of strings."""
-    for s in steps:
-        if s.axis == "child":
-            nodes = _child(nodes, s.name)
-        elif s.axis == "desc":
-            nodes = _desc(nodes, s.name)
-        else:
-            return _attr(nodes, s.name)
-    return nodes
-
-
 def _element_set(root, steps: tuple, cache: dict) -> list:
     """Node set of element-only ``steps`` from the root, memoised per
     document by path prefix (fields share their leading steps)."""

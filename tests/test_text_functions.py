@@ -1,6 +1,7 @@
 """The JVM-side Column scalars agree with the exact Python helpers."""
 
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from medstar.functions import text as T
@@ -45,5 +46,8 @@ def test_concat_space_and_utf8(spark):
     r = spark.createDataFrame([("a", "b", "中")], "a string, b string, c string").select(
         T.concat_space("a", "b").alias("ab"),
         T.utf8_decode(T.utf8_encode("c")).alias("rt"),
-        T.split_all("a").alias("parts")).collect()[0]
+        T.split_all("a").alias("parts"), T.to_text(F.lit(42)).alias("t"),
+        T.is_equal("a", F.lit("a")).alias("eq"),
+        T.is_equal(F.lit(None).cast("string"), F.lit(None).cast("string")).alias("nn")).collect()[0]
     assert r["ab"] == "a b" and r["rt"] == "中" and r["parts"] == ["a"]
+    assert r["t"] == "42" and r["eq"] is True and r["nn"] is True
