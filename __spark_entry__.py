@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medstar.functions.hl7 import INPATIENT_RANGE
+from medstar.functions.text import compact_time
 from medstar.operators import extract as X
 from medstar.operators.delimited import PLAYER_CELLS, PLAYER_FAMILIES, parse_delimited
 from medstar.operators.wide_table import WideTable
@@ -97,7 +98,7 @@ def q_cell_upsert_latest(spark, sf_dir):
     wt.put(wt.cells(o, key, {
         "basic:id": F.col("o_orderkey"),
         "basic:typeCode": F.concat(F.lit("C00"), doc_type),
-        "basic:effectiveTime": F.date_format("o_orderdate", "yyyyMMddHHmmss"),
+        "basic:effectiveTime": compact_time("o_orderdate"),
         "specific:title": F.concat(F.lit("Order "), F.col("o_orderpriority")),
     }, source=F.lit("batch-1")), version=1)
     # batch 2: finished orders get an amended title and time (written twice:
@@ -105,7 +106,7 @@ def q_cell_upsert_latest(spark, sf_dir):
     done = o.filter(F.col("o_orderstatus") == "F")
     amended = wt.cells(done, key, {
         "specific:title": F.concat(F.lit("Amended "), F.col("o_orderpriority")),
-        "basic:effectiveTime": F.date_format(F.date_add("o_orderdate", 1), "yyyyMMddHHmmss"),
+        "basic:effectiveTime": compact_time(F.date_add("o_orderdate", 1)),
     }, source=F.lit("batch-2"))
     wt.put(amended, version=2)
     wt.put(amended, version=2)
@@ -276,7 +277,7 @@ def _scores(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.substring("o_orderpriority", 1, 1).alias("paper_code"),
-        F.date_format("o_orderdate", "yyyy").alias("create_time"),
+        compact_time("o_orderdate", 4).alias("create_time"),
         F.col("o_orderkey").alias("student"), F.col("l_linenumber").alias("item_id"),
         F.ceil(F.col("l_quantity") / 10).cast("int").alias("score"))
 

@@ -81,3 +81,12 @@ def utf8_decode(b) -> Column:
 def month_key(t) -> Column:
     """C11: ``yyyyMM`` of a compact time string; no date parsing."""
     return prefix(t, 6)
+
+
+def compact_time(t, digits: int = 14) -> Column:
+    """``yyyyMMddHHmmss`` (first ``digits`` digits) of a wall-clock timestamp
+    or date, read from its text form: no time-zone conversion happens, so a
+    timestamp without time zone keeps its digits in any session zone."""
+    text = F.substring(_c(t).cast("string"), 1, 19)
+    digits_only = F.regexp_replace(text, "[^0-9]", "")
+    return F.substring(F.rpad(digits_only, 14, "0"), 1, digits)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import compact_time
 from ..operators.star import Dimension
 from ..sources.tables import read_table
 
@@ -35,7 +36,7 @@ def age_dim(spark: SparkSession) -> DataFrame:
 def time_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months that occur in the orders (a distinct that combines map-side)."""
     m = read_table(spark, sf_dir, "orders").select(
-        F.date_format("o_orderdate", "yyyyMM").alias("time_id")).distinct()
+        compact_time("o_orderdate", 6).alias("time_id")).distinct()
     return m.select("time_id",
                     F.substring("time_id", 1, 4).alias("year"),
                     F.concat(F.substring("time_id", 1, 4), F.lit("Q"),

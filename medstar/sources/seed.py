@@ -22,6 +22,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import compact_time
 from .tables import read_table
 
 DOC_TEMPLATE = (
@@ -133,7 +134,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = order_document_columns(spark, sf_dir)
     doc_type = F.format_string("%d", F.substring("o_orderpriority", 1, 1).cast("int") + 30)
     row_key = F.format_string("RN%s_%03d", doc_type, F.col("o_orderkey"))
-    stamp = F.date_format("o_orderdate", "yyyyMMddHHmmss")
+    stamp = compact_time("o_orderdate")
     content = fill_template(
         DOC_TEMPLATE,
         doc_type,                                                    # 1

@@ -51,3 +51,15 @@ def test_concat_space_and_utf8(spark):
         T.is_equal(F.lit(None).cast("string"), F.lit(None).cast("string")).alias("nn")).collect()[0]
     assert r["ab"] == "a b" and r["rt"] == "中" and r["parts"] == ["a"]
     assert r["t"] == "42" and r["eq"] is True and r["nn"] is True
+
+
+def test_compact_time_is_zone_free(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        r = spark.sql("SELECT TIMESTAMP_NTZ '1999-10-03 00:00:00' AS t, DATE '1999-10-04' AS d") \
+            .select(T.compact_time("t").alias("a"), T.compact_time("d").alias("b"),
+                    T.compact_time("t", 6).alias("m")).collect()[0]
+        assert (r["a"], r["b"], r["m"]) == ("19991003000000", "19991004000000", "199910")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
