@@ -77,3 +77,15 @@ def test_star_join_same_result_with_and_without_broadcast(spark):
     a = sorted(tuple(r) for r in star_join(fact, small).collect())
     b = sorted(tuple(r) for r in star_join(fact, big).collect())
     assert a == b and len(a) > 0
+
+
+def test_jdbc_options_without_a_database():
+    import pytest
+    from medstar.plans.dimensions import jdbc_options
+    o = jdbc_options("jdbc:x://h/db", "t_dimension_age", user="u", password="p",
+                     partition_column="age_id", lower_bound=0, upper_bound=15, num_partitions=4)
+    assert o["partitionColumn"] == "age_id" and o["numPartitions"] == "4"
+    assert o["dbtable"] == "t_dimension_age" and o["user"] == "u"
+    assert "partitionColumn" not in jdbc_options("jdbc:x://h/db", "t")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x://h/db", "t", partition_column="k")
