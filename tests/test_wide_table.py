@@ -120,3 +120,16 @@ def test_hot_key_batch_is_combined_before_the_shuffle(spark):
     assert len(files) <= 4                                         # one file per bucket
     hot = t.latest(["specific:title"]).filter("row_key = 'HOT'").collect()[0]
     assert hot["specific"]["title"] == "999"                        # largest value wins
+
+
+def test_same_row_key_in_two_files_is_deterministic(spark):
+    from medstar.plans import jobs
+    from medstar.sources.documents import literal_documents
+    from tests.docs import inpatient
+    same = '<id root="2.1" extension="RN32_777"/>'
+    docs = literal_documents(spark, [
+        ("dir/b.xml", inpatient(ids=(same,), titles=("<title>from b</title>",))),
+        ("dir/a.xml", inpatient(ids=(same,), titles=("<title>from a</title>",)))])
+    wt = jobs.ingest_documents(spark, docs, f"emr_{uuid.uuid4().hex[:8]}", 1)
+    row = wt.latest(["specific:title"]).collect()
+    assert len(row) == 1 and row[0]["specific"]["title"] == "from b"   # larger path wins
