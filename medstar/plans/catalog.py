@@ -6,12 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def load_tables(spark: SparkSession, names: str, project: str, source_dir: str,
                 analyze: bool = True) -> list[str]:
     """Q10: ``"a,b"`` -> external tables ``project.a``, ``project.b`` over the
     source files (nothing is copied), with statistics when ``analyze``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {project}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {project} "
+              f"LOCATION '{shared_dir(spark)}/warehouse/{project}.db'")
     loaded = []
     for name in [n.strip() for n in names.split(",") if n.strip()]:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {project}.{name} USING parquet "

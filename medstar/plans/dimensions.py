@@ -125,7 +125,8 @@ def load_dimensions(spark: SparkSession, frames: dict[str, DataFrame], database:
     """Every dimension into ``database.t_dimension_<name>``, created when
     absent and appended **by position** (K9, K10, U1).  Returns the tables."""
     from .warehouse import insert_by_position
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
+              f"LOCATION '{root.rstrip('/')}/{database}.db'")
     tables = []
     for name, df in frames.items():
         table = f"{database}.t_dimension_{name}"

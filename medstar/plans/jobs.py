@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.hl7 import FACT_COLUMNS, INPATIENT_RANGE
 from ..operators.extract import extract_header, good, parse_fact, rejects
 from ..operators.wide_table import DOCUMENT_FAMILIES, WideTable
+from ..session import shared_dir
 
 HEADER_CELLS = {
     "basic:id": "id", "basic:typeCode": "typeCode",
@@ -38,7 +39,9 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version:
     wt.put(wt.cells(ok, "row_key", HEADER_CELLS, source="path"), version)
     if rejects_table is not None:
         bad = rejects(parsed, key="path").withColumn("_version", F.lit(version))
-        bad.write.mode("append").saveAsTable(rejects_table)
+        (bad.write.mode("append")
+         .option("path", f"{shared_dir(spark)}/tables/{rejects_table.replace('.', '/')}")
+         .saveAsTable(rejects_table))
         parsed.unpersist()
     return wt
 

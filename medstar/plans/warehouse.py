@@ -27,7 +27,8 @@ def create_database(spark: SparkSession, name: str, drop_first: bool = False) ->
     then with its tables."""
     if drop_first:
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} "
+              f"LOCATION '{shared_dir(spark)}/warehouse/{name}.db'")
     spark.sql(f"USE {name}")
 
 
