@@ -189,6 +189,46 @@ class CubeStore:
         self._update(cube)
         return seg
 
+    def build_segments(self, name: str, fact: DataFrame, bounds_ms: list[int]) -> list[str]:
+        """Q1 for several adjacent segments at once: ``bounds_ms`` = b0 < b1 <
+        ... gives segments [b0, b1), [b1, b2), ...  One scan of the fact and one
+        aggregation (the segment is part of every grouping, so ``grouping_id``
+        is the same as in a one-segment build) instead of one job per segment."""
+        cube = self.get(name)
+        months = [month_of(b) for b in bounds_ms]
+        if len(months) < 2 or months != sorted(set(months)):
+            raise ValueError("bounds must be increasing months")
+        segs = [(lo, hi) for lo, hi in zip(months, months[1:])]
+        for s in cube.segments:
+            if s["lo"] < months[-1] and months[0] < s["hi"]:
+                raise ValueError(f"range overlaps segment {s['name']}")
+        t = F.col(cube.time_column)
+        seg_col = F.lit(None).cast("string")
+        for lo, hi in reversed(segs):
+            seg_col = F.when((t >= lo) & (t < hi), F.lit(f"{lo}_{hi}")).otherwise(seg_col)
+        rows = fact.filter((t >= months[0]) & (t < months[-1])).withColumn("segment", seg_col)
+        dims = cube.dimensions
+        subsets = cube.grouping_sets or [
+            [d for i, d in enumerate(dims) if mask >> (len(dims) - 1 - i) & 1]
+            for mask in range(2 ** len(dims))]
+        agg = rows.groupingSets([["segment", *sub] for sub in subsets], "segment", *dims).agg(
+            F.grouping_id().cast("bigint").alias("gid"),
+            F.count(F.lit(1)).alias("n_visits"),
+            F.min(cube.time_column).alias("first_month"),
+            F.max(cube.time_column).alias("last_month"),
+            F.hll_sketch_agg(cube.patient_column).alias("patients_hll"))
+        names = [f"{lo}_{hi}" for lo, hi in segs]
+        for n in names:                    # leftovers of a failed earlier attempt
+            fs.delete(self.spark, f"{self._cube_path(name)}/segment={n}")
+        (agg.select(*dims, *MEASURES, "gid", "segment").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("segment", "gid")
+         .parquet(self._cube_path(name)))
+        cube.segments = sorted(cube.segments + [{"name": f"{lo}_{hi}", "lo": lo, "hi": hi}
+                                                for lo, hi in segs], key=lambda x: x["lo"])
+        cube.status = "READY"
+        self._update(cube)
+        return names
+
     def _write_segment(self, cube: CubeDef, seg: str, rows: DataFrame) -> None:
         # straight into the segment's own folder: replaces this segment only,
         # whatever the session's partitionOverwriteMode; one sub-folder per
@@ -244,10 +284,12 @@ class CubeStore:
     def _read_segments(self, cube: CubeDef, names: list[str]) -> DataFrame:
         base = self._cube_path(cube.name)
         schema = self._schema(cube)
-        if not names:
+        # a segment without rows in its range may have no folder at all
+        paths = [f"{base}/segment={n}" for n in names]
+        paths = [p for p in paths if fs.exists(self.spark, p)]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema).option("basePath", base)
-                .parquet(*[f"{base}/segment={n}" for n in names]))
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     def cuboids(self, name: str) -> DataFrame:
         """Every stored row of every segment."""

@@ -150,3 +150,17 @@ def test_sql_over_registered_cube_views(spark, fact):
     view = [v for v in s.register_views(prefix="cube_t_")][0]
     n = spark.sql(f"SELECT sum(n_visits) AS n FROM {view} WHERE gid = 3").collect()[0]["n"]
     assert n == fact.count()
+
+
+def test_build_segments_equals_one_build_per_segment(spark, fact):
+    a = _store(spark)
+    assert a.build_segments("c", fact, [JAN95, JAN96, JAN97]) == ["199501_199601", "199601_199701"]
+    b = _store(spark)
+    b.build("c", fact, JAN95, JAN96)
+    b.build("c", fact, JAN96, JAN97)
+    assert _rows(a.cuboids("c")) == _rows(b.cuboids("c"))
+    with pytest.raises(ValueError):
+        a.build_segments("c", fact, [JAN96, JAN97])         # overlaps
+    c = _store(spark)
+    c.build_segments("c", fact, [JAN97, JAN97 + 31_536_000_000])   # a year without rows
+    assert c.cuboids("c").count() == 0
