@@ -66,7 +66,8 @@ def derived_dimensions(spark: SparkSession, sf_dir: str) -> list[Dimension]:
     return [
         Dimension(gender_dim(spark), "gender_id", "genderId", fixed=True),
         Dimension(age_dim(spark), "age_id", "ageId", fixed=True),
-        Dimension(time_dim(spark, sf_dir), "time_id", "inTimeId"),
+        # one row per calendar month: bounded by the time span, not the data
+        Dimension(time_dim(spark, sf_dir), "time_id", "inTimeId", fixed=True),
         Dimension(doctor_dim(spark, sf_dir), "doctor_id", "mainDocId"),
         Dimension(class_dim(spark, sf_dir), "class_id", "inClassId"),
         Dimension(sick_dim(spark, sf_dir), "sick_id", "outSickId"),
