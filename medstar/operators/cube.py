@@ -30,6 +30,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ..sources import fs
 
 MAX_DIMENSIONS = 10          # 2^10 groupings; more is refused
@@ -247,6 +248,7 @@ class CubeStore:
         merged = self._merge_rows(cube, self._read_segments(cube, [s["name"] for s in parts]))
         # write beside the old segments, then retire them: readers never see
         # a half-merged cube, and a failed merge leaves the old ones intact
+        shared_dir(self.spark)                 # checkpoint into the shared folder
         merged = merged.checkpoint(eager=True)
         self._write_segment(cube, seg, merged)
         cube.segments = [s for s in cube.segments if s not in parts] + [

@@ -229,6 +229,8 @@ class WideTable:
         cells.  The old batches stay until ``drop_versions_below``."""
         view = self.latest().withColumn("_source", F.lit("compacted"))
         # Spark refuses to overwrite what the same plan reads: cut lineage
+        # into the shared checkpoint folder
+        shared_dir(self.spark)
         view = view.checkpoint(eager=True)
         self.put(view, version)
 

@@ -49,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if path:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(path)       # for DataFrame.checkpoint()
         return path.rstrip("/")
     master = spark.sparkContext.master
     if not master.startswith("local"):
