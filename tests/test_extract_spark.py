@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from medstar.operators import extract as X
 from medstar.sources.documents import literal_documents

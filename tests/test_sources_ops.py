@@ -1,7 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from medstar.operators.delimited import parse_delimited
 from medstar.operators.star import Dimension, checked_broadcast, is_bounded, star_join
