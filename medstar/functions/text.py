@@ -90,3 +90,31 @@ def compact_time(t, digits: int = 14) -> Column:
     text = F.substring(_c(t).cast("string"), 1, 19)
     digits_only = F.regexp_replace(text, "[^0-9]", "")
     return F.substring(F.rpad(digits_only, 14, "0"), 1, digits)
+
+
+def filter_char_at(values, pos: int, char: str) -> Column:
+    """The elements whose character ``pos`` (0-based) is ``char``, with a
+    higher-order ``filter``.  Null (reject) when any element is shorter than
+    ``pos + 1``, as ``charAt`` failed on such an element."""
+    arr = _c(values)
+    too_short = F.exists(arr, lambda e: e.isNull() | (F.length(e) <= pos))
+    kept = F.filter(arr, lambda e: F.substring(e, pos + 1, 1) == F.lit(char))
+    return F.when(~too_short, kept)
+
+
+def filter_prefix(values, prefix: str) -> Column:
+    """The elements that start with ``prefix``; null elements are skipped
+    (an absent attribute), and null (reject) when a present element is
+    shorter than the prefix, as ``substring(0, n)`` failed on it."""
+    arr = _c(values)
+    n = len(prefix)
+    too_short = F.exists(arr, lambda e: e.isNotNull() & (F.length(e) < n))
+    kept = F.filter(arr, lambda e: e.isNotNull() & e.startswith(prefix))
+    return F.when(~too_short, kept)
+
+
+def only_one(values) -> Column:
+    """X6 with the single-node rule: the element when there is exactly one,
+    else null."""
+    arr = _c(values)
+    return F.when(F.size(arr) == 1, F.get(arr, 0))

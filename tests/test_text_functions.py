@@ -63,3 +63,19 @@ def test_compact_time_is_zone_free(spark):
         assert (r["a"], r["b"], r["m"]) == ("19991003000000", "19991004000000", "199910")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_node_filters_on_arrays(spark):
+    df = spark.createDataFrame(
+        [(["DR2555", "DR1777"], ["JB1", None, "ZD2"]),
+         (["ID2001", "DR2555"], ["JB1", "JB2"]),
+         (["D2"], ["J"]),
+         ([], [])],
+        "ids array<string>, names array<string>")
+    rows = df.select(T.filter_char_at("ids", 2, "2").alias("att"),
+                     T.only_one(T.filter_char_at("ids", 2, "2")).alias("one"),
+                     T.filter_prefix("names", "JB").alias("jb")).collect()
+    assert rows[0]["att"] == ["DR2555"] and rows[0]["one"] == "DR2555" and rows[0]["jb"] == ["JB1"]
+    assert rows[1]["one"] is None and rows[1]["jb"] == ["JB1", "JB2"]      # two: no single
+    assert rows[2]["att"] is None and rows[2]["jb"] is None                # too short: reject
+    assert rows[3]["att"] == [] and rows[3]["one"] is None
