@@ -24,16 +24,15 @@ from pyspark.sql import functions as F
 from medstar.functions.hl7 import INPATIENT_RANGE
 from medstar.functions.text import compact_time
 from medstar.operators import extract as X
-from medstar.operators.delimited import PLAYER_CELLS, PLAYER_FAMILIES, parse_delimited
-from medstar.operators.wide_table import WideTable
-from medstar.plans import jobs
-from medstar.sources.seed import order_documents
 from medstar.operators.cube import CubeDef, CubeStore
+from medstar.operators.delimited import PLAYER_CELLS, PLAYER_FAMILIES, parse_delimited
 from medstar.operators.item_stats import item_statistics
 from medstar.operators.star import star_join
-from medstar.plans import catalog, warehouse
+from medstar.operators.wide_table import WideTable
+from medstar.plans import catalog, jobs, warehouse
 from medstar.plans.dimensions import derived_dimensions, dimension_frames, load_dimensions
 from medstar.session import scratch_path
+from medstar.sources.seed import order_documents
 from medstar.sources.tables import read_table
 
 SMOKE_DIR = "/root/testdata/sf0.001"
