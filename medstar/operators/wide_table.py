@@ -83,6 +83,14 @@ class WideTable:
                 f"LOCATION '{location}'")
         return t
 
+    @classmethod
+    def open(cls, spark: SparkSession, name: str) -> "WideTable":
+        """An existing table, its families read from the table schema."""
+        fams = {f.name: [q.name for q in f.dataType.fields]
+                for f in spark.table(name).schema.fields
+                if f.name not in ("row_key", "_source", "_version")}
+        return cls(spark, name, fams)
+
     # -------------------------------------------------------------- writes --
     def cells(self, df: DataFrame, key: Column | str,
               mapping: Mapping[str, Column | str], source: Column | str | None = None

@@ -23,7 +23,8 @@ def test_incremental_ingest_exactly_once(spark):
     _write(d, "c.xml", "RN32_003")
     start_ingest(spark, d, table, checkpoint=ckpt).awaitTermination()
     start_ingest(spark, d, table, checkpoint=ckpt).awaitTermination()   # nothing new
-    wt = WideTable(spark, table, {"basic": [], "specific": ["title"]})
+    wt = WideTable.open(spark, table)
+    assert wt.families["specific"] == ["title", "languageCode", "content"]
     keys = sorted(r["row_key"] for r in wt.latest(["specific:title"]).collect())
     assert keys == ["RN32_001", "RN32_002", "RN32_003"]
     assert wt.log().count() == 3 and len(wt.versions()) == 2
