@@ -124,3 +124,8 @@ def test_parse_path():
     assert [(s.axis, s.name) for s in steps] == [("child", "a"), ("desc", "b"), ("attr", "c")]
     with pytest.raises(ValueError):
         parse_path("a/@b/c")
+
+
+def test_declared_encoding_is_ignored_for_decoded_text():
+    doc = '<?xml version="1.0" encoding="GB2312"?>' + inpatient(titles=("<title>住院病案</title>",))
+    assert header(doc)["title"] == "住院病案"
