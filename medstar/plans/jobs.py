@@ -38,14 +38,26 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version:
     ok = good(parsed)
     wt.put(wt.cells(ok, "row_key", HEADER_CELLS, source="path"), version)
     if rejects_table is not None:
-        bad = rejects(parsed, key="path").withColumn("_version", F.lit(version))
-        (bad.write.mode("append")
-         .option("path", f"{shared_dir(spark)}/tables/{rejects_table.replace('.', '/')}")
-         .saveAsTable(rejects_table))
+        _write_rejects(spark, rejects(parsed, key="path"), rejects_table, version)
         parsed.unpersist()
     return wt
 
 
+def _write_rejects(spark: SparkSession, bad: DataFrame, table: str, version: int) -> None:
+    """Rejects of one batch, partitioned like the batch: a rerun replaces
+    them instead of adding them again."""
+    location = f"{shared_dir(spark)}/tables/{table.replace('.', '/')}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (path string, field string, reason string) "
+              f"USING parquet PARTITIONED BY (_version bigint) LOCATION '{location}'")
+    view = f"_medstar_rejects_{abs(hash((table, version))):x}"
+    bad.select("path", "field", "reason").createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (_version = {int(version)}) "
+                  f"SELECT path, field, reason FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def inpatient_content(wt: WideTable, key_range=INPATIENT_RANGE) -> DataFrame:
     """E2 scan: content cells of the inpatient row-key range (S3 + S4)."""
     return wt.scan(["specific:content"], key_range=key_range)

@@ -97,8 +97,11 @@ def test_ingest_fact_job_and_store(spark):
         ("c.xml", inpatient(ids=('<id root="2.1" extension="RN31_001"/>',))),
         ("d.xml", "<broken")])
     rej = f"rej_{uuid.uuid4().hex[:8]}"
-    wt = jobs.ingest_documents(spark, docs, f"emr_{uuid.uuid4().hex[:8]}", 1, rejects_table=rej)
+    name = f"emr_{uuid.uuid4().hex[:8]}"
+    wt = jobs.ingest_documents(spark, docs, name, 1, rejects_table=rej)
+    wt = jobs.ingest_documents(spark, docs, name, 1, rejects_table=rej)      # rerun: idempotent
     assert sorted(r["field"] for r in spark.table(rej).collect()) == ["content"]
+    assert wt.log().count() == 3
     fact = jobs.fact_job(wt)
     assert [r["row_key"] for r in fact.collect()] == ["RN32_001"]          # range + good
     assert [r["field"] for r in jobs.fact_rejects(wt).collect()] == ["ageId"]
