@@ -299,10 +299,23 @@ class CubeStore:
         return self._read_segments(cube, [s["name"] for s in cube.segments])
 
     def query(self, name: str, group_by: list[str], where: dict | None = None,
-              estimate_patients: bool = False) -> DataFrame:
+              estimate_patients: bool = False,
+              between: tuple[int, int] | None = None) -> DataFrame:
         """Q6: answer ``group_by`` (+ equality / IN filters on dimensions) from
-        the smallest stored cuboid that holds all the columns it needs."""
+        the smallest stored cuboid that holds all the columns it needs.
+
+        ``between=(start_ms, end_ms)`` answers for that time window from the
+        segments inside it only (only their folders are read); a window that
+        cuts a segment is refused, since a segment's totals cannot be split."""
         cube = self.get(name)
+        segments = cube.segments
+        if between is not None:
+            lo, hi = month_of(between[0]), month_of(between[1])
+            cut = [s["name"] for s in segments
+                   if s["lo"] < hi and lo < s["hi"] and not (lo <= s["lo"] and s["hi"] <= hi)]
+            if cut:
+                raise ValueError(f"window {lo}_{hi} cuts segments {cut}")
+            segments = [s for s in segments if lo <= s["lo"] and s["hi"] <= hi]
         if cube.status != "READY":
             raise PermissionError(f"cube {name} is {cube.status}")
         where = where or {}
@@ -318,7 +331,8 @@ class CubeStore:
             if not fits:
                 raise ValueError("no stored grouping holds these columns")
             target = gid_of(cube.dimensions, min(fits, key=len))
-        rows = self.cuboids(name).filter(F.col("gid") == target)
+        rows = self._read_segments(cube, [s["name"] for s in segments]) \
+            .filter(F.col("gid") == target)
         for col, val in where.items():
             rows = rows.filter(F.col(col).isin(*val) if isinstance(val, (list, tuple, set))
                                else F.col(col) == val)

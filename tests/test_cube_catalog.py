@@ -164,3 +164,13 @@ def test_build_segments_equals_one_build_per_segment(spark, fact):
     c = _store(spark)
     c.build_segments("c", fact, [JAN97, JAN97 + 31_536_000_000])   # a year without rows
     assert c.cuboids("c").count() == 0
+
+
+def test_query_time_window_reads_its_segments(spark, fact):
+    s = _store(spark)
+    s.build_segments("c", fact, [JAN95, JAN96, JAN97])
+    n95 = s.query("c", [], between=(JAN95, JAN96)).collect()[0]["n_visits"]
+    assert n95 == fact.filter("inTimeId < '199601'").count()
+    assert s.query("c", [], between=(JAN95, JAN97)).collect()[0]["n_visits"] == fact.count()
+    with pytest.raises(ValueError):
+        s.query("c", [], between=(JAN95 + 2_678_400_000, JAN97))   # starts inside 1995
