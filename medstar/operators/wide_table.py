@@ -242,6 +242,18 @@ class WideTable:
         view = view.checkpoint(eager=True)
         self.put(view, version)
 
+    def maintain(self, max_versions: int) -> bool:
+        """Keep the log short: when more than ``max_versions`` batches exist,
+        fold them into one new batch (numbered after the newest) and drop the
+        folded ones.  Returns whether it compacted."""
+        versions = self.versions()
+        if len(versions) <= max_versions:
+            return False
+        new = versions[-1] + 1
+        self.compact(new)
+        self.drop_versions_below(new)
+        return True
+
     def drop_versions_below(self, version: int) -> None:
         """Retire folded batches: catalog entry and files (the table is
         external, so dropping the partition alone would leave the files)."""

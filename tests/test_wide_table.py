@@ -136,3 +136,14 @@ def test_same_row_key_in_two_files_is_deterministic(spark):
     wt = jobs.ingest_documents(spark, docs, f"emr_{uuid.uuid4().hex[:8]}", 1)
     row = wt.latest(["specific:title"]).collect()
     assert len(row) == 1 and row[0]["specific"]["title"] == "from b"   # larger path wins
+
+
+def test_maintain_bounds_the_number_of_batches(spark):
+    t = _t(spark)
+    for v in (1, 2, 3):
+        t.put(t.cells(_rows(spark, [("a", f"t{v}", None), (f"k{v}", "x", None)]), "k",
+                      {"specific:title": "title"}), v)
+    before = sorted(tuple(r) for r in t.scan(["specific:title"]).collect())
+    assert not t.maintain(3)
+    assert t.maintain(2) and t.versions() == [4]
+    assert sorted(tuple(r) for r in t.scan(["specific:title"]).collect()) == before
