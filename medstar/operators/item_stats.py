@@ -38,7 +38,14 @@ def _round3(c):
 def item_statistics(scores: DataFrame, full_mark: float) -> DataFrame:
     """``scores``: ``paper_code, create_time, student, item_id, score``."""
     paper = ["paper_code", "create_time"]
-    totals = scores.groupBy(*paper, "student").agg(F.sum("score").alias("total"))
+    sc = F.col("score").cast("bigint")
+    # One pass over the raw scores: exact integer sums per student and item.
+    # Every later step (totals, groups, item statistics) reads this smaller
+    # aggregate, so the raw scores are scanned and joined once.
+    per_item = scores.groupBy(*paper, "student", "item_id").agg(
+        F.count(sc).alias("n"), F.sum(sc).alias("s1"), F.sum(sc * sc).alias("s2"),
+        F.max(sc).alias("mx"), F.min(sc).alias("mn"))
+    totals = per_item.groupBy(*paper, "student").agg(F.sum("s1").alias("total"))
     hist = totals.groupBy(*paper, "total").agg(F.count(F.lit(1)).alias("n"))
     w_all = Window.partitionBy(*paper)
     w_below = w_all.orderBy("total").rowsBetween(Window.unboundedPreceding, -1)
@@ -52,17 +59,19 @@ def item_statistics(scores: DataFrame, full_mark: float) -> DataFrame:
         F.when(pr <= GROUP_SHARE, "low").when(pr >= 1 - GROUP_SHARE, "high").alias("grp"))
     student_grp = (totals.join(checked_broadcast(groups), [*paper, "total"])
                    .select(*paper, "student", "grp"))
-    s = scores.join(student_grp, [*paper, "student"], "left")
-    sc = F.col("score").cast("bigint")
-    high = F.avg(F.when(F.col("grp") == "high", sc))
-    low = F.avg(F.when(F.col("grp") == "low", sc))
+    s = per_item.join(student_grp, [*paper, "student"], "left")
+
+    def group_mean(name: str):
+        g = F.col("grp") == name
+        return F.sum(F.when(g, F.col("s1"))) / F.sum(F.when(g, F.col("n")))
+
     # integer sums: exact, so mean and variance are one correctly rounded
     # division each, whatever the order the partial sums arrive in
     stats = s.groupBy(*paper, "item_id").agg(
-        F.max(sc).cast("int").alias("max_score"),
-        F.min(sc).cast("int").alias("min_score"),
-        F.count(sc).alias("n"), F.sum(sc).alias("s1"), F.sum(sc * sc).alias("s2"),
-        ((high - low) / F.lit(full_mark)).alias("disc"))
+        F.max("mx").cast("int").alias("max_score"),
+        F.min("mn").cast("int").alias("min_score"),
+        F.sum("n").alias("n"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"),
+        ((group_mean("high") - group_mean("low")) / F.lit(full_mark)).alias("disc"))
     n, s1, s2 = F.col("n"), F.col("s1"), F.col("s2")
     avg = s1 / n
     var = (n * s2 - s1 * s1) / (n * n)
