@@ -176,7 +176,7 @@ def jdiv(a: int, b: int) -> int:
 class Field:
     name: str
     path: str
-    mode: str = "head"                  # head | text | first_text | attr_text
+    mode: str = "head"                  # head | text | first_text
     node_filter: Callable | None = None  # applied to the node set before @attr
     post: Callable[[str], str] | None = None
     steps: tuple = field(default=(), compare=False)
@@ -207,7 +207,7 @@ class Field:
             if not result:
                 raise Reject(f"{self.name}: nothing at {self.path}")
             value = node_text(result[0])
-        else:                                # text / attr_text: never fails
+        else:                                # text: never fails
             value = text_of(result)
         return self.post(value) if self.post is not None else value
 
