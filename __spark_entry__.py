@@ -557,6 +557,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_inpatient_fact(spark, SMOKE_DIR)
 
 
+# The training-data operators are a subpackage of their own: without it, or
+# without the pipeline module, the other queries work all the same.
+try:
+    import corpus_pipeline
+    from medstar.llm import queries as llm_queries
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "medstar.llm", "medstar.llm.queries"):
+        raise
+else:
+    QUERIES.update(llm_queries.QUERIES, pipeline=corpus_pipeline.run)
+    ORACLE.update(llm_queries.ORACLE)
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
