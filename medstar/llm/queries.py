@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from medstar.llm import decontaminate, kd_shards, mixing, order_minhash, toxicity_zstd
+from medstar.llm import (decontaminate, kd_shards, language_centroids, licence_digests,
+                         line_edit_join, line_frequency, mixing, order_minhash, token_orc,
+                         toxicity_zstd)
 from medstar.llm.common import table
 
 
@@ -17,6 +19,30 @@ def op2_kd_shards(spark, sf_dir):
     return kd_shards.shard_table(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op3_line_frequency(spark, sf_dir):
+    return line_frequency.quality(table(spark, sf_dir, "documents"))
+
+
+def op4_token_orc(spark, sf_dir):
+    import public_tokenizers
+
+    return token_orc.token_table(table(spark, sf_dir, "documents"),
+                                 public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_line_edit_join(spark, sf_dir):
+    return line_edit_join.line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op6_licence_digests(spark, sf_dir):
+    return licence_digests.licence_hits(table(spark, sf_dir, "documents"))
+
+
+def op7_language_centroids(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language_centroids.identify(docs, language_centroids.fit_languages(docs))
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"),
                                       table(spark, sf_dir, "benchmark"))
@@ -34,5 +60,9 @@ def op10_order_minhash(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pfair_mix, op2_kd_shards, op8_decontaminate, op9_toxicity, op10_order_minhash)}
-ORACLE: dict[str, str] = {}
+    op1_pfair_mix, op2_kd_shards, op3_line_frequency, op4_token_orc,
+    op5_line_edit_join, op6_licence_digests, op7_language_centroids, op8_decontaminate, op9_toxicity, op10_order_minhash)}
+ORACLE: dict[str, str] = {
+    "op3_line_frequency": line_frequency.QUALITY_SQL,
+    "op6_licence_digests": licence_digests.LICENCE_SQL,
+}
