@@ -159,7 +159,7 @@ def fit_languages(docs: DataFrame, max_rows: int = MAX_ROWS,
                                T.groups_of([len(t) + 2000 for t in texts], 2 << 20)])
         rows = rows[rows.any(axis=1)]
         if not len(rows):
-            return pd.DataFrame({"lang": [], "centre": [], "limit": []})
+            return pd.DataFrame({"lang": [], "centre": [], "limit": []}, dtype=object)
         centres, own = cluster(rows, clusters)
         far = 1 - (rows * centres[own]).sum(axis=1)
         limits = [float(np.quantile(far[own == j], QUANTILE)) * 1.1 if (own == j).any() else 1.0

@@ -41,8 +41,8 @@ from medstar.session import scratch_path
 
 END_ID, STRIPE_BYTES, STRIDE, FILE_BYTES, CACHE_WORDS = 1, 16 << 20, 1000, 64 << 20, 400_000
 #: Characters for which lower case, NFC and the word pattern are the plain ones.
-_PLAIN = re.compile("[^\\x00-\\u012f\\u0131-\\u024f\\u2010-\\u2027\\u2030-\\u203e\\u20ac]|<\\|")
-_L, _N, _S = "a-zªµº\\u00df-\\u00f6\\u00f8-\\u024f", "0-9²³¹¼-¾", "\\t-\\r \\x85\\xa0"
+_PLAIN = re.compile("[^\\x00-\\u012f\\u0131-\\u017f\\u2010-\\u2027\\u2030-\\u203e\\u20ac]|<\\|")
+_L, _N, _S = "a-zªµº\\u00df-\\u00f6\\u00f8-\\u017f", "0-9²³¹¼-¾", "\\t-\\r \\x85\\xa0"
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 _encoders: dict[str, "Encoder"] = {}
 
