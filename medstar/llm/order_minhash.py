@@ -116,14 +116,20 @@ def _shared(parts: list[np.ndarray]) -> np.ndarray:
 
 def links_of(keys: list[bytes], parts: list[np.ndarray], sides: np.ndarray | None,
              threshold: float) -> list[tuple[bytes, bytes, float]]:
-    """A spanning forest of the verified links among some texts; ``sides``:
-    only links between different sides count."""
+    """A spanning forest of the verified links among some texts, in the order
+    of their keys so that other buckets choose the same links.  ``sides``: only
+    the links between different sides that join what links within the sides
+    leave apart."""
     size = np.array([len(p) for p in parts])
     shared = _shared(parts)
     together = size[:, None] + size[None, :] - shared
     possible = np.triu(shared >= threshold * together - 1e-6, 1)
+    at = np.argwhere(possible)
+    across = np.ones(len(at), bool)
     if sides is not None:
-        possible &= sides[:, None] != sides[None, :]
+        across = sides[at[:, 0]] != sides[at[:, 1]]
+        order = np.argsort(across, kind="stable")            # within the sides first
+        at, across = at[order], across[order]
     root = list(range(len(keys)))
 
     def find(i: int) -> int:
@@ -133,7 +139,7 @@ def links_of(keys: list[bytes], parts: list[np.ndarray], sides: np.ndarray | Non
         return i
 
     out = []
-    for i, j in zip(*np.nonzero(possible)):
+    for (i, j), new in zip(at.tolist(), across.tolist()):
         x, y = find(i), find(j)
         if x == y:
             continue
@@ -142,7 +148,8 @@ def links_of(keys: list[bytes], parts: list[np.ndarray], sides: np.ndarray | Non
         m = aligned(parts[i], parts[j], int(both - 2 * least) + 1)
         if m >= threshold * (both - m) - 1e-9:
             root[y] = x
-            out.append((keys[i], keys[j], m / (both - m)))
+            if new:
+                out.append((keys[i], keys[j], m / (both - m)))
     return out
 
 
@@ -220,7 +227,7 @@ def text_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     def verify(pdf):
         import pandas as pd
 
-        pdf = pdf.drop_duplicates("key")
+        pdf = pdf.sort_values("key")
         lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
         found = links_of(list(pdf["key"]), [np.frombuffer(x, np.uint64) for x in pdf["marked"]],
                          None if lo == hi else pdf["own"].to_numpy(), threshold)
