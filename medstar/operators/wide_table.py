@@ -1,18 +1,24 @@
 """A wide column-family table on plain Spark tables.
 
-Layout: one row per put batch and row key, one struct column per family
-(every qualifier a nullable string; null = "cell not written in this
-batch"), plus ``_source`` and the batch number ``_version``.  The table is
-append-only and partitioned by ``_version``; rewriting a batch replaces that
-partition only, so a rerun of a failed or repeated batch is idempotent.
-
-It is bucketed and sorted by ``row_key``: the latest view groups by the key
-without a shuffle, and a key-range scan skips row groups by their min/max.
-
-Latest view: for every cell, the value of the highest ``(_version,
-_source, value)`` among the batches that wrote it — a plain ``max`` over a
-struct that is null where the cell was not written.  It combines map-side,
-so a row key written a million times costs one partial value per task.
+Layout: one row per written record, one struct column per family with its
+declared qualifiers (nullable strings; null = "cell not written"), a map
+``_open`` for cells with undeclared qualifiers of a declared family
+(``family:qualifier`` -> value), ``_source``, the order number ``_version``, and
+the partition ``_batch``.
+
+Batches.  A batch is named by its writer and its number; every writer has
+numbers of its own, so two streams, a caller and a compaction never meet in
+one partition.  Rewriting a batch replaces its own partition only, so a rerun
+of a failed or repeated batch is idempotent.  A batch that a compaction has
+folded is closed: writing it again is refused (or skipped).
+
+Writing appends map-side: no shuffle and no sort, whatever the content's size.
+
+Latest view: for every cell the value of the largest ``(_version, _source,
+value)``.  Reading takes two steps: a scan of the key column finds the keys that
+have more than one row; all other rows are passed through as they are, and
+only the rows of those keys are aggregated.  After a compaction, which lays
+the rows out in key order, a key range reads only the files that hold it.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from typing import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import scratch_path, shared_dir
 from ..sources import fs
 
 # ---- fixed values: the document table of the original jobs --------------
@@ -33,7 +39,12 @@ DOCUMENT_FAMILIES = {
 }
 # ---------------------------------------------------------------------------
 
-DEFAULT_BUCKETS = None      # -> spark.sql.shuffle.partitions at creation
+WRITER = "put"               # writer of batches that callers number themselves
+COMPACTED = "compacted"
+_OWN = ("row_key", "_open", "_source", "_version", "_batch")
+#: Keys with several rows are picked out of the scan up to this share of the
+#: rows; above it everything is aggregated in one go.
+PICK_SHARE = 0.2
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -60,16 +71,9 @@ class WideTable:
     @classmethod
     def create(cls, spark: SparkSession, name: str,
                families: Mapping[str, Sequence[str]] = DOCUMENT_FAMILIES,
-               location: str | None = None, buckets: int | None = DEFAULT_BUCKETS
-               ) -> "WideTable":
-        """Ensure the table (K7): create it when absent, once, on the driver.
-
-        The bucket count is fixed for the table's life; size it to the
-        cluster (default: ``spark.sql.shuffle.partitions``).
-        """
+               location: str | None = None) -> "WideTable":
+        """Ensure the table (K7): create it when absent, once, on the driver."""
         t = cls(spark, name, families)
-        if buckets is None:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         if not table_exists(spark, name):
             location = location or f"{shared_dir(spark)}/tables/{name}"
             fams = ", ".join(
@@ -77,189 +81,322 @@ class WideTable:
                 for f, quals in t.families.items())
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} (row_key string, {fams}, "
-                f"_source string, _version bigint) USING parquet "
-                f"PARTITIONED BY (_version) "
-                f"CLUSTERED BY (row_key) SORTED BY (row_key) INTO {buckets} BUCKETS "
-                f"LOCATION '{location}'")
+                f"_open map<string, string>, _source string, _version bigint, _batch string) "
+                f"USING parquet PARTITIONED BY (_batch) LOCATION '{location}'")
         return t
 
     @classmethod
     def open(cls, spark: SparkSession, name: str) -> "WideTable":
         """An existing table, its families read from the table schema."""
         fams = {f.name: [q.name for q in f.dataType.fields]
-                for f in spark.table(name).schema.fields
-                if f.name not in ("row_key", "_source", "_version")}
+                for f in spark.table(name).schema.fields if f.name not in _OWN}
         return cls(spark, name, fams)
 
     # -------------------------------------------------------------- writes --
     def cells(self, df: DataFrame, key: Column | str,
               mapping: Mapping[str, Column | str], source: Column | str | None = None
               ) -> DataFrame:
-        """Map fields to cells (K5): ``{'family:qualifier': column}``."""
+        """Map fields to cells (K5): ``{'family:qualifier': column}``.  A
+        qualifier that the family doesn't declare becomes an open cell."""
+        def value(v) -> Column:
+            return (F.col(v) if isinstance(v, str) else v).cast("string")
+
         k = F.col(key) if isinstance(key, str) else key
-        cols = [k.cast("string").alias("row_key")]
+        cols, more = [k.cast("string").alias("row_key")], []
+        for cell in mapping:
+            fam, qual = _cell_name(cell)
+            if fam not in self.families:
+                raise ValueError(f"unknown family in {cell!r}")
+            if qual not in self.families[fam]:
+                more.append(cell)
         for fam, quals in self.families.items():
-            parts = []
-            for q in quals:
-                v = mapping.get(f"{fam}:{q}")
-                v = F.lit(None) if v is None else (F.col(v) if isinstance(v, str) else v)
-                parts.append(v.cast("string").alias(q))
-            cols.append(F.struct(*parts).alias(fam))
-        src = F.lit(None) if source is None else (
-            F.col(source) if isinstance(source, str) else source)
-        cols.append(src.cast("string").alias("_source"))
-        unknown = set(mapping) - {f"{f}:{q}" for f, qs in self.families.items() for q in qs}
-        if unknown:
-            raise ValueError(f"unknown cells: {sorted(unknown)}")
+            cols.append(F.struct(*[
+                value(mapping.get(f"{fam}:{q}", F.lit(None))).alias(q)
+                for q in quals]).alias(fam))
+        if more:
+            every = F.map_from_entries(F.array(*[
+                F.struct(F.lit(c).alias("key"), value(mapping[c]).alias("value")) for c in more]))
+            cols.append(F.map_filter(every, lambda _, v: v.isNotNull()).alias("_open"))
+        else:
+            cols.append(F.lit(None).cast("map<string,string>").alias("_open"))
+        cols.append(value(F.lit(None) if source is None else source).alias("_source"))
         return df.select(*cols)
 
-    def put(self, rows: DataFrame, version: int) -> None:
+    def _has_cell(self) -> Column:
+        found = F.coalesce(F.size("_open") > 0, F.lit(False))
+        for fam, quals in self.families.items():
+            for q in quals:
+                found = found | F.col(f"{fam}.{q}").isNotNull()
+        return found
+
+    def put(self, rows: DataFrame, version: int, writer: str = WRITER,
+            folded: str = "refuse") -> bool:
         """Write one batch (K1, K2).  ``rows`` has the layout of ``cells``.
 
-        Rewriting the same ``version`` replaces that batch only.  Several
-        rows of one key in a batch are combined first, per cell the largest
-        ``(source, value)`` wins, with partial aggregation on the map side:
-        a key holding a third of the batch costs one row per task, and the
-        batch lands in the table as at most one row per key.  The combine's
-        exchange (hash of ``row_key``) is also the bucket layout, so each
-        task writes few bucket files.
+        Rewriting the same ``version`` of the same ``writer`` replaces that
+        batch only.  If a compaction has folded the batch already, it is
+        refused, or left as it is with ``folded="skip"``; returns whether it
+        was written.  Rows without any cell are left out, so no key appears
+        that nothing was written to.
         """
-        aggs = []
-        for fam, quals in self.families.items():
-            cells = []
-            for q in quals:
-                v = F.col(f"{fam}.{q}")
-                best = F.max(F.when(v.isNotNull(), F.struct(F.col("_source").alias("s"),
-                                                            v.alias("v"))))
-                cells.append(best["v"].alias(q))
-            aggs.append(F.struct(*cells).alias(fam))
-        combined = rows.groupBy("row_key").agg(*aggs, F.max("_source").alias("_source"))
-        cols = ["row_key", *self.families, "_source"]
+        batch = self._batch(version, writer)
+        if batch in self.folded():
+            if folded == "skip":
+                return False
+            raise ValueError(f"batch {batch} is part of a compaction and can't be rewritten")
+        cols = ["row_key", *self.families, "_open", "_source"]
         # a static partition spec replaces exactly this batch, whatever the
         # session's partitionOverwriteMode
         view = f"_medstar_put_{uuid.uuid4().hex[:12]}"
-        combined.select(*cols).createOrReplaceTempView(view)
+        rows.filter(self._has_cell()).select(*cols).createOrReplaceTempView(view)
         try:
             self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.name} PARTITION (_version = {int(version)}) "
-                f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
+                f"INSERT OVERWRITE TABLE {self.name} PARTITION (_batch = '{batch}') "
+                f"SELECT {', '.join(f'`{c}`' for c in cols)}, CAST({int(version)} AS BIGINT) "
+                f"FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
+        return True
 
-    def buckets(self) -> int:
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}") \
-            .filter("col_name = 'Num Buckets'").collect()
-        return int(rows[0]["data_type"])
-
-    def put_cells(self, cells: DataFrame, version: int) -> None:
+    def put_cells(self, cells: DataFrame, version: int, writer: str = WRITER,
+                  folded: str = "refuse") -> bool:
         """Single-cell writes (K4): rows ``(row_key, family, qualifier, value)``.
 
-        Several writes to one cell in the same batch keep the largest value,
-        so the result does not depend on task order.
+        A qualifier that the family doesn't declare is kept as an open cell;
+        a family that the table doesn't have fails the write.  Several writes
+        to one cell in a batch leave the largest value.
         """
-        fam_cols = []
-        for fam, quals in self.families.items():
-            fam_cols.append(F.struct(*[
-                F.when((F.col("family") == fam) & (F.col("qualifier") == q),
-                       F.col("value").cast("string")).alias(q)
-                for q in quals]).alias(fam))
-        rows = cells.select(F.col("row_key").cast("string").alias("row_key"), *fam_cols,
-                            F.lit(None).cast("string").alias("_source"))
-        self.put(rows, version)
-
-    # --------------------------------------------------------------- reads --
-    def log(self) -> DataFrame:
-        return self.spark.table(self.name)
+        fam, qual, value = F.col("family"), F.col("qualifier"), F.col("value").cast("string")
+        cols, declared = [], F.lit(False)
+        for f, quals in self.families.items():
+            cols.append(F.struct(*[F.when((fam == f) & (qual == q), value).alias(q)
+                                   for q in quals]).alias(f))
+            declared = declared | ((fam == f) & qual.isin(*quals))
+        unknown = F.raise_error(F.concat(F.lit("unknown family: "),
+                                         F.coalesce(fam, F.lit("null"))))
+        more = F.when(F.coalesce(~fam.isin(*self.families), F.lit(True)),
+                      unknown.cast("map<string,string>")).when(
+            ~declared & value.isNotNull(), F.create_map(F.concat(fam, F.lit(":"), qual), value))
+        rows = cells.select(F.col("row_key").cast("string").alias("row_key"), *cols,
+                            more.alias("_open"), F.lit(None).cast("string").alias("_source"))
+        return self.put(rows, version, writer, folded)
+
+    # ------------------------------------------------------------- batches --
+    @staticmethod
+    def _batch(version: int, writer: str) -> str:
+        if not writer or not all(c.isalnum() or c in "-_" for c in writer):
+            raise ValueError(f"writer {writer!r} must be letters, digits, '-' or '_'")
+        if writer == COMPACTED:
+            raise ValueError(f"{COMPACTED!r} is the compaction's own name")
+        return f"{writer}.{int(version)}"
 
     def location(self) -> str:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}") \
             .filter("col_name = 'Location'").collect()
         return rows[0]["data_type"]
 
-    def versions(self) -> list[int]:
-        """Batch numbers present, from the partition folders (no data read)."""
-        names = fs.list_names(self.spark, self.location(), hidden=True)
-        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("_version="))
+    def batches(self) -> list[str]:
+        """Names of the batches present, ``writer.number`` (no data read)."""
+        return sorted(r[0].split("=", 1)[1] for r in
+                      self.spark.sql(f"SHOW PARTITIONS {self.name}").collect())
+
+    def versions(self, writer: str = WRITER) -> list[int]:
+        """Numbers of a writer's batches."""
+        return sorted(int(b.split(".")[1]) for b in self.batches() if b.split(".")[0] == writer)
+
+    def _folded_path(self) -> str:
+        return f"{self.location()}/_folded"
+
+    def folded(self) -> set[str]:
+        """Batches that compactions have taken in."""
+        return set(fs.list_names(self.spark, self._folded_path()))
+
+    # --------------------------------------------------------------- reads --
+    def log(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def _wanted(self, cells: Iterable[str] | None) -> list[tuple[str, str, bool]]:
+        """(family, qualifier, declared) of each asked cell."""
+        out = []
+        for cell in (cells or [f"{f}:{q}" for f, qs in self.families.items() for q in qs]):
+            fam, qual = _cell_name(cell)
+            if fam not in self.families:
+                raise ValueError(f"unknown family in {cell!r}")
+            out.append((fam, qual, qual in self.families[fam]))
+        return out
+
+    def _flat(self, cells: Iterable[str] | None, key_range) -> tuple[DataFrame, dict[str, str]]:
+        """The log with one column per asked cell; ``{'family:qualifier': column}``."""
+        names, cols = {}, [F.col("row_key"), F.col("_version"), F.col("_source")]
+        for i, (fam, qual, declared) in enumerate(self._wanted(cells)):
+            names[f"{fam}:{qual}"] = f"c{i}"
+            cols.append((F.col(f"{fam}.{qual}") if declared else
+                         F.element_at("_open", f"{fam}:{qual}")).alias(f"c{i}"))
+        return self._in_range(key_range).select(*cols), names
+
+    def _in_range(self, key_range) -> DataFrame:
+        log = self.log()
+        lo, hi = key_range or (None, None)
+        if lo is not None:
+            log = log.filter(F.col("row_key") >= F.lit(lo))
+        if hi is not None:
+            log = log.filter(F.col("row_key") < F.lit(hi))
+        return log
+
+    def _repeated(self, key_range) -> tuple[DataFrame | None, bool]:
+        """Keys with more than one row, and whether they are few.  Only the key
+        column is read; the keys are written, so joins know their size."""
+        keys = self._in_range(key_range).select("row_key")
+        several = (keys.groupBy("row_key").count().filter("count > 1")
+                   .select("row_key", F.col("count").alias("rows")))
+        path = scratch_path(self.spark, "repeated-keys")
+        several.write.parquet(path)
+        several = self.spark.read.schema("row_key string, rows long").parquet(path)
+        n = several.agg(F.sum("rows")).first()[0]
+        if not n:
+            fs.delete(self.spark, path)
+            return None, True
+        return several.select("row_key"), n <= PICK_SHARE * keys.count()
 
     def latest(self, cells: Iterable[str] | None = None,
                key_range: tuple[str | None, str | None] | None = None) -> DataFrame:
         """Latest value of every selected cell (S2; S3 with ``cells``; S4 with
         ``key_range = (start, stop)``, start included, stop excluded, compared
-        as bytes)."""
-        wanted: dict[str, list[str]] = {}
-        for cell in (cells or [f"{f}:{q}" for f, qs in self.families.items() for q in qs]):
+        as bytes), for the keys that have one of them."""
+        flat, names = self._flat(cells, key_range)
+        cols = list(names.values())
+
+        def newest(rows: DataFrame) -> DataFrame:
+            aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(
+                "_version", "_source", F.col(c).alias("v"))))["v"].alias(c) for c in cols]
+            return rows.groupBy("row_key").agg(*aggs)
+
+        several, few = self._repeated(key_range)
+        if several is None:
+            out = flat.select("row_key", *cols)
+        elif few:
+            out = flat.join(several, "row_key", "left_anti").select("row_key", *cols).unionByName(
+                newest(flat.join(several, "row_key", "left_semi")))
+        else:
+            out = newest(flat)
+        out = out.filter(F.coalesce(*cols).isNotNull())
+        groups: dict[str, list[tuple[str, str]]] = {}
+        for cell, c in names.items():
             fam, qual = _cell_name(cell)
-            if qual not in self.families.get(fam, []):
-                raise ValueError(f"unknown cell {cell!r}")
-            wanted.setdefault(fam, []).append(qual)
-        log = self.log()
-        if key_range is not None:
-            lo, hi = key_range
-            if lo is not None:
-                log = log.filter(F.col("row_key") >= F.lit(lo))
-            if hi is not None:
-                log = log.filter(F.col("row_key") < F.lit(hi))
-        # select first: cells nobody asked for never reach the shuffle
-        flat = [F.col("row_key"), F.col("_version"), F.col("_source")]
-        flat += [F.col(f"{f}.{q}").alias(f"{f}__{q}") for f, qs in wanted.items() for q in qs]
-        log = log.select(*flat)
-        aggs = []
-        for f, qs in wanted.items():
-            for q in qs:
-                v = F.col(f"{f}__{q}")
-                newest = F.max(F.when(v.isNotNull(), F.struct("_version", "_source", v.alias("v"))))
-                aggs.append(newest["v"].alias(f"{f}__{q}"))
-        agg = log.groupBy("row_key").agg(*aggs)
-        return agg.select("row_key", *[
-            F.struct(*[F.col(f"{f}__{q}").alias(q) for q in qs]).alias(f)
-            for f, qs in wanted.items()])
+            groups.setdefault(fam, []).append((qual, c))
+        return out.select("row_key", *[
+            F.struct(*[F.col(c).alias(q) for q, c in qs]).alias(f) for f, qs in groups.items()])
 
     def scan(self, cells: Iterable[str], key_range=None, require: Iterable[str] = ()) -> DataFrame:
         """Rows with the selected cells, flattened to ``family_qualifier``
-        columns; ``require`` drops rows where those cells are absent (P3)."""
+        columns; keys holding none of them don't appear, ``require`` drops
+        rows where those cells are absent (P3)."""
+        cells = list(cells)
         view = self.latest(cells, key_range)
-        cols = [F.col("row_key")]
-        names = []
+        cols, names = [F.col("row_key")], {}
         for cell in cells:
             fam, qual = _cell_name(cell)
-            cols.append(F.col(f"{fam}.{qual}").alias(f"{fam}_{qual}"))
-            names.append(f"{fam}_{qual}")
-        out = view.select(*cols)
-        need = ["row_key"] + [f"{_cell_name(c)[0]}_{_cell_name(c)[1]}" for c in require]
-        return out.na.drop(how="any", subset=need)
-
-    def sample(self, fraction: float, seed: int | None = None, cells=None) -> DataFrame:
-        """Random rows, each kept with probability ``fraction``."""
-        return self.latest(cells).sample(withReplacement=False, fraction=fraction, seed=seed)
-
-    def compact(self, version: int) -> None:
-        """Fold the whole log into one batch ``version`` holding the latest
-        cells.  The old batches stay until ``drop_versions_below``."""
-        view = self.latest().withColumn("_source", F.lit("compacted"))
-        # Spark refuses to overwrite what the same plan reads: cut lineage
-        # into the shared checkpoint folder
-        shared_dir(self.spark)
-        view = view.checkpoint(eager=True)
-        self.put(view, version)
-
-    def maintain(self, max_versions: int) -> bool:
-        """Keep the log short: when more than ``max_versions`` batches exist,
-        fold them into one new batch (numbered after the newest) and drop the
-        folded ones.  Returns whether it compacted."""
-        versions = self.versions()
-        if len(versions) <= max_versions:
+            names[cell] = f"{fam}_{qual}"
+            cols.append(F.col(fam)[qual].alias(names[cell]))
+        need = ["row_key"] + ["{}_{}".format(*_cell_name(c)) for c in require]
+        return view.select(*cols).na.drop(how="any", subset=need)
+
+    def cell_rows(self) -> DataFrame:
+        """Latest cells one by one, open ones too:
+        ``(row_key, family, qualifier, value)``."""
+        every = [F.struct(F.lit(f"{f}:{q}").alias("cell"), F.col(f"{f}.{q}").alias("value"))
+                 for f, qs in self.families.items() for q in qs]
+        more = F.transform(F.map_entries(F.coalesce("_open", F.create_map().cast(
+            "map<string,string>"))), lambda e: F.struct(e["key"].alias("cell"), e["value"].alias("value")))
+        rows = self.log().select("row_key", "_version", "_source",
+                                 F.explode(F.concat(F.array(*every), more)).alias("c"))
+        best = F.max(F.struct("_version", "_source", F.col("c.value").alias("v")))["v"]
+        return (rows.filter("c.value is not null").groupBy("row_key", F.col("c.cell").alias("cell"))
+                .agg(best.alias("value"))
+                .select("row_key", F.split_part("cell", F.lit(":"), F.lit(1)).alias("family"),
+                        F.expr("substring(cell, locate(':', cell) + 1)").alias("qualifier"), "value"))
+
+    def sample(self, fraction: float, seed: int = 0, cells=None) -> DataFrame:
+        """Rows drawn by a hash of their key, each with probability
+        ``fraction`` (S5): the same keys on every run, engine and layout."""
+        return self.latest(cells).filter(key_share(F.col("row_key"), seed) < fraction)
+
+    # --------------------------------------------------------- maintenance --
+    def compact(self) -> str | None:
+        """Fold all batches present into one, and retire them.
+
+        A cell that a later write replaces is left out; every other cell keeps
+        its version and source, so later batches are ordered against it as
+        before.  Keys with one row pass as they are; rows are laid out in key
+        order.  Batches that arrive meanwhile are untouched, and an
+        interrupted compaction leaves only repeated rows, which the latest
+        view reads as one.
+        """
+        present = self.batches()
+        if not present:
+            return None
+        cols = [f"{f}.{q}" for f, qs in self.families.items() for q in qs]
+        log = self.log().filter(F.col("_batch").isin(*present)).drop("_batch")
+        owner = F.struct("_version", "_source")
+        names = {c: f"c{i}" for i, c in enumerate(cols)}
+        # per cell the version and source that own it, then one row per owner
+        aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(owner.alias("o"), F.col(c).alias("v"))))
+                .alias(names[c]) for c in cols]
+        several, _ = self._repeated(None)
+        if several is None:
+            rows = log
+        else:
+            again = log.join(several, "row_key", "left_semi")
+            best = again.groupBy("row_key").agg(*aggs)
+            owners = F.array_distinct(F.array_compact(F.array(*[
+                F.col(f"{n}.o") for n in names.values()])))
+            each = best.select("*", F.explode(owners).alias("o"))
+            fams = [F.struct(*[F.when(F.col(f"{names[f'{f}.{q}']}.o") == F.col("o"),
+                                      F.col(f"{names[f'{f}.{q}']}.v")).alias(q)
+                               for q in qs]).alias(f) for f, qs in self.families.items()]
+            declared = each.select("row_key", *fams,
+                                   F.lit(None).cast("map<string,string>").alias("_open"),
+                                   F.col("o._source").alias("_source"),
+                                   F.col("o._version").alias("_version"))
+            # open cells: the newest of each name, one row per owner
+            opened = (again.select("row_key", owner.alias("o"), F.explode("_open").alias("k", "v"))
+                      .groupBy("row_key", "k").agg(F.max(F.struct("o", "v")).alias("b"))
+                      .groupBy("row_key", "b.o").agg(F.map_from_entries(F.collect_list(
+                          F.struct("k", "b.v"))).alias("_open")))
+            empty = [F.lit(None).cast(log.schema[f].dataType).alias(f) for f in self.families]
+            rows = (log.join(several, "row_key", "left_anti")
+                    .unionByName(declared.select(*log.columns))
+                    .unionByName(opened.select("row_key", *empty, "_open", F.col("o._source").alias(
+                        "_source"), F.col("o._version").alias("_version")).select(*log.columns)))
+        name = f"{COMPACTED}.{uuid.uuid4().hex}"
+        path = f"{self.location()}/_batch={name}"
+        rows.repartitionByRange("row_key").sortWithinPartitions("row_key").write.parquet(path)
+        self.spark.sql(f"ALTER TABLE {self.name} ADD PARTITION (_batch = '{name}') LOCATION '{path}'")
+        for b in present:
+            if not b.startswith(f"{COMPACTED}."):
+                fs.write_text(self.spark, f"{self._folded_path()}/{b}", "")
+        self._retire(present)
+        return name
+
+    def maintain(self, max_batches: int) -> bool:
+        """Keep the log short: when more than ``max_batches`` batches exist,
+        fold them.  Returns whether it compacted."""
+        if len(self.batches()) <= max_batches:
             return False
-        new = versions[-1] + 1
-        self.compact(new)
-        self.drop_versions_below(new)
+        self.compact()
         return True
 
-    def drop_versions_below(self, version: int) -> None:
-        """Retire folded batches: catalog entry and files (the table is
-        external, so dropping the partition alone would leave the files)."""
+    def _retire(self, batches: list[str]) -> None:
+        """Catalog entries and files of folded batches (the table is external,
+        so dropping a partition alone would leave the files)."""
         loc = self.location()
-        for v in self.versions():
-            if v < version:
-                self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (_version={v})")
-                fs.delete(self.spark, f"{loc}/_version={v}")
+        for b in batches:
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (_batch = '{b}')")
+            fs.delete(self.spark, f"{loc}/_batch={b}")
         self.spark.catalog.refreshTable(self.name)
+
+
+def key_share(key: Column, seed: int = 0) -> Column:
+    """A number from 0 to 1 that depends on the key and the seed only."""
+    digest = F.md5(F.concat(key, F.lit(f":{int(seed)}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)

@@ -5,13 +5,15 @@ Each is one Catalyst plan per write; no RDD step.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hl7 import FACT_COLUMNS, INPATIENT_RANGE
 from ..operators.extract import extract_header, good, parse_fact, rejects
-from ..operators.wide_table import DOCUMENT_FAMILIES, WideTable
+from ..operators.wide_table import DOCUMENT_FAMILIES, WRITER, WideTable
 from ..session import shared_dir
 
 HEADER_CELLS = {
@@ -24,35 +26,44 @@ HEADER_CELLS = {
 
 def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version: int,
                      rejects_table: str | None = None, engine: str = "exact",
-                     on_error: str = "reject") -> WideTable:
+                     on_error: str = "reject", writer: str = WRITER,
+                     folded: str = "refuse") -> WideTable:
     """Documents ``(path, content)`` -> header cells + whole content as
-    batch ``version`` of the wide document table.
+    batch ``version`` of ``writer`` in the wide document table.
 
-    The header is parsed once; the parsed rows are persisted for the two
-    writes (good rows, rejects) and released afterwards.
+    A document that can't be read never vanishes: it is written to
+    ``rejects_table`` (``<table>_rejects`` unless named), or with
+    ``on_error="fail"`` fails the job.  The header is parsed once; the parsed
+    rows are persisted for the two writes and released afterwards.
     """
     wt = WideTable.create(spark, table, DOCUMENT_FAMILIES)
     parsed = extract_header(docs, keep=("path", "content"), engine=engine, on_error=on_error)
-    if rejects_table is not None:
-        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    ok = good(parsed)
-    wt.put(wt.cells(ok, "row_key", HEADER_CELLS, source="path"), version)
-    if rejects_table is not None:
-        _write_rejects(spark, rejects(parsed, key="path"), rejects_table, version)
+    if on_error == "fail":
+        wt.put(wt.cells(good(parsed), "row_key", HEADER_CELLS, source="path"), version, writer,
+               folded)
+        return wt
+    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if wt.put(wt.cells(good(parsed), "row_key", HEADER_CELLS, source="path"), version,
+                  writer, folded):
+            _write_rejects(spark, rejects(parsed, key="path"),
+                           rejects_table or f"{table}_rejects", version, writer)
+    finally:
         parsed.unpersist()
     return wt
 
 
-def _write_rejects(spark: SparkSession, bad: DataFrame, table: str, version: int) -> None:
+def _write_rejects(spark: SparkSession, bad: DataFrame, table: str, version: int,
+                   writer: str) -> None:
     """Rejects of one batch, partitioned like the batch: a rerun replaces
     them instead of adding them again."""
     location = f"{shared_dir(spark)}/tables/{table.replace('.', '/')}"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (path string, field string, reason string) "
-              f"USING parquet PARTITIONED BY (_version bigint) LOCATION '{location}'")
-    view = f"_medstar_rejects_{abs(hash((table, version))):x}"
+              f"USING parquet PARTITIONED BY (_batch string) LOCATION '{location}'")
+    view = f"_medstar_rejects_{uuid.uuid4().hex[:12]}"
     bad.select("path", "field", "reason").createOrReplaceTempView(view)
     try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (_version = {int(version)}) "
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (_batch = '{writer}.{int(version)}') "
                   f"SELECT path, field, reason FROM {view}")
     finally:
         spark.catalog.dropTempView(view)

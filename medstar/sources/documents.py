@@ -28,11 +28,13 @@ def strip_bom(content) -> F.Column:
 
 
 def read_documents(spark: SparkSession, directory: str,
-                   glob: str = "*.xml", recursive: bool = True) -> DataFrame:
-    """Every file under ``directory`` becomes one ``(path, content)`` row."""
+                   glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """Every file under ``directory`` becomes one ``(path, content)`` row;
+    ``glob``: only files of such names."""
     reader = (spark.read.format("text").option("wholetext", "true")
-              .option("pathGlobFilter", glob)
               .option("recursiveFileLookup", str(recursive).lower()))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     df = reader.load(directory)
     return df.select(F.col("_metadata.file_path").alias("path"),
                      strip_bom("value").alias("content"))

@@ -1,5 +1,6 @@
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from medstar.operators.wide_table import WideTable, table_exists
@@ -64,12 +65,69 @@ def test_not_null_filter_and_sample(spark):
 def test_compaction(spark):
     t = _t(spark)
     for v in (1, 2, 3):
-        t.put(t.cells(_rows(spark, [("a", f"t{v}", None)]), "k", {"specific:title": "title"}), v)
-    before = t.latest().collect()
-    t.compact(10)
-    t.drop_versions_below(10)
-    assert t.versions() == [10]
-    assert t.latest().collect() == before
+        t.put(t.cells(_rows(spark, [("a", f"t{v}", "c" if v == 1 else None), (f"k{v}", "x", None)]),
+                      "k", {"specific:title": "title", "specific:content": "content",
+                            "basic:more": F.lit(f"m{v}")}), v)
+    before = sorted(map(str, t.latest().collect()))
+    cells = sorted(map(tuple, t.cell_rows().collect()))
+    name = t.compact()
+    assert t.batches() == [name] and t.folded() == {"put.1", "put.2", "put.3"}
+    assert sorted(map(str, t.latest().collect())) == before
+    assert sorted(map(tuple, t.cell_rows().collect())) == cells
+    # cells keep their order: an older number loses, a newer one wins
+    t.put(t.cells(_rows(spark, [("a", "old", "old")]), "k",
+                  {"specific:title": "title", "specific:content": "content"}), 0)
+    assert t.scan(["specific:title"], key_range=("a", "b")).collect()[0][1] == "t3"
+    t.put(t.cells(_rows(spark, [("a", None, "new")]), "k", {"specific:content": "content"}), 2,
+          writer="other")
+    row = t.scan(["specific:title", "specific:content"], key_range=("a", "b")).collect()[0]
+    assert tuple(row)[1:] == ("t3", "new")
+
+
+def test_a_folded_batch_is_closed(spark):
+    t = _t(spark)
+    rows = t.cells(_rows(spark, [("a", "t", None)]), "k", {"specific:title": "title"})
+    t.put(rows, 1)
+    t.compact()
+    with pytest.raises(ValueError, match="can't be rewritten"):
+        t.put(rows, 1)
+    assert not t.put(rows, 1, folded="skip")
+    assert t.put(rows, 1, writer="other") and t.put(rows, 2)
+    with pytest.raises(ValueError):
+        t.put(rows, 1, writer="compacted")
+    assert t.log().count() == 3 and t.latest().count() == 1
+
+
+def test_open_cells_and_unknown_families(spark):
+    t = _t(spark)
+    cells = spark.createDataFrame(
+        [("r1", "basic", "typeCode", "C1"), ("r1", "basic", "ward", "W1"), ("r1", "basic", "ward", "W2"),
+         ("r2", "specific", "note:1", "n"), ("r3", "basic", "id", None)],
+        "row_key string, family string, qualifier string, value string")
+    t.put_cells(cells, 1)
+    got = {tuple(r) for r in t.cell_rows().collect()}
+    assert got == {("r1", "basic", "typeCode", "C1"), ("r1", "basic", "ward", "W2"),
+                   ("r2", "specific", "note:1", "n")}             # r3 holds nothing: no key
+    assert {r["row_key"]: r["basic_ward"] for r in t.scan(["basic:ward"]).collect()} == {"r1": "W2"}
+    assert t.scan(["basic:typeCode", "specific:title"]).count() == 1  # r2 has none of the two
+    with pytest.raises(Exception, match="unknown family: other"):
+        t.put_cells(spark.createDataFrame([("r1", "other", "q", "v")],
+                                          "row_key string, family string, qualifier string, value string"), 2)
+    with pytest.raises(ValueError, match="unknown family"):
+        t.cells(cells, "row_key", {"nope:x": "value"})
+
+
+def test_writing_shuffles_and_sorts_nothing(spark):
+    t = _t(spark)
+    rows = t.cells(_rows(spark, [("a", "t", "x")]), "k", {"specific:content": "content"})
+    plan = rows.filter(t._has_cell())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    t.put(rows, 1)
+    t.put(t.cells(_rows(spark, [("a", "t", "y")] + [(f"k{i}", "t", "x") for i in range(30)]), "k",
+                  {"specific:content": "content"}), 2)
+    # keys with one row pass by the aggregate
+    plan = t.latest(["specific:content"])._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
 
 
 def test_batches_survive_static_overwrite_mode(spark):
@@ -110,17 +168,12 @@ def test_ingest_fact_job_and_store(spark):
     assert spark.table(table).count() == 1
 
 
-def test_hot_key_batch_is_combined_before_the_shuffle(spark):
-    import os
-    t = WideTable.create(spark, f"wt_{uuid.uuid4().hex[:8]}", buckets=4)
+def test_hot_key(spark):
+    t = _t(spark)
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"),
         F.col("id").cast("string").alias("title"))
     t.put(t.cells(df, "k", {"specific:title": "title"}), 1)
-    assert t.log().filter("row_key = 'HOT'").count() == 1          # one row per key
-    loc = t.location().replace("file:", "")
-    files = [f for f in os.listdir(f"{loc}/_version=1") if f.endswith(".parquet")]
-    assert len(files) <= 4                                         # one file per bucket
     hot = t.latest(["specific:title"]).filter("row_key = 'HOT'").collect()[0]
     assert hot["specific"]["title"] == "999"                        # largest value wins
 
@@ -145,5 +198,20 @@ def test_maintain_bounds_the_number_of_batches(spark):
                       {"specific:title": "title"}), v)
     before = sorted(tuple(r) for r in t.scan(["specific:title"]).collect())
     assert not t.maintain(3)
-    assert t.maintain(2) and t.versions() == [4]
+    assert t.maintain(2) and len(t.batches()) == 1
     assert sorted(tuple(r) for r in t.scan(["specific:title"]).collect()) == before
+    # the next number is free: a compaction takes none
+    t.put(t.cells(_rows(spark, [("z", "t", None)]), "k", {"specific:title": "title"}), 4)
+    assert t.scan(["specific:title"]).count() == len(before) + 1
+
+
+def test_bad_documents_are_kept_without_asking(spark):
+    from medstar.plans import jobs
+    from medstar.sources.documents import literal_documents
+    from tests.docs import inpatient
+    name = f"emr_{uuid.uuid4().hex[:8]}"
+    docs = literal_documents(spark, [("a", inpatient()), ("b", "<broken"), ("c", "")])
+    jobs.ingest_documents(spark, docs, name, 1)
+    assert sorted(r["path"] for r in spark.table(f"{name}_rejects").collect()) == ["b", "c"]
+    with pytest.raises(Exception):
+        jobs.ingest_documents(spark, docs, name, 2, on_error="fail")

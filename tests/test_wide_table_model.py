@@ -15,7 +15,7 @@ BATCH = st.lists(st.tuples(KEYS, CELL, CELL, st.sampled_from(["f1", "f2"])), max
 @settings(max_examples=8, deadline=None)
 @given(st.lists(BATCH, min_size=1, max_size=3))
 def test_latest_view_matches_model(spark, batches):
-    t = WideTable.create(spark, f"wm_{uuid.uuid4().hex[:8]}", buckets=2)
+    t = WideTable.create(spark, f"wm_{uuid.uuid4().hex[:8]}")
     model: dict = {}
     for version, batch in enumerate(batches, start=1):
         df = spark.createDataFrame(batch, "k string, title string, content string, src string")
