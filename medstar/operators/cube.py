@@ -11,10 +11,16 @@ A cube has dimensions (fact columns) and a fixed set of mergeable measures:
 An average or an exact distinct count cannot be merged, so neither is
 stored.
 
-Storage: ``<root>/<cube>/segment=<yyyyMM_yyyyMM>/`` parquet, one row per
-grouping (``gid`` = ``grouping_id()``) and dimension values.  A small
-metadata file under ``<root>/_meta`` holds cube definitions, status and
-segments; every change writes a new version (tiny: one line per cube).
+Storage: every build writes a folder of its own,
+``<root>/<cube>/attempt=<id>/segment=<yyyyMM_yyyyMM>/gid=<n>`` (parquet, one row
+per grouping, ``gid`` = ``grouping_id()``, and dimension values).  A segment
+becomes visible when its folder is named in the metadata, so a reader sees
+the old rows or the new ones, and a refresh to nothing is nothing.
+
+Metadata: a numbered small file under ``<root>/_meta`` (one line per cube).  A
+change is made against the newest number and written as the next one, which
+only one writer can create; the others apply their change again to what
+that one wrote, so concurrent changes of one cube are never lost.
 
 Build, refresh and merge are Spark aggregations; the only driver work is the
 metadata row and the list of segment folders.
@@ -23,18 +29,19 @@ metadata row and the list of segment folders.
 from __future__ import annotations
 
 import json
-import time
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
 from ..sources import fs
 
-MAX_DIMENSIONS = 10          # 2^10 groupings; more is refused
+MAX_GROUPINGS = 1024         # stored when no grouping sets are named
 BUILD_TYPES = ("BUILD", "REFRESH", "MERGE")
+_END = "#end"                # last line of a whole metadata file
+KEPT_VERSIONS = 20           # older metadata files are deleted
 MEASURES = ["n_visits", "first_month", "last_month", "patients_hll"]
 
 
@@ -51,8 +58,8 @@ class CubeDef:
     segments: list[dict] = field(default_factory=list)
 
     def __post_init__(self):
-        if len(self.dimensions) > MAX_DIMENSIONS:
-            raise ValueError(f"more than {MAX_DIMENSIONS} dimensions")
+        if self.grouping_sets is None and 2 ** len(self.dimensions) > MAX_GROUPINGS:
+            raise ValueError(f"more than {MAX_GROUPINGS} groupings: name the grouping sets")
         self.model = self.model or self.name
 
     def to_row(self) -> dict:
@@ -64,8 +71,37 @@ class CubeDef:
 
 
 def month_of(epoch_ms: int) -> str:
-    """Epoch milliseconds -> ``yyyyMM`` in UTC."""
-    return datetime.fromtimestamp(epoch_ms / 1000, tz=timezone.utc).strftime("%Y%m")
+    """Start of a month in epoch milliseconds (UTC) -> ``yyyyMM``; any other
+    time is refused, since segments hold whole months."""
+    at = datetime.fromtimestamp(epoch_ms / 1000, tz=timezone.utc)
+    if (at.day, at.hour, at.minute, at.second, epoch_ms % 1000) != (1, 0, 0, 0, 0):
+        raise ValueError(f"{at.isoformat()} is not the start of a month")
+    return at.strftime("%Y%m")
+
+
+def ms_of(month: str) -> int:
+    """``yyyyMM`` -> epoch milliseconds of its start (UTC)."""
+    at = datetime(int(month[:4]), int(month[4:6]), 1, tzinfo=timezone.utc)
+    return int(at.timestamp()) * 1000
+
+
+def _next_month(month: str) -> str:
+    y, m = int(month[:4]), int(month[4:6])
+    return f"{y + m // 12:04d}{m % 12 + 1:02d}"
+
+
+def time_bounds(fact: DataFrame, time_column: str = "inTimeId") -> tuple[int, int] | None:
+    """The smallest whole-month range (epoch ms) that holds every row with a
+    time; None without any."""
+    r = fact.agg(F.min(time_column).alias("lo"), F.max(time_column).alias("hi")).first()
+    return None if r["lo"] is None else (ms_of(r["lo"][:6]), ms_of(_next_month(r["hi"][:6])))
+
+
+def _range(start_ms: int, end_ms: int) -> tuple[str, str]:
+    lo, hi = month_of(start_ms), month_of(end_ms)
+    if lo >= hi:
+        raise ValueError(f"empty range {lo}_{hi}")
+    return lo, hi
 
 
 def gid_of(dimensions: list[str], grouped: list[str]) -> int:
@@ -75,6 +111,25 @@ def gid_of(dimensions: list[str], grouped: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, d in enumerate(dimensions) if d not in grouped)
 
 
+def _fits(lo: str, hi: str):
+    """Refuses a range that overlaps a segment."""
+    def check(cube: CubeDef) -> None:
+        for s in cube.segments:
+            if s["lo"] < hi and lo < s["hi"]:
+                raise ValueError(f"segment {lo}_{hi} overlaps {s['name']}")
+
+    return check
+
+
+def _refreshes(seg: str):
+    """Refuses a refresh of a segment that isn't there."""
+    def check(cube: CubeDef) -> None:
+        if all(s["name"] != seg for s in cube.segments):
+            raise ValueError(f"no segment {seg} to refresh")
+
+    return check
+
+
 class CubeStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -85,35 +140,49 @@ class CubeStore:
     def _meta_path(self) -> str:
         return f"{self.root}/_meta"
 
+    def _versions(self) -> list[str]:
+        return [v for v in fs.list_names(self.spark, self._meta_path()) if v.endswith(".json")]
+
+    def _newest(self) -> tuple[int, dict[str, CubeDef]]:
+        """The newest whole metadata file: its number and the cubes.  A file
+        whose writer died half-way has no end line and doesn't count."""
+        names = sorted(self._versions(), reverse=True)
+        number = int(names[0][1:-5]) if names else 0
+        for name in names:
+            if self._cached is None or self._cached[0] != name:
+                lines = fs.read_text(self.spark, f"{self._meta_path()}/{name}").split("\n")
+                if lines[-1] != _END:
+                    continue
+                self._cached = (name, [json.loads(line) for line in lines[:-1]])
+            return number, {r["name"]: CubeDef.from_row(r["body"]) for r in self._cached[1]}
+        return number, {}
+
     def _load(self) -> dict[str, CubeDef]:
-        versions = [v for v in fs.list_names(self.spark, self._meta_path())
-                    if v.endswith(".json")]
-        if not versions:
-            return {}
-        latest = max(versions)
-        if self._cached is None or self._cached[0] != latest:
-            text = fs.read_text(self.spark, f"{self._meta_path()}/{latest}")
-            self._cached = (latest, [json.loads(line) for line in text.splitlines() if line])
-        return {r["name"]: CubeDef.from_row(r["body"]) for r in self._cached[1]}
-
-    def _save(self, cubes: dict[str, CubeDef]) -> None:
-        """A new metadata version (one small JSON-lines file, written by the
-        driver: it holds one line per cube, never data)."""
-        version = f"v{time.time_ns():020d}.json"
-        rows = [c.to_row() for c in cubes.values()]
-        fs.write_text(self.spark, f"{self._meta_path()}/{version}",
-                      "".join(json.dumps(r) + "\n" for r in rows))
-        self._cached = (version, rows)
-        for old in fs.list_names(self.spark, self._meta_path()):
-            if old.endswith(".json") and old < version:
+        return self._newest()[1]
+
+    def _change(self, change) -> None:
+        """Applies ``change(cubes)`` (which may refuse) to the newest metadata
+        and writes the next version; again if another writer was first."""
+        while True:
+            number, cubes = self._newest()
+            change(cubes)
+            rows = [c.to_row() for c in cubes.values()]
+            name = f"v{number + 1:020d}.json"
+            text = "".join(json.dumps(r) + "\n" for r in rows) + _END
+            if fs.create_text(self.spark, f"{self._meta_path()}/{name}", text):
+                break
+        self._cached = (name, rows)
+        for old in self._versions():
+            if int(old[1:-5]) <= number - KEPT_VERSIONS:
                 fs.delete(self.spark, f"{self._meta_path()}/{old}")
 
     def define(self, cube: CubeDef) -> CubeDef:
-        cubes = self._load()
-        if cube.name in cubes:
-            raise ValueError(f"cube {cube.name} exists")
-        cubes[cube.name] = cube
-        self._save(cubes)
+        def add(cubes: dict[str, CubeDef]) -> None:
+            if cube.name in cubes:
+                raise ValueError(f"cube {cube.name} exists")
+            cubes[cube.name] = cube
+
+        self._change(add)
         return cube
 
     def get(self, name: str) -> CubeDef:
@@ -122,24 +191,27 @@ class CubeStore:
             raise KeyError(f"no cube {name}")
         return cubes[name]
 
-    def _update(self, cube: CubeDef) -> None:
-        cubes = self._load()
-        cubes[cube.name] = cube
-        self._save(cubes)
+    def _update(self, name: str, change) -> None:
+        """``change(cube)`` on the newest definition of one cube."""
+        def one(cubes: dict[str, CubeDef]) -> None:
+            if name not in cubes:
+                raise KeyError(f"no cube {name}")
+            change(cubes[name])
+
+        self._change(one)
 
     def enable(self, name: str) -> None:
         """Q5."""
-        c = self.get(name)
-        if not c.segments:
-            raise ValueError(f"cube {name} has no segment to serve")
-        c.status = "READY"
-        self._update(c)
+        def ready(c: CubeDef) -> None:
+            if not c.segments:
+                raise ValueError(f"cube {name} has no segment to serve")
+            c.status = "READY"
+
+        self._update(name, ready)
 
     def disable(self, name: str) -> None:
         """Q5."""
-        c = self.get(name)
-        c.status = "DISABLED"
-        self._update(c)
+        self._update(name, lambda c: setattr(c, "status", "DISABLED"))
 
     # -------------------------------------------------------------- build --
     def _cube_path(self, name: str) -> str:
@@ -162,32 +234,23 @@ class CubeStore:
               build_type: str = "BUILD") -> str:
         """Q1 / Q2 / Q3.  Returns the segment name.
 
-        BUILD and REFRESH compute the segment ``[start, end)`` (whole months)
-        from the fact; REFRESH requires it to exist, BUILD that it does not
-        overlap another.  MERGE folds the segments inside the range into one.
+        BUILD and REFRESH compute the segment ``[start, end)`` from the fact;
+        both bounds are starts of months.  REFRESH requires the segment to
+        exist, BUILD that it does not overlap another.  MERGE folds the
+        segments inside the range into one.
         """
         if build_type not in BUILD_TYPES:
             raise ValueError(f"build type must be one of {BUILD_TYPES}")
-        cube = self.get(name)
-        lo, hi = month_of(start_ms), month_of(end_ms)
+        lo, hi = _range(start_ms, end_ms)
         if build_type == "MERGE":
             return self.merge(name, lo, hi)
-        seg = f"{lo}_{hi}"
-        existing = {s["name"]: s for s in cube.segments}
-        if build_type == "REFRESH" and seg not in existing:
-            raise ValueError(f"no segment {seg} to refresh")
-        if build_type == "BUILD":
-            for s in cube.segments:
-                if s["lo"] < hi and lo < s["hi"]:
-                    raise ValueError(f"segment {seg} overlaps {s['name']}")
+        cube, seg = self.get(name), f"{lo}_{hi}"
+        check = _refreshes(seg) if build_type == "REFRESH" else _fits(lo, hi)
+        check(cube)
         t = F.col(cube.time_column)
         rows = self._aggregate(cube, fact.filter((t >= lo) & (t < hi)))
-        self._write_segment(cube, seg, rows)
-        cube.segments = [s for s in cube.segments if s["name"] != seg] + [
-            {"name": seg, "lo": lo, "hi": hi}]
-        cube.segments.sort(key=lambda s: s["lo"])
-        cube.status = "READY"
-        self._update(cube)
+        self._publish(name, self._write(name, rows.withColumn("segment", F.lit(seg))),
+                      [(lo, hi)], check)
         return seg
 
     def build_segments(self, name: str, fact: DataFrame, bounds_ms: list[int]) -> list[str]:
@@ -199,10 +262,9 @@ class CubeStore:
         months = [month_of(b) for b in bounds_ms]
         if len(months) < 2 or months != sorted(set(months)):
             raise ValueError("bounds must be increasing months")
-        segs = [(lo, hi) for lo, hi in zip(months, months[1:])]
-        for s in cube.segments:
-            if s["lo"] < months[-1] and months[0] < s["hi"]:
-                raise ValueError(f"range overlaps segment {s['name']}")
+        segs = list(zip(months, months[1:]))
+        check = _fits(months[0], months[-1])
+        check(cube)
         t = F.col(cube.time_column)
         seg_col = F.lit(None).cast("string")
         for lo, hi in reversed(segs):
@@ -218,46 +280,64 @@ class CubeStore:
             F.min(cube.time_column).alias("first_month"),
             F.max(cube.time_column).alias("last_month"),
             F.hll_sketch_agg(cube.patient_column).alias("patients_hll"))
-        names = [f"{lo}_{hi}" for lo, hi in segs]
-        for n in names:                    # leftovers of a failed earlier attempt
-            fs.delete(self.spark, f"{self._cube_path(name)}/segment={n}")
-        (agg.select(*dims, *MEASURES, "gid", "segment").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("segment", "gid")
-         .parquet(self._cube_path(name)))
-        cube.segments = sorted(cube.segments + [{"name": f"{lo}_{hi}", "lo": lo, "hi": hi}
-                                                for lo, hi in segs], key=lambda x: x["lo"])
-        cube.status = "READY"
-        self._update(cube)
-        return names
-
-    def _write_segment(self, cube: CubeDef, seg: str, rows: DataFrame) -> None:
-        # straight into the segment's own folder: replaces this segment only,
-        # whatever the session's partitionOverwriteMode; one sub-folder per
-        # cuboid, so a query reads the files of its cuboid only
-        (rows.write.mode("overwrite").partitionBy("gid")
-         .parquet(f"{self._cube_path(cube.name)}/segment={seg}"))
+        self._publish(name, self._write(name, agg), segs, check)
+        return [f"{lo}_{hi}" for lo, hi in segs]
+
+    def _write(self, name: str, rows: DataFrame) -> str:
+        """Rows of one or more segments into a folder of their own; one
+        sub-folder per cuboid, so a query reads the files of its cuboid only."""
+        attempt = f"attempt={uuid.uuid4().hex}"
+        (rows.write.partitionBy("segment", "gid").parquet(f"{self._cube_path(name)}/{attempt}"))
+        return attempt
+
+    def _publish(self, name: str, attempt: str, segs: list[tuple[str, str]], check,
+                 replaced: tuple[str, ...] = ()) -> None:
+        """Names the written segments in the metadata, after ``check`` against
+        its newest state, and retires the folders nothing refers to any more."""
+        names = {f"{lo}_{hi}" for lo, hi in segs} | set(replaced)
+
+        def swap(cube: CubeDef) -> None:
+            check(cube)
+            cube.segments = sorted(
+                [s for s in cube.segments if s["name"] not in names]
+                + [{"name": f"{lo}_{hi}", "lo": lo, "hi": hi, "folder": attempt} for lo, hi in segs],
+                key=lambda s: s["lo"])
+            cube.status = "READY"
+
+        before = {s["name"]: s["folder"] for s in self.get(name).segments}
+        try:
+            self._update(name, swap)
+        except Exception:
+            fs.delete(self.spark, f"{self._cube_path(name)}/{attempt}")
+            raise
+        for old in names & set(before):
+            self._drop(name, before[old], old)
+
+    def _drop(self, name: str, folder: str, segment: str) -> None:
+        fs.delete(self.spark, f"{self._cube_path(name)}/{folder}/segment={segment}")
 
     def merge(self, name: str, lo: str, hi: str) -> str:
-        """Q3: one segment from all segments inside ``[lo, hi)``."""
+        """Q3: one segment from all segments inside ``[lo, hi)``, which must
+        follow each other without a gap."""
         cube = self.get(name)
         parts = [s for s in cube.segments if s["lo"] >= lo and s["hi"] <= hi]
         if len(parts) < 2:
             raise ValueError("a merge needs at least two segments in the range")
+        for a, b in zip(parts, parts[1:]):
+            if a["hi"] != b["lo"]:
+                raise ValueError(f"no segment holds {a['hi']}_{b['lo']}: a merge would hide the gap")
         new_lo, new_hi = parts[0]["lo"], parts[-1]["hi"]
         seg = f"{new_lo}_{new_hi}"
-        merged = self._merge_rows(cube, self._read_segments(cube, [s["name"] for s in parts]))
-        # write beside the old segments, then retire them: readers never see
-        # a half-merged cube, and a failed merge leaves the old ones intact
-        shared_dir(self.spark)                 # checkpoint into the shared folder
-        merged = merged.checkpoint(eager=True)
-        self._write_segment(cube, seg, merged)
-        cube.segments = [s for s in cube.segments if s not in parts] + [
-            {"name": seg, "lo": new_lo, "hi": new_hi}]
-        cube.segments.sort(key=lambda s: s["lo"])
-        self._update(cube)
-        for s in parts:
-            if s["name"] != seg:
-                fs.delete(self.spark, f"{self._cube_path(name)}/segment={s['name']}")
+
+        def same(c: CubeDef) -> None:
+            if not all(p in c.segments for p in parts):
+                raise ValueError("a segment of the merge has changed meanwhile")
+
+        # the new segment is written beside the old ones, which are retired when
+        # it is visible: a failed merge leaves them as they are
+        rows = self._merge_rows(cube, self._read_segments(cube, parts))
+        self._publish(name, self._write(name, rows.withColumn("segment", F.lit(seg))),
+                      [(new_lo, new_hi)], same, tuple(p["name"] for p in parts))
         return seg
 
     def _merge_rows(self, cube: CubeDef, rows: DataFrame) -> DataFrame:
@@ -270,12 +350,15 @@ class CubeStore:
 
     def purge(self, name: str) -> None:
         """Q4: drop every segment; the definition stays."""
-        cube = self.get(name)
-        for s in cube.segments:
-            fs.delete(self.spark, f"{self._cube_path(name)}/segment={s['name']}")
-        cube.segments = []
-        cube.status = "DISABLED"
-        self._update(cube)
+        gone: list[dict] = []
+
+        def empty(c: CubeDef) -> None:
+            gone[:] = c.segments
+            c.segments, c.status = [], "DISABLED"
+
+        self._update(name, empty)
+        for s in gone:
+            self._drop(name, s["folder"], s["name"])
 
     # -------------------------------------------------------------- reads --
     def _schema(self, cube: CubeDef) -> str:
@@ -283,20 +366,21 @@ class CubeStore:
                          + ["n_visits bigint", "first_month string", "last_month string",
                             "patients_hll binary", "gid bigint", "segment string"])
 
-    def _read_segments(self, cube: CubeDef, names: list[str]) -> DataFrame:
+    def _read_segments(self, cube: CubeDef, segments: list[dict]) -> DataFrame:
         base = self._cube_path(cube.name)
         schema = self._schema(cube)
-        # a segment without rows in its range may have no folder at all
-        paths = [f"{base}/segment={n}" for n in names]
+        # a segment without rows in its range has no folder at all
+        paths = [f"{base}/{s['folder']}/segment={s['name']}" for s in segments]
         paths = [p for p in paths if fs.exists(self.spark, p)]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        return (self.spark.read.schema(schema + ", attempt string").option("basePath", base)
+                .parquet(*paths).drop("attempt"))
 
     def cuboids(self, name: str) -> DataFrame:
         """Every stored row of every segment."""
         cube = self.get(name)
-        return self._read_segments(cube, [s["name"] for s in cube.segments])
+        return self._read_segments(cube, cube.segments)
 
     def query(self, name: str, group_by: list[str], where: dict | None = None,
               estimate_patients: bool = False,
@@ -306,11 +390,14 @@ class CubeStore:
 
         ``between=(start_ms, end_ms)`` answers for that time window from the
         segments inside it only (only their folders are read); a window that
-        cuts a segment is refused, since a segment's totals cannot be split."""
+        cuts a segment is refused, since a segment's totals cannot be split.
+
+        Without a visit in the window or under the filters there is no row,
+        with or without ``group_by``."""
         cube = self.get(name)
         segments = cube.segments
         if between is not None:
-            lo, hi = month_of(between[0]), month_of(between[1])
+            lo, hi = _range(*between)
             cut = [s["name"] for s in segments
                    if s["lo"] < hi and lo < s["hi"] and not (lo <= s["lo"] and s["hi"] <= hi)]
             if cut:
@@ -331,8 +418,7 @@ class CubeStore:
             if not fits:
                 raise ValueError("no stored grouping holds these columns")
             target = gid_of(cube.dimensions, min(fits, key=len))
-        rows = self._read_segments(cube, [s["name"] for s in segments]) \
-            .filter(F.col("gid") == target)
+        rows = self._read_segments(cube, segments).filter(F.col("gid") == target)
         for col, val in where.items():
             rows = rows.filter(F.col(col).isin(*val) if isinstance(val, (list, tuple, set))
                                else F.col(col) == val)
@@ -341,6 +427,8 @@ class CubeStore:
             F.min("first_month").alias("first_month"),
             F.max("last_month").alias("last_month"),
             F.hll_union_agg("patients_hll").alias("patients_hll"))
+        if not group_by:
+            out = out.filter(F.col("n_visits").isNotNull())     # nothing was added up
         if estimate_patients:
             out = out.withColumn("patients_est", F.hll_sketch_estimate("patients_hll"))
         return out.drop("patients_hll")

@@ -48,6 +48,24 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not move {path}.tmp into place")
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file that must not exist yet; False if it does."""
+    from py4j.protocol import Py4JJavaError
+
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm

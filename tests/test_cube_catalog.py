@@ -3,7 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from medstar.operators.cube import CubeDef, CubeStore, gid_of, month_of
+from medstar.operators.cube import CubeDef, CubeStore, gid_of, month_of, time_bounds
 from medstar.operators.item_stats import item_statistics
 from medstar.plans import catalog, warehouse
 from medstar.session import scratch_path
@@ -174,3 +174,77 @@ def test_query_time_window_reads_its_segments(spark, fact):
     assert s.query("c", [], between=(JAN95, JAN97)).collect()[0]["n_visits"] == fact.count()
     with pytest.raises(ValueError):
         s.query("c", [], between=(JAN95 + 2_678_400_000, JAN97))   # starts inside 1995
+
+
+FEB95, JAN98 = 791596800000, 883612800000
+
+
+def test_bounds_are_starts_of_months(spark, fact):
+    s = _store(spark)
+    for a, b in [(JAN95 + 86_400_000, JAN96), (JAN95, JAN96 + 1), (JAN96, JAN95), (JAN95, JAN95)]:
+        with pytest.raises(ValueError):
+            s.build("c", fact, a, b)
+    assert s.get("c").segments == []
+    assert time_bounds(fact) == (JAN95, JAN97)
+    assert time_bounds(fact.filter("false")) is None
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_refresh_to_nothing(spark, fact, mode):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        s = _store(spark)
+        s.build_segments("c", fact, [JAN95, JAN96, JAN97])
+        s.build("c", fact.filter("inTimeId >= '199601'"), JAN95, JAN96, build_type="REFRESH")
+        assert s.query("c", []).first()["n_visits"] == fact.filter("inTimeId >= '199601'").count()
+        s.build("c", fact.filter("false"), JAN96, JAN97, build_type="REFRESH")
+        assert s.cuboids("c").count() == 0 and s.query("c", []).count() == 0
+        assert s.query("c", ["genderId"]).count() == 0
+        s.purge("c")
+        s.build("c", fact, JAN95, JAN97)
+        assert s.query("c", []).first()["n_visits"] == fact.count()
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_merge_refuses_a_gap(spark, fact):
+    s = _store(spark)
+    s.build("c", fact, JAN95, FEB95)
+    s.build("c", fact, JAN96, JAN97)
+    with pytest.raises(ValueError, match="gap"):
+        s.build("c", fact, JAN95, JAN98, build_type="MERGE")
+    s.build("c", fact, FEB95, JAN96)
+    assert s.build("c", fact, JAN95, JAN98, build_type="MERGE") == "199501_199701"
+    assert s.query("c", []).first()["n_visits"] == fact.count()
+
+
+def test_concurrent_builds_lose_nothing(spark, fact):
+    a = _store(spark)
+    b = CubeStore(spark, a.root)
+    a.get("c"), b.get("c")
+    inner = a._write
+
+    def meanwhile(name, rows):                  # b builds while a's rows are written
+        a._write = inner
+        b.build("c", fact, JAN96, JAN97)
+        return inner(name, rows)
+
+    a._write = meanwhile
+    a.build("c", fact, JAN95, JAN96)
+    assert [s["name"] for s in CubeStore(spark, a.root).get("c").segments] == [
+        "199501_199601", "199601_199701"]
+    # the same range twice: the later one is refused and leaves no folder
+    a._write = lambda name, rows: (setattr(a, "_write", inner), b.build("c", fact, JAN97, JAN98),
+                                   inner(name, rows))[2]
+    with pytest.raises(ValueError, match="overlaps"):
+        a.build("c", fact, JAN97, JAN98)
+    assert len(b.get("c").segments) == 3
+    assert b.query("c", []).first()["n_visits"] == fact.count()
+
+
+def test_many_dimensions_with_named_groupings(spark):
+    dims = [f"d{i}" for i in range(12)]
+    with pytest.raises(ValueError):
+        CubeDef("wide", dims)
+    assert CubeDef("wide", dims, grouping_sets=[dims, ["d3"]]).dimensions == dims
