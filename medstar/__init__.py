@@ -8,12 +8,14 @@ dimensions and pre-aggregated into time-segmented cubes.
 
 __version__ = "0.1.0"
 
+import logging as _logging
 import sys as _sys
 
 try:
     # Ship the package's functions by value with every Python UDF, so
     # executors need no installed copy of it.
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # noqa: BLE001 — older cloudpickle: rely on an installed package
-    pass
+    from pyspark.cloudpickle import register_pickle_by_value as _by_value
+    _by_value(_sys.modules[__name__])
+except (ImportError, AttributeError) as _e:
+    _logging.getLogger(__name__).warning(
+        "functions are not shipped by value (%s): executors need medstar installed", _e)

@@ -30,7 +30,7 @@ from typing import Callable, Sequence
 from xml.etree import ElementTree as ET
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,20 +94,6 @@ def _attr(nodes, name) -> list[str]:
     return [] if v is None else [v]
 
 
-def _element_set(root, steps: tuple, cache: dict) -> list:
-    """Node set of element-only ``steps`` from the root, memoised per
-    document by path prefix (fields share their leading steps)."""
-    if not steps:
-        return [root]
-    hit = cache.get(steps)
-    if hit is None:
-        prev = _element_set(root, steps[:-1], cache)
-        s = steps[-1]
-        hit = _child(prev, s.name) if s.axis == "child" else _desc(prev, s.name)
-        cache[steps] = hit
-    return hit
-
-
 def node_text(node) -> str:
     return "".join(node.itertext())
 
@@ -189,9 +175,6 @@ class Field:
         last = self.steps[-1]
         return self.steps[:-1] if last.axis == "attr" else self.steps
 
-    def evaluate(self, root, cache: dict | None = None) -> str:
-        return self.finish(_element_set(root, self.element_steps, {} if cache is None else cache))
-
     def finish(self, elems: list) -> str:
         """From the element set of the path to the field value."""
         last = self.steps[-1]
@@ -305,12 +288,16 @@ def extract_udf(fields: Sequence[Field], on_error: str = "reject"):
                 gc.enable()
         return pd.DataFrame(cols, columns=names)
 
-    # Declared non-deterministic so Catalyst never copies the call into a
-    # pushed-down filter: each document is parsed exactly once per plan.
-    return _extract.asNondeterministic()
+    return _extract
 
 
-def extract(content: Column | str, fields: Sequence[Field],
-            on_error: str = "reject") -> Column:
-    col = F.col(content) if isinstance(content, str) else content
-    return extract_udf(fields, on_error)(col)
+def with_extract(df: DataFrame, keep: Sequence[str], content: str, fields: Sequence[Field],
+                 name: str, on_error: str = "reject") -> DataFrame:
+    """``keep`` columns and the extracted fields as struct ``name``.
+
+    The struct passes through a one-element generator: filters on its fields
+    stay above it, so each document is parsed exactly once per plan, while
+    filters on kept columns go below the parse and reach the scan.
+    """
+    parsed = df.select(*keep, extract_udf(fields, on_error)(F.col(content)).alias("__parsed"))
+    return parsed.select(*keep, F.explode(F.array("__parsed")).alias(name))

@@ -433,12 +433,16 @@ class CubeStore:
             out = out.withColumn("patients_est", F.hll_sketch_estimate("patients_hll"))
         return out.drop("patients_hll")
 
-    def register_views(self, prefix: str = "cube_") -> list[str]:
+    def forget(self) -> None:
+        """Read the metadata anew next time."""
+        self._cached = None
+
+    def register_views(self, prefix: str = "cube_", only: str | None = None) -> list[str]:
         """Q6 (a): one temp view per READY cube (its cuboid rows, HLL sketches
         read as estimates), so plain ``spark.sql`` text can query them."""
         names = []
         for c in self._load().values():
-            if c.status != "READY":
+            if c.status != "READY" or only not in (None, c.name):
                 continue
             view = f"{prefix}{c.name}"
             (self.cuboids(c.name)

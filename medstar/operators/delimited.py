@@ -28,8 +28,8 @@ def split_fields(line, sep: str = ","):
 
 
 def parse_delimited(df: DataFrame, names: Sequence[str] = PLAYER_FIELDS,
-                    line: str = "line", sep: str = ",") -> DataFrame:
-    """``names`` columns plus ``err`` (null for a good record)."""
+                    line: str = "line", sep: str = ",", keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` and ``names`` columns plus ``err`` (null for a good record)."""
     parts = split_fields(F.col(line), sep)
     # number of fields once trailing empty ones are dropped
     trimmed = F.size(F.split(F.regexp_replace(F.col(line), f"(\\Q{sep}\\E)+$", ""), sep, -1))
@@ -38,4 +38,4 @@ def parse_delimited(df: DataFrame, names: Sequence[str] = PLAYER_FIELDS,
     err = F.when(bad, F.format_string("record: %d of %d fields", F.coalesce(kept, F.lit(0)),
                                       F.lit(len(names))))
     cols = [F.when(~bad, F.get(parts, i)).alias(n) for i, n in enumerate(names)]
-    return df.select(*cols, err.alias("err"))
+    return df.select(*keep, *cols, err.alias("err"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hl7 import FACT_COLUMNS, FACT_FIELDS, HEADER_FIELDS
-from ..functions.xml_paths import extract
+from ..functions.xml_paths import with_extract
 
 HEADER_COLUMNS = [f.name for f in HEADER_FIELDS]
 
@@ -47,8 +47,7 @@ def extract_header(df: DataFrame, content: str = "content",
     markup, and text after the document element is accepted.
     """
     if engine == "exact":
-        x = extract(F.col(content), HEADER_FIELDS, on_error).alias("_h")
-        out = df.select(*_keep_cols(df, keep), x)
+        out = with_extract(df, keep, content, HEADER_FIELDS, "_h", on_error)
         return out.select(*keep, *[F.col(f"_h.{c}").alias(c) for c in HEADER_COLUMNS],
                           F.col("_h.err").alias("err"))
     if engine != "jvm":
@@ -90,8 +89,7 @@ def extract_header(df: DataFrame, content: str = "content",
 def parse_fact(df: DataFrame, content: str = "content",
                keep: Sequence[str] = ("row_key",), on_error: str = "reject") -> DataFrame:
     """Eight patient-fact columns of each document plus ``err``."""
-    x = extract(F.col(content), FACT_FIELDS, on_error).alias("_f")
-    out = df.select(*_keep_cols(df, keep), x)
+    out = with_extract(df, keep, content, FACT_FIELDS, "_f", on_error)
     addr = F.concat(F.col("_f._city"), F.lit(" "), F.col("_f._county"))   # C4
     cols = [addr.alias(c) if c == "addr" else F.col(f"_f.{c}").alias(c)
             for c in FACT_COLUMNS]

@@ -1,68 +1,61 @@
 """Star join of the patient fact with its dimensions.
 
-A dimension is broadcast only when its size is proven: either it is fixed
-by definition (a code list, months of a calendar) or a bounded count —
-``limit(max_rows + 1).count()``, which stops reading after ``max_rows + 1``
-rows — shows it is small.  Beyond the bound the join is left to the planner
-(sort-merge join on the key, AQE may still switch at run time).
+A dimension whose size is bounded by definition (a code list, months of a
+calendar) is broadcast.  Any other is left to the planner, which broadcasts it
+only below ``spark.sql.autoBroadcastJoinThreshold`` bytes (by file statistics,
+or at run time by AQE) and joins by sorting otherwise; no job runs while the
+plan is built.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
 
 @dataclass
 class Dimension:
     """``df`` keyed by ``key``, joined on ``fact_key``.
 
-    ``fixed=True`` declares a size bound by construction (no check needed).
+    ``fixed=True`` declares a size bound by construction.
     """
     df: DataFrame
     key: str
     fact_key: str
     fixed: bool = False
-    max_rows: int = DEFAULT_BROADCAST_ROWS
 
 
-# Prefix of salted stand-ins for null keys; no dimension key starts with it.
-_NULL_SALT = "\u0000null:"
+# Prefix of stand-ins for keys that match nothing; no dimension key starts with it.
+_NO_MATCH = "\u0000none:"
+
+
+def spread_key(key: str, columns: list[str]) -> Column:
+    """The key as text; where it is null or empty, which no dimension has, a
+    stand-in that depends on the row.  It never matches either, but rows
+    without a key spread over all partitions (retries see the same value)."""
+    text = F.col(key).cast("string")
+    own = F.concat(F.lit(_NO_MATCH), F.xxhash64(*[F.col(c) for c in columns]).cast("string"))
+    return F.when(text.isNull() | (text == ""), own).otherwise(text)
 
 
 def star_join(fact: DataFrame, dims: list[Dimension], how: str = "left") -> DataFrame:
     """Fact rows with the attributes of every dimension (key columns dropped).
 
     ``how='left'`` keeps fact rows whose key has no dimension row (the
-    attributes are null); ``how='inner'`` drops them.
-
-    When a dimension is too big to broadcast, fact rows with a null key would
-    all hash to one shuffle partition; they join on a stand-in key instead
-    (a hash of the row, so retries see the same value) that spreads them and
-    never matches.  Other hot keys are split by AQE's skew-join handling.
+    attributes are null); ``how='inner'`` drops them.  Keys of dimensions are
+    neither null nor empty.  Other hot keys are split by AQE's skew-join
+    handling.
     """
     out = fact
     for d in dims:
-        if d.fixed or is_bounded(d.df, d.max_rows):
+        if d.fixed:
             side = F.broadcast(d.df)
             out = out.join(side, out[d.fact_key] == side[d.key], how).drop(side[d.key])
             continue
-        salted = F.coalesce(F.col(d.fact_key).cast("string"),
-                            F.concat(F.lit(_NULL_SALT),
-                                     F.xxhash64(*[F.col(c) for c in out.columns]).cast("string")))
         tmp = f"__join_{d.fact_key}"
-        left = out.withColumn(tmp, salted)
-        out = left.join(d.df, left[tmp] == d.df[d.key], how).drop(d.df[d.key]).drop(tmp)
+        left = out.withColumn(tmp, spread_key(d.fact_key, out.columns))
+        side = d.df.filter(F.col(d.key) != "")
+        out = left.join(side, left[tmp] == side[d.key], how).drop(side[d.key]).drop(tmp)
     return out

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cube import CubeStore
 from ..session import shared_dir
 
 
@@ -20,7 +21,13 @@ def load_tables(spark: SparkSession, names: str, project: str, source_dir: str,
         spark.sql(f"CREATE TABLE IF NOT EXISTS {project}.{name} USING parquet "
                   f"LOCATION '{source_dir.rstrip('/')}/{name}.parquet'")
         if analyze:
+            # size, rows and statistics of every column (atomic types have them)
             spark.sql(f"ANALYZE TABLE {project}.{name} COMPUTE STATISTICS")
+            columns = [f.name for f in spark.table(f"{project}.{name}").schema
+                       if f.dataType.typeName() not in ("array", "map", "struct", "variant")]
+            if columns:
+                names = ", ".join(f"`{c}`" for c in columns)
+                spark.sql(f"ANALYZE TABLE {project}.{name} COMPUTE STATISTICS FOR COLUMNS {names}")
         loaded.append(name)
     return loaded
 
@@ -54,9 +61,25 @@ def table_stats(spark: SparkSession, project: str) -> DataFrame:
     return out
 
 
-def wipe_cache(spark: SparkSession, kind: str, name: str, action: str = "update") -> None:
+def column_stats(spark: SparkSession, project: str) -> DataFrame:
+    """Q10: nulls of every analysed column, ``(table_name, column_name,
+    n_nulls)``, from the catalog (no data read)."""
+    rows = []
+    for t in spark.catalog.listTables(project):
+        for f in spark.table(f"{project}.{t.name}").schema:
+            info = {r[0]: r[1] for r in
+                    spark.sql(f"DESCRIBE EXTENDED {project}.{t.name} `{f.name}`").collect()}
+            if info.get("num_nulls") not in (None, "NULL"):
+                rows.append((t.name, f.name, int(info["num_nulls"])))
+    return spark.createDataFrame(rows, "table_name string, column_name string, n_nulls bigint")
+
+
+def wipe_cache(spark: SparkSession, kind: str, name: str, action: str = "update",
+               store: CubeStore | None = None, prefix: str = "cube_") -> None:
     """Q11: ``kind`` METADATA (a table) or CUBE; ``action`` create, update
-    or drop.  Drops cached data and stale file listings."""
+    or drop.  Drops cached data and stale file listings of that table, or of
+    that cube's view (``register_views`` made it under ``prefix``) and what
+    ``store`` remembers of its metadata; nothing else is touched."""
     if kind not in ("METADATA", "CUBE") or action not in ("create", "update", "drop"):
         raise ValueError("kind METADATA|CUBE, action create|update|drop")
     if kind == "METADATA":
@@ -65,5 +88,14 @@ def wipe_cache(spark: SparkSession, kind: str, name: str, action: str = "update"
                 spark.catalog.uncacheTable(name)
             if action != "drop":
                 spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.clearCache()
+        return
+    view = f"{prefix}{name}"
+    if spark.catalog.tableExists(view):
+        if spark.catalog.isCached(view):
+            spark.catalog.uncacheTable(view)
+        if action == "drop":
+            spark.catalog.dropTempView(view)
+    if store is not None:
+        store.forget()
+        if action != "drop":
+            store.register_views(prefix, only=name)

@@ -19,7 +19,7 @@ from ..sources.tables import read_table
 # ---- fixed values: administrative gender codes (GB/T 2261.1) -------------
 GENDER_CODES = [("0", "unknown"), ("1", "male"), ("2", "female"), ("9", "unspecified")]
 # ---------------------------------------------------------------------------
-AGE_BANDS = 15      # age band ids 0..14 cover ages 0..149
+AGE_BANDS = 100     # age band ids 0..99 cover ages 0..999
 
 
 def gender_dim(spark: SparkSession) -> DataFrame:

@@ -27,7 +27,7 @@ HEADER_CELLS = {
 def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version: int,
                      rejects_table: str | None = None, engine: str = "exact",
                      on_error: str = "reject", writer: str = WRITER,
-                     folded: str = "refuse") -> WideTable:
+                     folded: str = "refuse", location: str | None = None) -> WideTable:
     """Documents ``(path, content)`` -> header cells + whole content as
     batch ``version`` of ``writer`` in the wide document table.
 
@@ -36,7 +36,7 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version:
     ``on_error="fail"`` fails the job.  The header is parsed once; the parsed
     rows are persisted for the two writes and released afterwards.
     """
-    wt = WideTable.create(spark, table, DOCUMENT_FAMILIES)
+    wt = WideTable.create(spark, table, DOCUMENT_FAMILIES, location)
     parsed = extract_header(docs, keep=("path", "content"), engine=engine, on_error=on_error)
     if on_error == "fail":
         wt.put(wt.cells(good(parsed), "row_key", HEADER_CELLS, source="path"), version, writer,
@@ -47,17 +47,18 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version:
         if wt.put(wt.cells(good(parsed), "row_key", HEADER_CELLS, source="path"), version,
                   writer, folded):
             _write_rejects(spark, rejects(parsed, key="path"),
-                           rejects_table or f"{table}_rejects", version, writer)
+                           rejects_table or f"{table}_rejects", version, writer,
+                           location and f"{location}-rejects")
     finally:
         parsed.unpersist()
     return wt
 
 
 def _write_rejects(spark: SparkSession, bad: DataFrame, table: str, version: int,
-                   writer: str) -> None:
+                   writer: str, location: str | None = None) -> None:
     """Rejects of one batch, partitioned like the batch: a rerun replaces
     them instead of adding them again."""
-    location = f"{shared_dir(spark)}/tables/{table.replace('.', '/')}"
+    location = location or f"{shared_dir(spark)}/tables/{table.replace('.', '/')}"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (path string, field string, reason string) "
               f"USING parquet PARTITIONED BY (_batch string) LOCATION '{location}'")
     view = f"_medstar_rejects_{uuid.uuid4().hex[:12]}"
@@ -103,12 +104,12 @@ def store_fact(spark: SparkSession, fact: DataFrame, table: str,
 
 
 def upload_first_document(spark: SparkSession, docs: DataFrame, table: str, version: int,
-                          row_key: str = "row4") -> WideTable:
+                          row_key: str = "row4", location: str | None = None) -> WideTable:
     """K3: the first document (by path) as the ``specific:content`` cell of
     one fixed row.  The original took whichever document came first; here
     the order is the path, so the result is the same on every run."""
     from ..sources.documents import first_document
-    wt = WideTable.create(spark, table, DOCUMENT_FAMILIES)
+    wt = WideTable.create(spark, table, DOCUMENT_FAMILIES, location)
     first = first_document(docs)
     wt.put(wt.cells(first, F.lit(row_key), {"specific:content": "content"}, source="path"),
            version)

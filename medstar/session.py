@@ -62,6 +62,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_scratch: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location under the shared folder, for what lives as
+    long as the application: its folder is deleted when the driver exits."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        root = f"{shared_dir(spark)}/scratch-{app}-{uuid.uuid4().hex[:8]}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _scratch[app] = root
+    return f"{_scratch[app]}/{name}-{uuid.uuid4().hex[:12]}"

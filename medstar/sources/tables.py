@@ -11,8 +11,3 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
-
-def register_tables(spark: SparkSession, data_dir: str, names=TABLES) -> None:
-    """Temp views named after the tables, for SQL."""
-    for name in names:
-        read_table(spark, data_dir, name).createOrReplaceTempView(name)

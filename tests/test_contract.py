@@ -3,6 +3,7 @@ and the flagship entry."""
 
 import decimal
 import math
+import re
 
 import duckdb
 import pytest
@@ -43,7 +44,9 @@ def test_entry(spark):
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"row_sample"}
+    # queries of the training-data package are checked by its own tests
+    own = {q for q in E.queries() if not re.match(r"op\d+_|pipeline$", q)}
+    assert own <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))

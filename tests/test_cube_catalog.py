@@ -248,3 +248,18 @@ def test_many_dimensions_with_named_groupings(spark):
     with pytest.raises(ValueError):
         CubeDef("wide", dims)
     assert CubeDef("wide", dims, grouping_sets=[dims, ["d3"]]).dimensions == dims
+
+
+def test_wipe_cache_touches_one_cube_only(spark, fact):
+    s = _store(spark, "k1")
+    s.define(CubeDef("k2", DIMS))
+    s.build("k1", fact, JAN95, JAN97)
+    s.build("k2", fact, JAN95, JAN97)
+    s.register_views("w_")
+    for v in ("w_k1", "w_k2"):
+        spark.catalog.cacheTable(v)
+        spark.table(v).count()
+    catalog.wipe_cache(spark, "CUBE", "k1", store=s, prefix="w_")
+    assert not spark.catalog.isCached("w_k1") and spark.catalog.isCached("w_k2")
+    catalog.wipe_cache(spark, "CUBE", "k2", action="drop", prefix="w_")
+    assert not spark.catalog.tableExists("w_k2") and spark.catalog.tableExists("w_k1")

@@ -48,3 +48,29 @@ def test_cube_query_reads_one_cuboid(spark):
     # reaches the Parquet scan
     assert "PartitionFilters: [isnotnull(gid" in text and "= 0)]" in text
     assert "PushedFilters: [In(inClassId, [KS01,KS02,KS03])]" in text
+
+
+def test_a_filter_on_the_key_goes_below_the_parse(spark):
+    from medstar.plans import jobs
+
+    df = jobs.fact_job(E._ingested(spark, SF_SMALL)).filter("row_key = 'RN32_005'")
+    plan = _formatted(df)
+    assert "EqualTo(row_key,RN32_005)" in plan and _plan(df).count("ArrowEvalPython") == 1
+
+
+def test_item_statistics_scan_the_scores_once(spark):
+    plan = _plan(E.queries()["item_stats"](spark, SF_SMALL))
+    assert plan.count("lineitem.parquet") == 1 and "l_quantity" in plan
+
+
+def test_rejected_statistics_of_huge_counts(spark):
+    from pyspark.sql import functions as F
+    from medstar.operators.item_stats import item_rejects, item_statistics
+
+    many = spark.range(2).select(
+        F.lit("P").alias("paper_code"), F.lit("y").alias("create_time"), F.col("id").alias("student"),
+        F.lit(1).alias("item_id"), (F.col("id") * 2_000_000_000).alias("score"))
+    row = item_statistics(many, 2.5e9).first()
+    assert row["avg_score"] is None and float(row["nandu"]) == 0.4
+    assert {r["field"] for r in item_rejects(many, 2.5e9).collect()} == {
+        "avg_score", "fc_score", "bzc_score"}

@@ -1,9 +1,11 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
 
 from medstar.operators.delimited import parse_delimited
-from medstar.operators.star import Dimension, checked_broadcast, is_bounded, star_join
+from medstar.operators.star import Dimension, spread_key, star_join
 from medstar.sources.documents import first_document, literal_lines, read_documents
 from tests.docs import inpatient
 
@@ -13,7 +15,8 @@ def test_directory_scan_whole_files_and_bom(spark):
     for name, text in [("b.xml", inpatient()), ("a.xml", "﻿" + inpatient()), ("skip.txt", "x")]:
         with open(os.path.join(d, name), "w", encoding="utf-8") as f:
             f.write(text)
-    docs = read_documents(spark, d)
+    assert read_documents(spark, d).count() == 3       # every file, whatever its name
+    docs = read_documents(spark, d, glob="*.xml")
     rows = sorted(docs.collect(), key=lambda r: r["path"])
     assert [os.path.basename(r["path"]) for r in rows] == ["a.xml", "b.xml"]
     assert rows[0]["content"] == inpatient()           # BOM removed, file whole
@@ -21,24 +24,16 @@ def test_directory_scan_whole_files_and_bom(spark):
 
 
 def test_delimited_trailing_empties(spark):
-    lines = literal_lines(spark, ["row1,30,messi,male,10000", "row2,27,x,male,",
+    lines = literal_lines(spark, ["row1,41,anna,f,2500", "row2,33,bert,m,",
                                   "row3,1,a,b,c,extra", "", "row4,,n,g,s"])
     out = {r["row_key"]: r for r in parse_delimited(lines).collect()}
-    assert out["row1"]["salary"] == "10000" and out["row1"]["err"] is None
+    assert out["row1"]["salary"] == "2500" and out["row1"]["err"] is None
     assert out["row3"]["salary"] == "c"
     assert out["row4"]["age"] == "" and out["row4"]["err"] is None
     bad = [r for r in parse_delimited(lines).collect() if r["err"] is not None]
     assert len(bad) == 2
 
 
-def test_checked_broadcast(spark):
-    small = spark.range(10)
-    assert is_bounded(small, 10) and not is_bounded(small, 9)
-    plan = spark.range(100).join(checked_broadcast(small, 100), "id")._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "Broadcast" in plan
-
-
 def test_star_join_left_keeps_unmatched(spark):
     fact = spark.createDataFrame([("1", "KS01"), ("3", "KS99")], "genderId string, inClassId string")
     g = spark.createDataFrame([("1", "male")], "gender_id string, gender_name string")
@@ -50,19 +45,40 @@ def test_star_join_left_keeps_unmatched(spark):
     assert star_join(fact, [Dimension(g, "gender_id", "genderId")], how="inner").count() == 1
 
 
-def test_star_join_big_dimension_with_null_keys(spark):
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, old)
+
+
+def test_keys_that_match_nothing_are_spread(spark, no_broadcast):
+    fact = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, "").when(F.col("id") % 4 == 1, None).otherwise("7").alias("doc"),
+        F.col("id"))
+    dim = spark.createDataFrame([("1", "Dr One"), ("", "nobody")], "doc_id string, name string")
+    out = star_join(fact, [Dimension(dim, "doc_id", "doc")])
+    assert out.count() == 4000 and out.filter("name is not null").count() == 0
+    keys = fact.select(spread_key("doc", fact.columns).alias("k"), "doc").repartition(16, "k")
+    used = keys.filter("coalesce(doc, '') = ''").select(F.spark_partition_id().alias("p")).distinct()
+    assert used.count() == 16
+
+
+def test_star_join_big_dimension_with_null_keys(spark, no_broadcast):
     fact = spark.createDataFrame([("1", "a"), (None, "b"), (None, "c"), ("7", "d")],
                                  "doc string, tag string")
     dim = spark.createDataFrame([("1", "Dr One"), ("2", "Dr Two")], "doc_id string, name string")
-    out = star_join(fact, [Dimension(dim, "doc_id", "doc", max_rows=1)])   # too big: no broadcast
+    out = star_join(fact, [Dimension(dim, "doc_id", "doc")])
     got = sorted((r["tag"], r["doc"], r["name"]) for r in out.collect())
     assert got == [("a", "1", "Dr One"), ("b", None, None), ("c", None, None), ("d", "7", None)]
     assert out.columns == ["doc", "tag", "name"]
-    inner = star_join(fact, [Dimension(dim, "doc_id", "doc", max_rows=1)], how="inner")
+    inner = star_join(fact, [Dimension(dim, "doc_id", "doc")], how="inner")
     assert [r["tag"] for r in inner.collect()] == ["a"]
 
 
-def test_star_join_same_result_with_and_without_broadcast(spark):
+def test_star_join_same_result_with_and_without_broadcast(spark, request):
     from medstar.operators.extract import patient_fact
     from medstar.plans.dimensions import derived_dimensions
     from medstar.sources.seed import order_documents
@@ -70,10 +86,8 @@ def test_star_join_same_result_with_and_without_broadcast(spark):
     fact = patient_fact(order_documents(spark, SF_SMALL), keep=("path",))
     small = derived_dimensions(spark, SF_SMALL)
     big = derived_dimensions(spark, SF_SMALL)
-    for d in big:
-        if not d.fixed:
-            d.max_rows = 1                       # force the shuffle join
     a = sorted(tuple(r) for r in star_join(fact, small).collect())
+    request.getfixturevalue("no_broadcast")
     b = sorted(tuple(r) for r in star_join(fact, big).collect())
     assert a == b and len(a) > 0
 
