@@ -216,17 +216,18 @@ def q_directory_ingest(spark, sf_dir):
 
 def q_fact_store(spark, sf_dir):
     """E2 with its sink: the fact appended to the warehouse fact table."""
+    fact = jobs.fact_job(_ingested(spark, sf_dir))
     db = _name("emr_dw")
+    table = f"{db}.t_fact_patient"
     current = spark.catalog.currentDatabase()
     try:
         warehouse.create_database(spark, db)
-        table = f"{db}.t_fact_patient"
-        jobs.store_fact(spark, jobs.fact_job(_ingested(spark, sf_dir)), table,
-                        location=scratch_path(spark, "fact-table"))
+        jobs.store_fact(spark, fact, table, location=scratch_path(spark, "fact-table"))
     finally:
         spark.catalog.setCurrentDatabase(current)
     shown = warehouse.show_tables(spark, db).filter("not isTemporary").select("tableName")
-    return spark.table(table).crossJoin(F.broadcast(shown))     # one table is there
+    return spark.table(table).withColumn("tableName", F.lit("t_fact_patient")).join(
+        F.broadcast(shown), "tableName")
 
 
 def q_row_count(spark, sf_dir):
