@@ -13,8 +13,8 @@ regression over the largest savings and the shares of windows above 1 to 4
 bytes turns the windows of a whole text into a calibrated score.
 
 The classifier is fitted on a bounded sample of labelled rows, at most about
-``max_rows`` rows and ``max_bytes`` bytes of text of each label, chosen by a
-hash of the text; the rows of a label are weighted by their sampling rate.
+``max_rows`` rows and ``max_bytes`` bytes of text of each label, chosen by
+hashes of id and text; the rows of a label are weighted by their sampling rate.
 Scoring covers every window of every text: no shuffle, one Arrow pass.
 
 Defined results: null and empty texts have no window with text and score like
@@ -45,6 +45,7 @@ ORDINARY_BYTES, TOXIC_BYTES = 64 << 10, (16 << 10, 8 << 10, 4 << 10, 4 << 10)
 THRESHOLD = 0.7
 FEATURES = TOP + 5
 _SAMPLES = 100_000                    # windows given to one dictionary training
+_AT_ONCE = 50_000                     # windows compressed in one call
 
 
 def windows(encoded: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -72,10 +73,11 @@ def _compressor(dictionary: bytes) -> zs.ZstdCompressor:
 def _lengths(data: bytes, segments: np.ndarray, by: zs.ZstdCompressor) -> np.ndarray:
     out = np.zeros(len(segments), np.float64)
     full = np.flatnonzero(segments[:, 1] > 0)                # an empty window has length 0
-    if len(full):
-        packed_ = by.multi_compress_to_buffer(
-            zs.BufferWithSegments(data, segments[full].tobytes()), threads=1)
-        out[full] = [len(x) for x in packed_]
+    for at in range(0, len(full), _AT_ONCE):
+        part = full[at:at + _AT_ONCE]
+        done = by.multi_compress_to_buffer(
+            zs.BufferWithSegments(data, segments[part].tobytes()), threads=1)
+        out[part] = [len(x) for x in done]
     return out
 
 
@@ -188,27 +190,38 @@ def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray,
     return model
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 8000,
-                 max_bytes: int = 24 << 20) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 5000,
+                 max_bytes: int = 10 << 20) -> ToxicityModel:
     """Fits on labelled rows whose id is not held out, see the module."""
-    known = (labels.filter("doc_id is not null and toxic is not null")
-             .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").alias("toxic")))
-    rows = (docs.filter(~held_out(docs["doc_id"]))
-            .select(F.col("doc_id").cast("long").alias("id"), "text").filter("text is not null")
-            .join(known, "id").select("toxic", "text"))
-    size = F.octet_length("text")
-    sums = {r["toxic"] > 0: r for r in rows.groupBy("toxic").agg(
-        F.count("*").alias("n"), F.sum(size).alias("bytes")).collect()}
-    rate = {k: min(1.0, max_rows / r["n"], max_bytes / max(1, r["bytes"])) for k, r in sums.items()}
-    if len(rate) < 2:
+    known = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()
+                           & ~held_out(F.col("doc_id")))
+             .groupBy(F.col("doc_id").cast("long").alias("id"))
+             .agg((F.max("toxic") > 0).alias("toxic")))
+    n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    if len(n) < 2:
         return ToxicityModel()
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1e6
-    got = (rows.filter(place < F.when(F.col("toxic") > 0, rate[True]).otherwise(rate[False]))
-           # one text alone may be longer than the bound
-           .filter(size <= max_bytes).select("toxic", "text").toPandas())
-    got = got.sort_values(["toxic", "text"], ignore_index=True)
-    toxic = got["toxic"].to_numpy() > 0
-    return fit(list(got["text"]), toxic, np.where(toxic, 1 / rate[True], 1 / rate[False]))
+    rate = {k: min(1.0, max_rows / x) for k, x in n.items()}
+
+    def chosen(of, rates: dict):
+        return F.pmod(F.xxhash64(of), F.lit(1_000_000)) / 1e6 < F.when(
+            F.col("toxic"), rates[True]).otherwise(rates[False])
+
+    # about max_rows ids of each label: a table of that size meets the texts
+    ids = known.filter(chosen("id", rate))
+    # one text alone may be longer than the bound
+    rows = (docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+            .filter(F.octet_length("text") <= max_bytes)
+            .join(F.broadcast(ids), "id").select("toxic", "text"))
+    size = {r["toxic"]: r["bytes"] for r in rows.groupBy("toxic").agg(
+        F.sum(F.octet_length("text")).alias("bytes")).collect()}
+    if len(size) < 2:
+        return ToxicityModel()
+    part = {k: min(1.0, max_bytes / max(1, x)) for k, x in size.items()}
+    got = rows.filter(chosen("text", part)).toPandas().sort_values(
+        ["toxic", "text"], ignore_index=True)
+    toxic = got["toxic"].to_numpy(bool)
+    weight = np.where(toxic, 1 / (rate[True] * part[True]), 1 / (rate[False] * part[False]))
+    return fit(list(got["text"]), toxic, weight)
 
 
 def _score_column(model: ToxicityModel):
