@@ -7,36 +7,20 @@ from pyspark.sql import functions as F
 
 from medstar.session import scratch_path
 
-#: Folders written by ``cut`` in this Python process, for ``drop_scratch``.
-_written: list[tuple[SparkSession, str]] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: writes ``df`` to a fresh folder of the shared storage and
-    reads it back, so a lost executor costs no recomputation from the start."""
+    reads it back, so a lost executor costs no recomputation from the start.
+    The folder goes when the driver exits."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    _written.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch() -> int:
-    """Deletes the folders that ``cut`` has written; call it once the results
-    that read them are themselves written."""
-    n = 0
-    while _written:
-        spark, path = _written.pop()
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        n += bool(fs.delete(hadoop, True))
-    return n
-
-
 def text_key(text: Column) -> Column:
     """128-bit key of a whole text (null counts as empty)."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
