@@ -9,7 +9,7 @@ a lookup by id skip files, stripes and row groups, and stripes are read in
 parallel.
 
 Encoding.  BPE works on single words of the lower-cased text, so a word's ids
-are kept in the Python worker and reused; the tokenizer library encodes each
+are kept in the Python worker and reused; the library's BPE model encodes each
 new word.  That holds for texts in Latin letters and common punctuation, where
 its normalisation and word pattern are plain; any other text, and any text
 that may hold a special token, goes to the tokenizer whole.  The word cache
@@ -39,11 +39,29 @@ from pyspark.sql import functions as F
 from medstar.llm.common import byte_size, cut, text_key
 from medstar.session import scratch_path
 
-END_ID, STRIPE_BYTES, STRIDE, FILE_BYTES, CACHE_WORDS = 1, 16 << 20, 1000, 64 << 20, 400_000
+END_ID, STRIPE_BYTES, STRIDE, FILE_BYTES, CACHE_WORDS = 1, 16 << 20, 1000, 64 << 20, 300_000
 #: Characters for which lower case, NFC and the word pattern are the plain ones.
-_PLAIN = re.compile("[^\\x00-\\u012f\\u0131-\\u017f\\u2010-\\u2027\\u2030-\\u203e\\u20ac]|<\\|")
+_NOT_PLAIN = re.compile("[^\\x00-\\u012f\\u0131-\\u017f\\u2010-\\u2027\\u2030-\\u203e\\u20ac]")
 _L, _N, _S = "a-zªµº\\u00df-\\u00f6\\u00f8-\\u017f", "0-9²³¹¼-¾", "\\t-\\r \\x85\\xa0"
-_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+
+
+def _pattern(letter: str, digit: str, blank: str) -> re.Pattern:
+    # the endings come before other punctuation, as in the tokenizer's pattern
+    return re.compile(f"[{letter}]+|'s|'t|'re|'ve|'m|'ll|'d|[{digit}]|[^{blank}{letter}{digit}]+")
+
+
+_WORDS, _ASCII_WORDS = _pattern(_L, _N, _S), _pattern("a-z", "0-9", "\\t-\\r ")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable bytes
+    stand for themselves, the others follow from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -52,30 +70,45 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
-
-    def _new(self, words: list[str]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        for word, got in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
-            self.known[word] = np.array(got.ids, "<u4").tobytes()
+        self.missed = 0
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        elif not word.isprintable():
+            word = word.translate(_BYTE_LETTERS)
+        return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word.  Frequent words come early, so a full cache takes
+        no more; if many are missed then, the texts have changed and it begins
+        anew."""
+        known = self.known
+        new = {w: self._word(w) for w in set(words) if w not in known}
+        out = [new[w] if w in new else known[w] for w in words]
+        if len(known) < CACHE_WORDS:
+            known.update(new)
+        else:
+            self.missed += len(new)
+            if self.missed > 8 * CACHE_WORDS:
+                known.clear()
+                self.missed = 0
+        return out
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian 32-bit numbers."""
         text = text or ""
-        if _PLAIN.search(text):
+        plain = text.isascii()
+        if "<|" in text or not plain and _NOT_PLAIN.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
                             "<u4").tobytes()
-        words = _WORDS.findall(text.lower())
+        words = (_ASCII_WORDS if plain else _WORDS).findall(text.lower())
         try:
             return b"".join([self.known[w] for w in words])
         except KeyError:
-            self._new(sorted({w for w in words if w not in self.known}))
-            known = self.known
-            if all(w in known for w in words):
-                return b"".join([known[w] for w in words])
-            self._new(sorted(set(words)))               # the cache was emptied meanwhile
-            return b"".join([self.known[w] for w in words])
+            return b"".join(self._words(words))
 
 
 def _encoder(path: str) -> Encoder:
