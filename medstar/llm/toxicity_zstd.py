@@ -6,11 +6,14 @@ ordinary dictionary alone and once with the toxic one in front of it; the
 bytes that the toxic dictionary saves are the window's distance.  An ordinary
 window saves nothing, one with toxic expressions several bytes.
 
-Toxic documents are ordinary for the most part, so the toxic dictionary is
-trained in rounds: from all windows of toxic documents first, then from those
-that save more than ``quantile`` of the ordinary windows do.  A logistic
-regression over the largest savings and the shares of windows above 1 to 4
-bytes turns the windows of a whole text into a calibrated score.
+Toxic documents are ordinary for the most part, so the text to train the toxic
+dictionary on is chosen in rounds: first the occurrences, in toxic documents,
+of words that far more toxic than ordinary documents hold (a likelihood-ratio
+test), then the windows of toxic documents that save more than ``QUANTILE`` of
+the ordinary windows do in the round before.  The round whose
+savings explain the labels best gives the dictionary.  A logistic regression
+over the largest savings and the shares of windows above 1 to 4 bytes turns
+the windows of a whole text into a calibrated score.
 
 The classifier is fitted on a bounded sample of labelled rows, at most about
 ``max_rows`` rows and ``max_bytes`` bytes of text of each label, chosen by
@@ -26,6 +29,8 @@ differing labels of one id count as toxic.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,10 +45,13 @@ from pyspark.sql.functions import pandas_udf
 from medstar.llm import textvec as T
 from medstar.llm.common import held_out, packed, unpacked
 
-WINDOW, OVERLAP, TOP = 128, 16, 6
-ORDINARY_BYTES, TOXIC_BYTES = 64 << 10, (16 << 10, 8 << 10, 4 << 10, 4 << 10)
+WINDOW, OVERLAP, TOP = 64, 16, 6
+ORDINARY_BYTES, WORD_BYTES = 64 << 10, (2 << 10, 8 << 10)
+ROUND_BYTES = tuple(n << 10 for n in (4, 2, 1, 3, 2))
+QUANTILE, RATIO_TEST = 0.99, 14.0
 THRESHOLD = 0.7
 FEATURES = TOP + 5
+_WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _SAMPLES = 100_000                    # windows given to one dictionary training
 _AT_ONCE = 50_000                     # windows compressed in one call
 
@@ -158,35 +166,62 @@ def _train(size: int, samples: list[bytes], rng: np.random.Generator) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray,
-        quantile: float = 0.99) -> ToxicityModel:
+def marking_words(encoded: list[bytes], toxic: np.ndarray) -> set[bytes]:
+    """Words in far more toxic than ordinary texts (equal texts count once):
+    likelihood ratio above ``RATIO_TEST``."""
+    held: tuple[Counter, Counter] = Counter(), Counter()
+    n = [0, 0]
+    for text, t in {b: t for b, t in zip(encoded, toxic.tolist())}.items():
+        held[t].update({w for w in text.translate(_WORDS).split() if 3 < len(w) <= 24})
+        n[t] += 1
+    out = set()
+    for word, a in held[1].items():
+        b = held[0][word]
+        if a < 3 or a * n[0] <= b * n[1]:
+            continue
+        share = (a + b) / (n[0] + n[1])
+        ratio = sum(o * math.log(o / (m * q)) for o, m, q in (
+            (a, n[1], share), (b, n[0], share), (n[1] - a, n[1], 1 - share),
+            (n[0] - b, n[0], 1 - share)) if o)
+        if 2 * ratio > RATIO_TEST:
+            out.add(word)
+    return out
+
+
+def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> ToxicityModel:
     """Trains both dictionaries and the calibration."""
     if not len(toxic) or toxic.all() or not toxic.any():
         return ToxicityModel()
     rng = np.random.default_rng(5)
-    data, segments, owner = windows([normal(t) for t in texts])
+    encoded = [normal(t) for t in texts]
+    data, segments, owner = windows(encoded)
     mark = toxic[owner]
 
     def samples(which: np.ndarray) -> list[bytes]:
-        return [data[a:a + n] for a, n in segments[which].astype(np.int64) if n]
+        return [data[a:a + n] for a, n in segments[np.flatnonzero(which)].astype(np.int64) if n]
 
-    model = ToxicityModel(_train(ORDINARY_BYTES, samples(np.flatnonzero(~mark)), rng))
+    model = ToxicityModel(_train(ORDINARY_BYTES, samples(~mark), rng))
     plain = _lengths(data, segments, _compressor(model.ordinary))
-    chosen = np.flatnonzero(mark)
-    best = -1.0
-    for size in TOXIC_BYTES:
-        dictionary = _train(size, samples(chosen), rng)
+    words = marking_words(encoded, toxic)
+    said = [b" " + w + b" " for t in np.flatnonzero(toxic)
+            for w in encoded[t].translate(_WORDS).split() if w in words]
+    lines = [b"".join(said[i:i + 12]) for i in range(0, len(said), 12)] or samples(mark)
+    best, saved = -np.inf, plain
+    for k, size in enumerate((*WORD_BYTES, *ROUND_BYTES)):
+        if k >= len(WORD_BYTES):
+            # the outstanding windows of the round before are the text to train on
+            limit = max(np.quantile(saved[~mark], QUANTILE), 0)
+            lines = samples(mark & (saved > limit))
+            if len(lines) < 20:
+                break
+        dictionary = _train(size, lines, rng)
         saved = plain - _lengths(data, segments, _compressor(dictionary + model.ordinary))
         x = features(saved, owner, len(texts))
         w = logistic(x, toxic.astype(float), weight)
         z = np.c_[np.ones(len(x)), x] @ w
-        # the round that explains the labels best
         fits = -(weight * np.logaddexp(0, np.where(toxic, -z, z))).sum()
-        if not model.weights or fits > best:
+        if fits > best:
             model.toxic, model.weights, best = dictionary, w.tolist(), fits
-        chosen = np.flatnonzero(mark & (saved > np.quantile(saved[~mark], quantile)))
-        if len(chosen) < 20:
-            break
     return model
 
 
