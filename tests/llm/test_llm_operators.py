@@ -200,6 +200,17 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def within_edits(a, b, k):
+    """Whether at most ``k`` edits turn one into the other, by trying them."""
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    a, b = a[n:], b[n:]
+    if not a or not b or not k:
+        return max(len(a), len(b)) <= k
+    return any(within_edits(x, y, k - 1) for x, y in ((a[1:], b), (a, b[1:]), (a[1:], b[1:])))
+
+
 def edited(line, n, rng):
     for _ in range(n):
         i, what = rng.randrange(len(line) + 1), rng.randrange(3)
@@ -207,7 +218,9 @@ def edited(line, n, rng):
     return line
 
 
-def test_line_links_equal_brute_force(spark):
+@pytest.mark.parametrize("hot", [1, 12])
+def test_line_links_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(line_edit_join, "HOT", hot)
     rng = random.Random(6)
     base = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in [15, 19, 20, 22, 39, 40, 41, 60, 90] * 3]
     lines = [edited(x, k, rng) for x in base for k in (0, 0, 1, 2, 3, 1)]
@@ -225,6 +238,22 @@ def test_line_links_equal_brute_force(spark):
     assert got == want and len(want) > 50
 
 
+def test_lines_of_one_template(spark):
+    rng = random.Random(13)
+    base = vocabulary(13, 60)
+    lines = []
+    for _ in range(120):                       # most differ in several words
+        ws = list(base)
+        for _ in range(rng.choice([0, 3, 3, 3, 4])):
+            ws[rng.randrange(60)] = "".join(rng.choice("abcdef") for _ in range(5))
+        lines += [x := " ".join(ws), edited(x, rng.randint(0, 2), rng)]
+    got = {(r["a"], r["b"]): r["edits"] for r in line_edit_join.line_links(
+        frame(spark, ["\n".join(lines)])).collect()}
+    distinct = sorted(set(lines))
+    n = sum(within_edits(x, y, 2) for i, x in enumerate(distinct) for y in distinct[i + 1:])
+    assert len(got) == n > 40
+
+
 def test_line_dedup_keeps_the_first(spark):
     line = "the quick brown fox jumps over the lazy dog today"
     d = frame(spark, [f"{line}\nother\n{line}", f"{line}!\nother", "\n \nshort", "short"])
