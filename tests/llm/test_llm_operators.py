@@ -77,6 +77,25 @@ def test_mix_whole_and_on_target(spark, docs):
     assert (first.epoch == 0).all() and len(first) < len(got)
 
 
+def test_mix_deviates_less_than_a_block_from_unrounded_weights(spark):
+    # rows of one block each: 4000 of one source, one of the other
+    d = frame(spark, ["x" * 63] * 4001, source=["a"] * 4000 + ["b"])
+    for w in (1 / 2000, 0.3007):
+        got = mixing.mix(d, {"a": 1 - w, "b": w}, block_bytes=64).toPandas().sort_values("slot")
+        assert got["slot"].tolist() == list(range(len(got))) and len(got) >= 4000
+        done = (got["source"] == "b").cumsum().to_numpy()
+        assert (np.abs(done - w * np.arange(1, len(got) + 1)) < 1).all()
+    # a third of the bytes, 19 equal sources, and one of a block: 30 GB
+    sizes = [{"__source": str(i), "bytes": n} for i, n in
+             enumerate([10 * 10 ** 9] + [20 * 10 ** 9 // 19] * 19 + [64 << 10])]
+    plan = mixing._plan(sizes, None, 0.8, 64 << 10, mixing.PERIOD, "all")
+    weights = np.array([r["bytes"] ** 0.8 for r in sizes])
+    weights /= weights.sum()
+    for i, r in enumerate(sizes):
+        done = np.cumsum(plan["order"] == plan["names"].index(r["__source"]))
+        assert np.abs(done - weights[i] * np.arange(1, len(done) + 1)).max() < 1
+
+
 def test_mixed_documents_are_ordered(spark, docs):
     got = mixing.mixed_documents(docs, block_bytes=4096)
     assert got.columns == docs.columns
