@@ -1,15 +1,15 @@
 """Near-duplicates by Order MinHash.
 
-A text is the sequence of its five-word shingles, each labelled with its
-occurrence number.  For each of ``sketches`` hash functions the ``ell``
+A text is the sequence of its five-word shingles; for the sketches each is
+labelled with its occurrence number.  For each of ``sketches`` hash functions the ``ell``
 labelled shingles with the smallest hashes are taken and kept *in text
 order*; texts that agree in one such tuple are candidates.  A tuple agrees
 only if the shared shingles stand in the same order, so the sketch follows
 edit similarity (Marcais et al., "Locality-sensitive hashing for the edit
 distance", 2019), unlike a plain MinHash of the shingle set.
 
-Candidates are verified by a banded alignment of the two shingle sequences:
-with ``m`` shingles aligned in order, similarity is ``m / (na + nb - m)``.
+Candidates are verified by a banded alignment of the two sequences without
+labels, their longest common subsequence in the band: with ``m`` shingles aligned in order, similarity is ``m / (na + nb - m)``.
 A pair at or above ``threshold`` is a link; classes are the connected
 components of the links, and equal texts are always of one class.
 
@@ -31,6 +31,7 @@ table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,21 +76,61 @@ def marked_shingles(texts: list[str | None], k: int) -> tuple[np.ndarray, np.nda
 
 def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Shingles of the two sequences that can be aligned in order, none moved
-    by more than ``band`` places: occurrence labels make the matches unique, so
-    this is the longest increasing run of the matched places in the band."""
-    _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    near = np.abs(ia - ib) <= band
-    ia, ib = ia[near], ib[near]
-    ib = ib[np.argsort(ia)]
+    by more than ``band`` places: the longest common subsequence in the band.
+    Any place of a shingle may meet any place of an equal one."""
+    least = min(len(a), len(b))
+    differ = np.flatnonzero(a[:least] != b[:least])
+    head = int(differ[0]) if len(differ) else least
+    a, b, tail = a[head:], b[head:], 0
+    if abs(len(a) - len(b)) <= band and (least := min(len(a), len(b))):
+        differ = np.flatnonzero(a[len(a) - least:] != b[len(b) - least:])
+        tail = least - 1 - int(differ[-1]) if len(differ) else least
+        a, b = a[:len(a) - tail], b[:len(b) - tail]
+    if not len(a) or not len(b):
+        return head + tail
+    order = np.argsort(b, kind="stable")
+    values = b[order]
+    lo, hi = np.searchsorted(values, a), np.searchsorted(values, a, side="right")
+    counts = hi - lo
+    total = int(counts.sum())
+    if total > len(a) * (8 + len(b) // 256):
+        return head + tail + _aligned_bits(a, b, band)
+    # the longest increasing run over all matched places, those of one shingle
+    # of ``a`` from the last to the first so that only one of them counts
+    ia = np.repeat(np.arange(len(a)), counts)
+    back = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
+    ib = order[np.repeat(hi, counts) - 1 - back]
+    ib = ib[np.abs(ia - ib) <= band]
     if not len(ib) or (np.diff(ib) > 0).all():
-        return len(ib)
-    tails = np.empty(len(ib), np.int64)
-    size = 0
+        return head + tail + len(ib)
+    tails: list[int] = []
     for x in ib.tolist():
-        i = int(np.searchsorted(tails[:size], x))
-        tails[i] = x
-        size = max(size, i + 1)
-    return size
+        i = bisect_left(tails, x)
+        if i == len(tails):
+            tails.append(x)
+        else:
+            tails[i] = x
+    return head + tail + len(tails)
+
+
+def _aligned_bits(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """The same by bits of whole numbers (Hyyro, 2004), for shingles that
+    repeat so often that the matched places are too many to list."""
+    places: dict[int, int] = {}
+    values, code = np.unique(b, return_inverse=True)
+    for v in np.intersect1d(values, a).tolist():
+        bits = np.packbits(code == np.searchsorted(values, np.uint64(v)), bitorder="little")
+        places[v] = int.from_bytes(bits.tobytes(), "little")
+    full = (1 << len(b)) - 1
+    window = (1 << (2 * band + 1)) - 1
+    row = full
+    for i, x in enumerate(a.tolist()):
+        if not (match := places.get(x, 0)):
+            continue
+        match &= window << (i - band) if i >= band else window >> (band - i)
+        same = row & match
+        row = ((row + same) | (row - same)) & full
+    return len(b) - row.bit_count()
 
 
 def _shared(parts: list[np.ndarray]) -> np.ndarray:
@@ -117,11 +158,14 @@ def _shared(parts: list[np.ndarray]) -> np.ndarray:
 def links_of(keys: list[bytes], parts: list[np.ndarray], sides: np.ndarray | None,
              threshold: float) -> list[tuple[bytes, bytes, float]]:
     """A spanning forest of the verified links among some texts, in the order
-    of their keys so that other buckets choose the same links.  ``sides``: only
-    the links between different sides that join what links within the sides
-    leave apart."""
+    of their keys so that other buckets choose the same links.  ``parts``: their
+    shingles without labels.  ``sides``: only the links between different sides
+    that join what links within the sides leave apart."""
     size = np.array([len(p) for p in parts])
-    shared = _shared(parts)
+    begin = np.r_[0, np.cumsum(size)]
+    marked = T.labelled(np.concatenate(parts), begin)
+    # a shingle is shared as often as both have it: no alignment has more
+    shared = _shared([marked[x:y] for x, y in zip(begin, begin[1:])])
     together = size[:, None] + size[None, :] - shared
     possible = np.triu(shared >= threshold * together - 1e-6, 1)
     at = np.argwhere(possible)
@@ -210,26 +254,26 @@ def text_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     found = whole.join(wanted.select("key", _no_null(F.col("id")).alias("id")),
                        ["key", "id"]).select("key", "text")
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sequence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for lo, hi in T.groups_of([len(t) for t in texts]):
-                marked, begin = marked_shingles(texts[lo:hi], WORDS)
+                plain, begin = T.shingles(*T.word_hashes(texts[lo:hi]), WORDS)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo),
-                     pa.array([marked[x:y].tobytes() for x, y in zip(begin, begin[1:])],
-                              pa.binary())], names=["key", "marked"])
+                     pa.array([plain[x:y].tobytes() for x, y in zip(begin, begin[1:])],
+                              pa.binary())], names=["key", "plain"])
 
-    sequences = found.mapInArrow(mark, "key binary, marked binary")
+    sequences = found.mapInArrow(sequence, "key binary, plain binary")
     # repeated rows give the same sequence again: one is enough
-    sequences = sequences.groupBy("key").agg(F.first("marked").alias("marked"))
+    sequences = sequences.groupBy("key").agg(F.first("plain").alias("plain"))
 
     def verify(pdf):
         import pandas as pd
 
         pdf = pdf.sort_values("key")
         lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        found = links_of(list(pdf["key"]), [np.frombuffer(x, np.uint64) for x in pdf["marked"]],
+        found = links_of(list(pdf["key"]), [np.frombuffer(x, np.uint64) for x in pdf["plain"]],
                          None if lo == hi else pdf["own"].to_numpy(), threshold)
         return pd.DataFrame(found, columns=["a", "b", "similarity"])
 

@@ -448,6 +448,45 @@ def test_alignment_and_shingles():
     assert order_minhash.aligned(a, b, 10) == 98
 
 
+def common_subsequence(a, b, band):
+    """By dynamic programming over all cells of the band."""
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a):
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(max(new[-1], row[j + 1], row[j] + (x == y and abs(i - j) <= band)))
+        row = new
+    return row[-1]
+
+
+def test_alignment_equals_dynamic_programming():
+    rng = random.Random(21)
+    for n in range(400):
+        kinds = rng.choice([1, 2, 4, 30, 500])
+        a = [rng.randrange(kinds) for _ in range(rng.randint(0, 60))]
+        b = list(a) if n % 2 else [rng.randrange(kinds) for _ in range(rng.randint(0, 60))]
+        for _ in range(rng.randint(0, 6)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(4)] = [rng.randrange(kinds)] * rng.randrange(4)
+        x, y, band = np.array(a, np.uint64), np.array(b, np.uint64), rng.choice([0, 1, 5, 20, 100])
+        want = common_subsequence(a, b, band)
+        assert order_minhash.aligned(x, y, band) == want
+        assert order_minhash._aligned_bits(x, y, band) == want
+
+
+def test_near_duplicates_with_a_repeated_passage(spark):
+    v = vocabulary(22, 900)
+    b, c, d = v[:60], v[60:240], v[240:540]
+    texts = [" ".join(b + c + b + d), " ".join(c + b + d), " ".join(v[540:])]
+    x, y = (np.unique([" ".join(t.split()[i:i + 5]) for t in texts[:2]
+                       for i in range(len(t.split()) - 4)], return_inverse=True)[1][s]
+            for s in (slice(None, 596), slice(596, None)))
+    m = common_subsequence(x.tolist(), y.tolist(), 1000)
+    assert m / (len(x) + len(y) - m) > 0.85
+    got = {r["id"]: r["class_id"] for r in order_minhash.near_duplicates(frame(spark, texts)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
+
+
 def test_word_hashes_across_blocks(monkeypatch):
     text = " ".join(vocabulary(1, 3000)) + " " + "y" * 5000 + " Éa,b"
     whole = textvec.word_hashes([text])[0]
