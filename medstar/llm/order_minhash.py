@@ -14,7 +14,8 @@ A pair at or above ``threshold`` is a link; classes are the connected
 components of the links, and equal texts are always of one class.
 
 Two texts of similarity s agree in one sketch with probability about s**ell;
-with the defaults a pair at 0.8 is missed with probability below 1e-5.
+with the defaults a pair at 0.8 is missed with probability 3.7e-5 (0.36**10),
+about 1e-4 for texts of five shingles.
 
 Scale.  Equal texts are one row from the first aggregation on.  Buckets of a
 single text fall away, buckets with the same members are verified once.
@@ -232,10 +233,11 @@ def text_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     entries = classes.filter("sketch is not null").select(
         "key", F.posexplode("sketch").alias("band", "value"))
     buckets = (entries.groupBy("band", "value")
-               .agg(F.count("*").alias("n"), F.sum(F.xxhash64("key") % (1 << 40)).alias("who"))
+               .agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("who"),
+                    F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("who2"))
                .filter("n > 1")
-               # the same members in several bands: verified once
-               .groupBy("n", "who").agg(F.min(F.struct("band", "value")).alias("at"))
+               # the same members (128 bits) in several bands: verified once
+               .groupBy("n", "who", "who2").agg(F.min(F.struct("band", "value")).alias("at"))
                .select("at.band", "at.value", "n"))
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("key", "band"), F.col("blocks")).cast("int")

@@ -487,6 +487,14 @@ def test_near_duplicates_with_a_repeated_passage(spark):
     assert got == {0: 0, 1: 0, 2: 2}
 
 
+def test_buckets_of_different_pairs_are_all_verified(spark):
+    # two pairs each whose sums of 40-bit key hashes are equal
+    same = [(16653, 6, 19), (28041, 17, 18), (14855, 4, 16), (33615, 1, 11)]
+    texts = [" ".join(f"w{g}x{j}" for j in range(40)) + f" v{k}" for g, *ks in same for k in ks]
+    got = {r["id"]: r["class_id"] for r in order_minhash.near_duplicates(frame(spark, texts)).collect()}
+    assert got == {i: i // 2 * 2 for i in range(8)}
+
+
 def test_word_hashes_across_blocks(monkeypatch):
     text = " ".join(vocabulary(1, 3000)) + " " + "y" * 5000 + " Éa,b"
     whole = textvec.word_hashes([text])[0]
