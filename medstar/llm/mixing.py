@@ -11,7 +11,7 @@ has had ``w * t`` blocks, less or more than one block apart (Baruah et al.,
 Weights are whole multiples of ``1 / PERIOD``, a rounding of 2**-52 that stays
 far below one block over any mix, and the schedule runs over the whole mix: no
 part of it is repeated, so no error adds up.  It is worked out on the driver,
-one source number per slot (11 thousand slots for 0.5 GB, 16 million for a TB),
+one source number per slot (631 thousand slots for 30 GB of 21 sources),
 and meets the documents as a table of one row per slot.  Documents get their
 block from their source's running total of bytes: documents are dealt over
 small buckets by a hash, totals of buckets give each bucket its start, and only
