@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from medstar.llm import (decontaminate, kd_shards, language_centroids, licence_digests,
-                         line_edit_join, line_frequency, mixing, order_minhash, token_orc,
-                         toxicity_zstd)
+from medstar.llm import (conversation_trie, decontaminate, kd_shards, language_centroids,
+                         licence_digests, line_edit_join, line_frequency, mixing, order_minhash,
+                         ranked_search, secret_scan, token_orc, toxicity_zstd)
 from medstar.llm.common import table
 
 
@@ -59,10 +59,26 @@ def op10_order_minhash(spark, sf_dir):
         F.col("id").alias("doc_id"), "class_id", "copies")
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return conversation_trie.trie(table(spark, sf_dir, "conversations")).drop("bytes", "n_ends")
+
+
+def op12_secret_scan(spark, sf_dir):
+    return secret_scan.secret_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search.ranked(table(spark, sf_dir, "documents"),
+                                table(spark, sf_dir, "benchmark")).drop("bag_size")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pfair_mix, op2_kd_shards, op3_line_frequency, op4_token_orc,
-    op5_line_edit_join, op6_licence_digests, op7_language_centroids, op8_decontaminate, op9_toxicity, op10_order_minhash)}
+    op5_line_edit_join, op6_licence_digests, op7_language_centroids, op8_decontaminate, op9_toxicity, op10_order_minhash,
+    op11_prefix_trie, op12_secret_scan, op13_ranked_search)}
 ORACLE: dict[str, str] = {
     "op3_line_frequency": line_frequency.QUALITY_SQL,
     "op6_licence_digests": licence_digests.LICENCE_SQL,
+    "op11_prefix_trie": conversation_trie.TRIE_SQL,
+    "op13_ranked_search": ranked_search.SEARCH_SQL,
 }
