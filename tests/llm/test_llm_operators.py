@@ -96,6 +96,65 @@ def test_mix_deviates_less_than_a_block_from_unrounded_weights(spark):
         assert np.abs(done - weights[i] * np.arange(1, len(done) + 1)).max() < 1
 
 
+def slow_mix(sizes, weights, block):
+    """Source of each slot by the definition, with exact fractions, as long as
+    every source takes to be used whole."""
+    from fractions import Fraction
+
+    total = sum(map(Fraction, weights.values()))
+    w = {k: Fraction(x) / total for k, x in weights.items()}
+    done, order = Counter(), []
+    blocks = {k: -(-n // block) for k, n in sizes.items()}
+    names = sorted(w, key=lambda k: (k is None, str(k)))
+    while any(done[k] < blocks[k] for k in names):
+        t = len(order)
+        ready = [(-(-(done[k] + 1) // w[k]), i, k) for i, k in enumerate(names) if done[k] // w[k] <= t]
+        order.append(min(ready)[2])
+        done[order[-1]] += 1
+    return order, blocks
+
+
+def test_mix_places_documents_like_a_slow_scheduler(spark):
+    rng = random.Random(4)
+    rows = [(None, "y" * 63, "a")] * 20                        # repeated rows without an id
+    rows += [(None, f"{i:063d}", "a") for i in range(50)]      # null ids, texts of one size
+    rows += [(7, f"{i:063d}", "b") for i in range(30)]         # equal ids
+    rows += [(i, "z" * rng.randint(0, 400), rng.choice(["c", None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    weights = {"a": 0.25, "b": 0.5, "c": 0.125, None: 0.125}
+    got = mixing.mix(df, weights, block_bytes=64).toPandas()
+    got["source"] = got["source"].where(got["source"].notna(), None)
+    sizes = Counter()
+    for _, t, k in rows:
+        sizes[k] += len(t) + 1
+    order, blocks = slow_mix(sizes, weights, 64)
+    place = defaultdict(dict)                                  # source -> how manieth block -> slot
+    for slot, k in enumerate(order):
+        place[k][len(place[k])] = slot
+    for r in got.itertuples():
+        assert r.block == r.start // 64
+        assert r.slot == place[r.source][r.epoch * blocks[r.source] + r.block]
+    first = got[got.epoch == 0]
+    assert sorted(map(str, zip(first["size"], first["source"]))) == sorted(
+        str((len(t) + 1, k)) for _, t, k in rows)
+    for _, g in first.groupby("source", dropna=False):         # no start is taken twice
+        g = g.sort_values("start")
+        assert (g["start"].to_numpy() == np.r_[0, g["size"].cumsum()[:-1]]).all()
+    # rows of one block: every slot of a and b holds exactly one, deviation below a block
+    for k in ("a", "b"):
+        assert got[got["source"] == k]["slot"].is_unique
+        done = np.cumsum([x == k for x in order])
+        assert np.abs(done - weights[k] * np.arange(1, len(order) + 1)).max() < 1
+
+
+def test_the_drivers_slots_are_bounded(monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 1000)
+    for scale in (10 ** 6, 10 ** 12, 10 ** 15):
+        sizes = [{"__source": str(i), "bytes": scale // (i + 1)} for i in range(20)]
+        plan = mixing._plan(sizes, None, 0.8, None, mixing.PERIOD, "all")
+        assert len(plan["order"]) <= 1000 + 20 * 20 and plan["block_bytes"] >= mixing.BLOCK_BYTES
+
+
 def test_mixed_documents_are_ordered(spark, docs):
     got = mixing.mixed_documents(docs, block_bytes=4096)
     assert got.columns == docs.columns
