@@ -8,11 +8,11 @@ and maximum for each ``stride`` rows and Bloom filters on the document id let
 a lookup by id skip files, stripes and row groups, and stripes are read in
 parallel.
 
-Encoding.  BPE works on single words of the lower-cased text, so a word's ids
-are kept in the Python worker and reused; the library's BPE model encodes each
-new word.  That holds for texts in Latin letters and common punctuation, where
+Encoding.  BPE works on single words of the lower-cased text, and no word
+crosses a blank; so the ids of a string between blanks are kept in the Python
+worker and reused, and the library's BPE model encodes each new word.  That holds for texts in Latin letters and common punctuation, where
 its normalisation and word pattern are plain; any other text, and any text
-that may hold a special token, goes to the tokenizer whole.  The word cache
+that may hold a special token, goes to the tokenizer whole.  The cache
 is bounded and is only a matter of speed.
 
 ``start`` of a document counts all ids before it.  Totals of small ranges of
@@ -20,7 +20,7 @@ rows give each range its start, and only rows within a range are summed in
 order, so no task sees all rows.
 
 Defined results: a null text is an empty one (the end id only); equal or null
-ids are ordered by the text's key (null ids first), repeated rows follow each
+ids are ordered by the text's hash (null ids first), repeated rows follow each
 other; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -33,13 +33,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medstar.llm.common import byte_size, cut, text_key
+from medstar.llm.common import byte_size, cut
 from medstar.session import scratch_path
 
-END_ID, STRIPE_BYTES, STRIDE, FILE_BYTES, CACHE_WORDS = 1, 16 << 20, 1000, 64 << 20, 300_000
+END_ID, STRIPE_BYTES, STRIDE, FILE_BYTES = 1, 16 << 20, 1000, 64 << 20
+CACHE_WORDS, CACHE_CHARS, _SEEN = 600_000, 40, (1 << 22) - 1
 #: Characters for which lower case, NFC and the word pattern are the plain ones.
 _NOT_PLAIN = re.compile("[^\\x00-\\u012f\\u0131-\\u017f\\u2010-\\u2027\\u2030-\\u203e\\u20ac]")
 _L, _N, _S = "a-zªµº\\u00df-\\u00f6\\u00f8-\\u017f", "0-9²³¹¼-¾", "\\t-\\r \\x85\\xa0"
@@ -51,6 +53,7 @@ def _pattern(letter: str, digit: str, blank: str) -> re.Pattern:
 
 
 _WORDS, _ASCII_WORDS = _pattern(_L, _N, _S), _pattern("a-z", "0-9", "\\t-\\r ")
+_RUNS, _SEPARATORS = re.compile(f"[^{_S}]+"), re.compile("[\\x1c-\\x1f]")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -72,6 +75,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.seen = bytearray(_SEEN + 1)
         self.missed = 0
 
     def _word(self, word: str) -> bytes:
@@ -81,34 +85,48 @@ class Encoder:
             word = word.translate(_BYTE_LETTERS)
         return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word.  Frequent words come early, so a full cache takes
-        no more; if many are missed then, the texts have changed and it begins
-        anew."""
-        known = self.known
-        new = {w: self._word(w) for w in set(words) if w not in known}
-        out = [new[w] if w in new else known[w] for w in words]
-        if len(known) < CACHE_WORDS:
-            known.update(new)
-        else:
-            self.missed += len(new)
-            if self.missed > 8 * CACHE_WORDS:
-                known.clear()
-                self.missed = 0
-        return out
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian 32-bit numbers."""
+    def _kept(self, words: str, ids: bytes) -> bytes:
+        """Keeps what is met a second time.  Frequent strings come early, so a
+        full cache takes no more; if many are missed then, the texts have
+        changed and it begins anew."""
+        if len(words) <= CACHE_CHARS:
+            place = hash(words) & _SEEN
+            if not self.seen[place]:
+                self.seen[place] = 1
+            elif len(self.known) < CACHE_WORDS:
+                self.known[words] = ids
+            else:
+                self.missed += 1
+                if self.missed > 8 * CACHE_WORDS:
+                    self.known.clear()
+                    self.seen = bytearray(_SEEN + 1)
+                    self.missed = 0
+        return ids
+
+    def _run(self, run: str) -> bytes:
+        """Ids of a string without blanks."""
+        words = (_ASCII_WORDS if run.isascii() else _WORDS).findall(run)
+        if len(words) == 1:
+            return self._kept(run, self._word(run))
+        return self._kept(run, b"".join([self.known.get(w) or self._kept(w, self._word(w))
+                                         for w in words]))
+
+    def encode(self, text: str | None, separators: bool = True) -> bytes:
+        """Ids as little-endian 32-bit numbers; ``separators``: whether the text
+        may hold those that str.split() takes for blanks."""
         text = text or ""
-        plain = text.isascii()
-        if "<|" in text or not plain and _NOT_PLAIN.search(text):
+        if "<|" in text or not text.isascii() and _NOT_PLAIN.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
                             "<u4").tobytes()
-        words = (_ASCII_WORDS if plain else _WORDS).findall(text.lower())
+        # no word crosses a blank; what str.split() takes for one beyond the
+        # pattern's blanks is part of a word
+        low = text.lower()
+        runs = _RUNS.findall(low) if separators and _SEPARATORS.search(low) else low.split()
+        known = [*map(self.known.get, runs)]
         try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            return b"".join(self._words(words))
+            return b"".join(known)
+        except TypeError:                                    # some are not known yet
+            return b"".join([self._run(r) if k is None else k for r, k in zip(runs, known)])
 
 
 def _encoder(path: str) -> Encoder:
@@ -131,7 +149,9 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFr
             # few documents at a time: ids take more room than text
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                ids = [encoder.encode(t.as_py()) + last for t in part.column(2)]
+                texts = part.column(2)
+                odd = bool(pc.any(pc.match_substring_regex(texts, "[\\x1c-\\x1f]")).as_py())
+                ids = [encoder.encode(t, odd) + last for t in texts.to_pylist()]
                 ends = np.cumsum([0] + [len(x) // 4 for x in ids])
                 tokens = pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()),
@@ -139,8 +159,8 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFr
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), tokens],
                                                  names=["doc_id", "key", "tokens"])
 
-    rows = docs.select("doc_id", text_key(docs["text"]).alias("key"), "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, key binary, tokens array<int>")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, key long, tokens array<int>")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID,
@@ -148,7 +168,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     """Writes the files; ``file_bytes``: text bytes a file has about."""
     total = docs.select(F.sum(byte_size(docs["text"]))).first()[0] or 0
     # texts are dealt by id first and encoded in their place
-    ordered = (docs.select("doc_id", "text", text_key(docs["text"]).alias("order"))
+    ordered = (docs.select("doc_id", "text", F.xxhash64("text").alias("order"))
                .repartitionByRange(max(1, math.ceil(total / file_bytes)), "doc_id", "order")
                .sortWithinPartitions("doc_id", "order"))
     (encode(ordered, tokenizer_path, end_id).write
@@ -170,7 +190,7 @@ def digests(tokens: DataFrame, rows_per_range: int = 20_000) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(2)
-            raw = lists.flatten().to_numpy().astype("<u4").tobytes()
+            raw = memoryview(lists.flatten().to_numpy().astype("<i4", copy=False)).cast("B")
             n = np.diff(lists.offsets.to_numpy())
             ends = np.cumsum(np.r_[0, n]) * 4
             crc = [zlib.crc32(raw[a:b]) for a, b in zip(ends, ends[1:])]
@@ -179,7 +199,7 @@ def digests(tokens: DataFrame, rows_per_range: int = 20_000) -> DataFrame:
                 names=["doc_id", "key", "n_tokens", "ids_crc32"])
 
     rows = cut(tokens.select("doc_id", "key", "tokens").mapInArrow(
-        run, f"doc_id {kind}, key binary, n_tokens long, ids_crc32 long"), "token-rows")
+        run, f"doc_id {kind}, key long, n_tokens long, ids_crc32 long"), "token-rows")
     ranges = max(1, math.ceil(rows.count() / rows_per_range))
     # ranges of ids and, for the rare equal ids, of text keys
     placed = cut(rows.repartitionByRange(ranges, "doc_id", "key")
