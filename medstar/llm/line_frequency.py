@@ -4,18 +4,18 @@ Base rules count, in every whole text: words, code points in words, symbol
 characters, lines equal to an earlier line, and words in three-word windows
 found twice or more.  The method's own rule hashes normalised lines (lower
 case, runs of other characters than letters and digits as one blank), counts
-for each host the distinct texts that hold a line, and removes lines held by
-more than ``max_texts`` texts of one host.  A document that loses more than
-``max_lost`` of its words so is depleted and rejected.  Equal texts are one
-text: exact copies of a page don't make its lines boilerplate.
+for each host the documents that hold a line, and removes lines held by more
+than ``max_docs`` documents of one host.  A document that loses more than
+``max_lost`` of its words so is depleted and rejected.  Every row is a
+document, copies too; a line counts once in a document.
 
 Scale: the texts are read once.  Only hashes leave that pass (one number per
-line), counting is two aggregations with map-side partials, so a line that
-half of all documents hold costs each task one row per text.  The table of
-lines above the limit is written before it is joined; joins against a hot
-line are split by Spark's skew handling.  Sequences within a text are handled
-in the row, whatever its length; three-word windows are compared exactly when
-their 42-bit hashes agree.
+line).  Copies are aggregated first: one row per host and text with its number
+of documents, whose lines add that number, so a copy in half of all rows costs
+each task one row.  The table of lines above the limit is written before it is
+joined; joins against a hot line are split by Spark's skew handling.  Sequences
+within a text are handled in the row, whatever its length; three-word windows
+are compared word by word when their 64-bit hashes agree.
 
 Defined results: a null or empty text has no words and fails the base rules;
 a null host is a host of its own; lines without letters and digits are never
@@ -30,9 +30,8 @@ from pyspark.sql import functions as F
 
 from medstar.llm.common import cut
 
-MAX_TEXTS, MAX_LOST = 20, 50                    # texts of one host; per cent of the words
+MAX_DOCS, MAX_LOST = 20, 50                     # documents of one host; per cent of the words
 BLANKS = r"[\x20\x09-\x0D]+"
-_PLACE = 22                                     # bits of a window's place: 4 million words
 
 
 def _let(value: Column, body) -> Column:
@@ -61,35 +60,20 @@ def _covered(places: Column) -> Column:
 
 
 def _repeated_places(words: Column, windows: Column) -> Column:
-    """Places of the windows whose three words are found again.  Hash and place
-    share one number, so equal windows are neighbours once these are sorted."""
-    low = (1 << _PLACE) - 1
-    coded = F.sort_array(F.transform(windows, lambda h, i: F.shiftleft(
-        F.shiftright(h, _PLACE), _PLACE).bitwiseOR(i.cast("long"))))
+    """Places of the windows whose three words are found again: equal windows
+    are neighbours once hashes and places are sorted."""
+    coded = F.sort_array(F.transform(windows, lambda h, i: F.struct(
+        h.alias("h"), i.alias("i"))))
 
     def same(a: Column, b: Column) -> Column:
-        i, j = a.bitwiseAND(F.lit(low)).cast("int"), b.bitwiseAND(F.lit(low)).cast("int")
-        return (F.shiftright(a, _PLACE) == F.shiftright(b, _PLACE)) & (
-            (F.get(words, i) == F.get(words, j)) & (F.get(words, i + 1) == F.get(words, j + 1))
-            & (F.get(words, i + 2) == F.get(words, j + 2)))
-
-    def places(s: Column) -> Column:
-        found = F.filter(s, lambda x, k: F.coalesce(same(x, F.get(s, k - 1)), F.lit(False))
-                         | F.coalesce(same(x, F.get(s, k + 1)), F.lit(False)))
-        return F.sort_array(F.transform(found, lambda x: x.bitwiseAND(F.lit(low))))
-
-    return _let(coded, places)
-
-
-def _repeated_places_long(words: Column, windows: Column) -> Column:
-    """The same for texts of more words than places have bits."""
-    coded = F.sort_array(F.transform(windows, lambda h, i: F.struct(
-        h.alias("h"), i.cast("long").alias("i"))))
+        i, j = a["i"], b["i"]
+        return F.coalesce((a["h"] == b["h"]) & (F.get(words, i) == F.get(words, j))
+                          & (F.get(words, i + 1) == F.get(words, j + 1))
+                          & (F.get(words, i + 2) == F.get(words, j + 2)), F.lit(False))
 
     def places(s: Column) -> Column:
-        found = F.filter(s, lambda x, k: F.coalesce(x["h"] == F.get(s, k - 1)["h"], F.lit(False))
-                         | F.coalesce(x["h"] == F.get(s, k + 1)["h"], F.lit(False)))
-        return F.sort_array(F.transform(found, lambda x: x["i"]))
+        found = F.filter(s, lambda x, k: same(x, F.get(s, k - 1)) | same(x, F.get(s, k + 1)))
+        return F.sort_array(F.transform(found, lambda x: x["i"].cast("long")))
 
     return _let(coded, places)
 
@@ -98,8 +82,7 @@ def repeated_words(words: Column) -> Column:
     def count(w: Column) -> Column:
         return _let(_windows(w), lambda h: F.when(
             F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(
-            _covered(F.when(F.size(h) < (1 << _PLACE), _repeated_places(w, h))
-                     .otherwise(_repeated_places_long(w, h)))))
+            _covered(_repeated_places(w, h))))
 
     return _let(words, count)
 
@@ -133,30 +116,37 @@ def base_rules(docs: DataFrame, host_col: str = "source") -> DataFrame:
     return counted.select("doc_id", "host", "text_hash", "n_symbols", "w.*", "l.*")
 
 
-def frequent_lines(rows: DataFrame, max_texts: int) -> DataFrame:
-    """(host, line) held by more than ``max_texts`` texts of the host."""
-    held = rows.select("host", "text_hash", F.explode("lines").alias("x")).select(
-        "host", "text_hash", F.col("x.line").alias("line")).filter("line is not null")
-    return (held.distinct().groupBy("host", "line").count()
-            .filter(F.col("count") > max_texts).select("host", "line"))
+def host_texts(rows: DataFrame) -> DataFrame:
+    """(host, text_hash, docs, lines): one row per text of a host, with the
+    number of its documents."""
+    return rows.groupBy("host", "text_hash").agg(F.count("*").alias("docs"),
+                                                 F.first("lines").alias("lines"))
+
+
+def frequent_lines(texts: DataFrame, max_docs: int) -> DataFrame:
+    """(host, line) held by more than ``max_docs`` documents of the host."""
+    held = texts.select("host", "docs", F.explode(F.array_distinct(F.transform(
+        "lines", lambda x: x["line"]))).alias("line")).filter("line is not null")
+    return (held.groupBy("host", "line").agg(F.sum("docs").alias("docs"))
+            .filter(F.col("docs") > max_docs).select("host", "line"))
 
 
-def _hits(rows: DataFrame, frequent: DataFrame) -> DataFrame:
+def _hits(texts: DataFrame, frequent: DataFrame) -> DataFrame:
     """Lines of texts that are frequent on the text's host, with their words."""
-    lines = (rows.select("host", "text_hash", "lines").distinct()
-             .select("host", "text_hash", F.explode("lines").alias("x"))
+    lines = (texts.select("host", "text_hash", F.explode("lines").alias("x"))
              .select(F.col("host").alias("h"), "text_hash", F.col("x.line").alias("line"),
                      F.col("x.words").alias("words")))
     return lines.join(frequent.withColumnRenamed("line", "of"), F.col("h").eqNullSafe(F.col("host"))
                       & (F.col("line") == F.col("of"))).select("host", "text_hash", "line", "words")
 
 
-def quality(docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost: int = MAX_LOST,
+def quality(docs: DataFrame, max_docs: int = MAX_DOCS, max_lost: int = MAX_LOST,
             host_col: str = "source") -> DataFrame:
     """doc_id, the five counts, lost_words, base_failed and kept."""
     rows = cut(base_rules(docs, host_col), "quality-rows")
-    frequent = cut(frequent_lines(rows, max_texts), "quality-lines")
-    lost = (_hits(rows, frequent).groupBy(F.col("host").alias("h"), F.col("text_hash").alias("t"))
+    texts = cut(host_texts(rows), "quality-texts")
+    frequent = cut(frequent_lines(texts, max_docs), "quality-lines")
+    lost = (_hits(texts, frequent).groupBy(F.col("host").alias("h"), F.col("text_hash").alias("t"))
             .agg(F.sum("words").cast("long").alias("lost")))
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return (rows.drop("lines").join(
@@ -168,12 +158,13 @@ def quality(docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost: int = MAX_LOS
                 "lost_words", "base_failed", "kept"))
 
 
-def cleaned(docs: DataFrame, max_texts: int = MAX_TEXTS, max_lost: int = MAX_LOST,
+def cleaned(docs: DataFrame, max_docs: int = MAX_DOCS, max_lost: int = MAX_LOST,
             host_col: str = "source") -> DataFrame:
     """(doc_id, text) of the documents that stay, without the removed lines."""
     rows = cut(base_rules(docs, host_col), "quality-rows")
-    frequent = cut(frequent_lines(rows, max_texts), "quality-lines")
-    gone = _hits(rows, frequent).groupBy(
+    texts = cut(host_texts(rows), "quality-texts")
+    frequent = cut(frequent_lines(texts, max_docs), "quality-lines")
+    gone = _hits(texts, frequent).groupBy(
         F.col("host").alias("h"), F.col("text_hash").alias("t")).agg(
         F.collect_set("line").alias("gone"), F.sum("words").alias("lost"))
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -204,8 +195,11 @@ r AS (SELECT text, count(DISTINCT p) AS n_repeat_words
 l AS (SELECT host, text, trim(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS line,
              len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS words
       FROM (SELECT host, text, unnest(ls) AS x FROM (SELECT DISTINCT host, text, ls FROM w))),
-f AS (SELECT host, line FROM l WHERE line <> '' GROUP BY host, line
-      HAVING count(DISTINCT text) > {MAX_TEXTS}),
+n AS (SELECT host, text, count(*) AS docs FROM d GROUP BY host, text),
+f AS (SELECT x.host, line
+      FROM (SELECT DISTINCT host, text, line FROM l WHERE line <> '') AS x
+      JOIN n ON n.text = x.text AND n.host IS NOT DISTINCT FROM x.host
+      GROUP BY x.host, line HAVING sum(docs) > {MAX_DOCS}),
 lost AS (SELECT l.host, l.text, sum(words) AS lost FROM l JOIN f
          ON l.host IS NOT DISTINCT FROM f.host AND l.line = f.line GROUP BY l.host, l.text),
 c AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
