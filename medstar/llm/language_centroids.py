@@ -9,8 +9,9 @@ largest cosine, which is also its score.  A text farther from its nearest
 centroid than nearly all training texts of that centroid is ``rejected``:
 probably of none of the learned languages.
 
-The classifier is fitted on a bounded sample of at most about ``max_rows``
-rows of each language, chosen by a hash of the text, and of texts of at most
+The classifier is fitted on a bounded sample of about ``max_rows`` different
+texts of each language (their number is estimated within a few per cent, then
+they are chosen by a hash of the text, copies once), each of at most
 ``MAX_CHARS`` characters; clustering runs as one Spark task per language over
 its part of the sample.  Prediction is one Arrow pass over whole texts, no
 shuffle; what is shipped to a task is a table of ``languages * clusters``
@@ -24,6 +25,7 @@ result; other columns are not looked at.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medstar.llm import textvec as T
-from medstar.llm.common import held_out
+from medstar.llm.common import cut, held_out, text_key
 
 DIMENSIONS, CLUSTERS, MAX_ROWS, MAX_CHARS, QUANTILE = 4096, 4, 1500, 200_000, 0.999
 _BLANK = 32
@@ -43,8 +45,8 @@ _letters: list[np.ndarray] = []
 
 def _is_letter(codes: np.ndarray) -> np.ndarray:
     if not _letters:
-        _letters.append(np.array([chr(c).isalpha() for c in range(0x10000)]))
-    return (codes >= 0x10000) | _letters[0][np.minimum(codes, 0xFFFF)]
+        _letters.append(np.array([chr(c).isalpha() for c in range(sys.maxunicode + 1)]))
+    return _letters[0][codes]
 
 
 def counts(texts: list[str | None]) -> np.ndarray:
@@ -130,14 +132,18 @@ def fit_languages(docs: DataFrame, max_rows: int = MAX_ROWS,
     known = (docs.filter(~held_out(docs["doc_id"])).select(F.col("lang").cast("string"), "text")
              .filter(F.col("lang").isNotNull() & F.col("text").isNotNull()
                      & (F.length("text") <= MAX_CHARS)))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(
+        F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).collect()}
     if not sizes:
         return LanguageModel()
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / 1e6
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / (1 << 40)
     rates = docs.sparkSession.createDataFrame(
-        [(k, min(1.0, max_rows / n)) for k, n in sizes.items()], "of string, rate double")
-    sample = known.join(F.broadcast(rates), known["lang"] == F.col("of")).filter(
-        place < F.col("rate")).select("lang", "text")
+        [(k, max_rows / n if n > max_rows else 1.0) for k, n in sizes.items()],
+        "of string, rate double")
+    # a text of any number of rows is one of the sample
+    sample = cut(known.join(F.broadcast(rates), known["lang"] == F.col("of"))
+                 .filter(place < F.col("rate")).groupBy("lang", text_key(F.col("text")).alias("key"))
+                 .agg(F.first("text").alias("text")).select("lang", "text"), "language-sample")
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, total = 0, np.zeros(DIMENSIONS, np.int64)
