@@ -1,13 +1,16 @@
 """Sharding by k-d tree partitioning.
 
-Rows lie in a space of metadata dimensions (text length, language, source).
+Rows lie in a space of metadata dimensions (text length, language, source); a
+text dimension counts by the rank of its value among the table's values.
 The tree splits a node across its widest dimension at the weighted median of
 bytes, so that both sides hold bytes in proportion to their leaves, until a
 leaf holds the target bytes; leaves are the shards.  Coordinates end in bits
 of a hash of the text, so any dimension can be split anywhere.
 
 Equal texts are one point of the space and share a shard.  Only a group of
-copies larger than a whole shard is dealt over several points by its row ids.
+copies larger than a whole shard is dealt over several points by numbers given
+to its rows where they are read, so rows without an id, or with equal ids, are
+dealt as well.
 Heavy points, above ``1 / HEAVY`` of a shard (so at most ``HEAVY`` per shard),
 would make a median miss its goal; they are handed to the side with more room
 first, and the light points are split at the weighted median that evens this
@@ -36,34 +39,60 @@ from medstar.llm.common import byte_size, cut, packed, text_key, unpacked
 BINS, HEAVY, CODE_BITS, HASH_BITS, SLOT_ROWS = 4096, 16, 22, 40, 20_000
 
 
-def _string_code(c: Column) -> Column:
-    """Order-preserving number of a string's first six bytes."""
-    head = F.substring(F.encode(F.coalesce(c.cast("string"), F.lit("")), "utf-8"), 1, 6)
-    return F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double")
+def _ranks(values: DataFrame) -> DataFrame:
+    """(value, rank) of the distinct values of a one-column table, null apart:
+    ranges of values are numbered on their own and moved by the ranges before."""
+    placed = cut(values.toDF("value").filter("value is not null").distinct()
+                 .repartitionByRange("value").withColumn("part", F.spark_partition_id()), "kd-values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    moved = placed.groupBy("part").count().select(
+        "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("moved"))
+    own = Window.partitionBy("part").orderBy("value")
+    return placed.withColumn("n", F.row_number().over(own)).join(F.broadcast(moved), "part").select(
+        "value", (F.col("n") + F.col("moved")).cast("double").alias("rank"))
+
+
+def _is_number(docs: DataFrame, name: str) -> bool:
+    return docs.schema[name].dataType.typeName() in (
+        "byte", "short", "integer", "long", "float", "double", "decimal")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, dims: list[str]) -> DataFrame:
+    """(id, row, size, crc, key, x0, ...): ``row`` is a number of the row."""
     text = docs[text_col]
-    codes = [F.log2(byte_size(text) + 1).alias("x0")]
-    codes += [(docs[c].cast("double") if docs.schema[c].dataType.typeName() in
-               ("integer", "long", "short", "double", "float") else _string_code(docs[c]))
-              .alias(f"x{i}") for i, c in enumerate(dims, 1)]
-    return docs.select(
-        docs[id_col].alias("id"), (byte_size(text) + 1).alias("size"),
+    own = {c: docs[c].cast("double" if _is_number(docs, c) else "string") for c in dims}
+    rows = cut(docs.select(
+        docs[id_col].alias("id"), F.monotonically_increasing_id().alias("row"),
+        (byte_size(text) + 1).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"),
-        text_key(text).alias("key"), *codes)
+        text_key(text).alias("key"), F.log2(byte_size(text) + 1).alias("x0"),
+        *[c.alias(f"x{i}") for i, c in enumerate(own.values(), 1)]), "kd-rows")
+    for i, c in enumerate(dims, 1):
+        if not _is_number(docs, c):
+            ranks = cut(_ranks(rows.select(f"x{i}")), "kd-ranks").withColumnRenamed("value", "of")
+            # null is smallest
+            rows = rows.join(ranks, rows[f"x{i}"] == ranks["of"], "left").withColumn(
+                f"x{i}", F.coalesce("rank", F.lit(0.0))).drop("of", "rank")
+    return rows
+
+
+def _large(rows: DataFrame, share: float) -> DataFrame:
+    """(of, parts): groups of copies larger than a shard (so fewer than there
+    are shards), and how many parts of about ``1 / HEAVY`` of a shard they make."""
+    return (rows.groupBy(F.col("key").alias("of")).agg(F.sum("size").alias("w"))
+            .filter(F.col("w") > share)
+            .select("of", F.ceil(F.col("w") * HEAVY / share).cast("int").alias("parts")))
+
+
+def _part(row: str, parts: str) -> Column:
+    return F.coalesce(F.pmod(F.xxhash64(row), F.col(parts)).cast("int"), F.lit(0))
 
 
-def _parted(rows: DataFrame, share: float, sizes: DataFrame | None = None) -> DataFrame:
-    """``rows`` with ``part``: 0, or for a group larger than a shard one of
-    some parts of about ``1 / HEAVY`` of a shard, by the row's id."""
-    large = ((sizes or rows).groupBy("key").agg(F.sum("size").alias("w")).filter(F.col("w") > share)
-             .select(F.col("key").alias("of"),
-                     F.ceil(F.col("w") * HEAVY / share).cast("int").alias("parts")))
-    # fewer groups than shards are larger than a shard
-    return rows.join(F.broadcast(large), rows["key"] == F.col("of"), "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.lit(0))
-    ).drop("of", "parts")
+def _parted(rows: DataFrame, share: float) -> DataFrame:
+    """``rows`` with ``part``: 0, or for a large group the part of the row's
+    number."""
+    return rows.join(F.broadcast(_large(rows, share)), rows["key"] == F.col("of"), "left").withColumn(
+        "part", _part("row", "parts")).drop("of", "parts")
 
 
 def _points(rows: DataFrame, width: int) -> DataFrame:
@@ -194,18 +223,18 @@ def shard_table(docs: DataFrame, shards: int | None = None, target_bytes: int |
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard): size is the
     text's UTF-8 bytes plus one; ``slot`` numbers the rows of a shard from 0."""
     dims_ = [c for c in dims if c in docs.columns]
-    rows = cut(_rows(docs, id_col, text_col, dims_), "kd-rows")
+    rows = cut(_rows(docs, id_col, text_col, dims_), "kd-ranked")
     where, share = _where(rows, len(dims_) + 1, shards, target_bytes)
-    placed = cut(_parted(rows.select("id", "size", "crc", "key"), share)
+    placed = cut(_parted(rows.select("id", "row", "size", "crc", "key"), share)
                  .join(where, ["key", "part"]), "kd-placed")
     n = placed.count()
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("id", "key"),
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("row"),
                                                 F.lit(max(1, math.ceil(n / SLOT_ROWS)))))
     # slots: small buckets are numbered, the buckets before give the start
     counts = placed.groupBy("shard", "bucket").count()
     run = Window.partitionBy("shard").orderBy("bucket")
     starts = counts.select("shard", "bucket", (F.sum("count").over(run) - F.col("count")).alias("from"))
-    own = Window.partitionBy("shard", "bucket").orderBy("id", "key")
+    own = Window.partitionBy("shard", "bucket").orderBy("row")
     return (placed.join(starts, ["shard", "bucket"])
             .withColumn("slot", F.col("from") + F.row_number().over(own) - 1)
             .select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"),
@@ -217,11 +246,18 @@ def sharded_documents(docs: DataFrame, shards: int | None = None, target_bytes:
                       dims: tuple[str, ...] = ("lang", "source"), shard_col: str = "shard") -> DataFrame:
     """The documents with their shard (a column of that name is replaced)."""
     dims_ = [c for c in dims if c in docs.columns]
-    rows = cut(_rows(docs, "doc_id", "text", dims_), "kd-rows")
+    rows = cut(_rows(docs, "doc_id", "text", dims_), "kd-ranked")
     where, share = _where(rows, len(dims_) + 1, shards, target_bytes)
-    large = rows.select("key", "size")                        # sizes of groups, without texts
-    whole = packed(docs, key=text_key(docs["text"]), id=docs["doc_id"],
-                   size=byte_size(docs["text"]) + 1)
-    out = _parted(whole, share, large).join(where, ["key", "part"])
+    # texts are joined by key, with the parts of their group (at most HEAVY for
+    # each shard); a part that is not there because the rows are numbered
+    # otherwise than before is another one
+    shards_of = (where.groupBy(F.col("key").alias("__of")).agg(F.sort_array(F.collect_list(
+        F.struct("part", "shard"))).alias("__shards"))
+        .join(F.broadcast(_large(rows, share)), F.col("__of") == F.col("of"), "left")
+        .select("__of", "__shards", F.col("parts").alias("__parts")))
+    whole = packed(docs, __key=text_key(docs["text"]), __n=F.monotonically_increasing_id())
+    out = whole.join(shards_of, F.col("__key") == F.col("__of"))
+    part = F.try_element_at(F.map_from_entries("__shards"), _part("__n", "__parts"))
+    other = F.get("__shards", F.pmod(F.col("__n"), F.size("__shards")).cast("int"))["shard"]
     keep = [c for c in docs.columns if c != shard_col]
-    return out.select(*unpacked(out, keep), F.col("shard").alias(shard_col))
+    return out.select(*unpacked(out, keep), F.coalesce(part, other).alias(shard_col))
