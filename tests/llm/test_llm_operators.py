@@ -192,6 +192,82 @@ def test_shards_with_a_group_larger_than_a_shard(spark):
         F.countDistinct("shard")).first()[0] >= 5
 
 
+def test_shards_of_rows_without_an_id(spark):
+    rows = [(None, "same text " * 20, "a")] * 300
+    rows += [(None, f"text {i} " * (i % 30), "b") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = kd_shards.shard_table(df, 16).toPandas()
+    sums = got.groupby("shard")["size"].sum()
+    assert len(sums) == 16 and sums.max() - sums.min() <= 14_000
+    for _, g in got.groupby("shard"):
+        assert sorted(g["slot"]) == list(range(len(g)))
+    placed = kd_shards.sharded_documents(df, 16)
+    assert placed.count() == 900 and placed.columns == [*df.columns, "shard"]
+    sums = placed.groupBy("shard").agg(F.sum(F.length("text") + 1).alias("n")).toPandas()["n"]
+    assert len(sums) == 16 and sums.max() < 1.5 * sums.min()
+
+
+def test_text_dimensions_count_by_rank(spark):
+    hosts = [None, "https://a.org", "https://a.org/x", "https://b.org", "", "é"]
+    df = frame(spark, [f"t{i}" for i in range(6)], source=hosts)
+    got = {r["id"]: r["x1"] for r in kd_shards._rows(df, "doc_id", "text", ["source"]).collect()}
+    order = sorted({h for h in hosts if h is not None}, key=lambda h: h.encode())
+    assert [got[i] for i in range(6)] == [0.0 if h is None else order.index(h) + 1.0 for h in hosts]
+
+
+def brute_tree(points, shards, share, width):
+    """The k-d tree by sorting: {(key, part): shard}."""
+    out = {}
+
+    def split(node, light, heavy, first, n):
+        if n == 1:
+            out.update({p[:2]: first for p in light} | dict.fromkeys(heavy, first))
+            return
+        half, total = n // 2, sum(p[2] for p in light) + sum(heavy.values())
+        room = {0: total * half / n, 1: total * (n - half) / n}
+        sides = {0: {}, 1: {}}
+        for k, w in sorted(heavy.items(), key=lambda x: (-x[1], x[0])):
+            side = 0 if room[0] >= room[1] else 1
+            room[side] -= w
+            sides[side][k] = w
+        low = []
+        if light:
+            spread = [(max(p[3 + i] for p in light) >> kd_shards.HASH_BITS)
+                      - (min(p[3 + i] for p in light) >> kd_shards.HASH_BITS) for i in range(width)]
+            wide = spread.index(max(spread))
+            goal = min(max(room[0], 0), sum(p[2] for p in light))
+            below = 0
+            for p in sorted(light, key=lambda p: p[3 + wide]):
+                if below + p[2] >= goal:                       # the cut lies within this point
+                    low += [p] if below + p[2] - goal <= goal - below else []
+                    break
+                below += p[2]
+                low.append(p)
+        names = {p[:2] for p in low}
+        split(2 * node + 1, low, sides[0], first, half)
+        split(2 * node + 2, [p for p in light if p[:2] not in names], sides[1], first + half, n - half)
+
+    split(0, [p for p in points if p[2] <= share / kd_shards.HEAVY],
+          {p[:2]: p[2] for p in points if p[2] > share / kd_shards.HEAVY}, 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards", [3, 8])
+def test_the_tree_is_the_brute_force_one(spark, docs, shards):
+    rows = kd_shards._rows(docs, "doc_id", "text", ["lang", "source"])
+    share = rows.agg(F.sum("size")).first()[0] / shards
+    points = kd_shards._points(kd_shards._parted(rows, share), 3)
+    found = {(bytes(r["key"]), r["part"]): r["shard"] for r in
+             kd_shards.tree(points, shards, share).collect()}
+    names = ["key", "part", "w", "k0", "k1", "k2"]
+    slow = brute_tree([(bytes(r["key"]), *[r[c] for c in names[1:]]) for r in points.collect()],
+                      shards, share, 3)
+    # medians are exact up to a thousandth of a shard
+    sizes = {(bytes(r["key"]), r["part"]): r["w"] for r in points.collect()}
+    moved = sum(sizes[k] for k in slow if slow[k] != found[k])
+    assert found.keys() == slow.keys() and moved <= 0.02 * sum(sizes.values())
+
+
 # --------------------------------------------------------------- 3 quality
 
 def test_quality_equals_sql(spark, docs):
@@ -211,16 +287,23 @@ def test_frequent_lines_deplete(spark):
     line = " ".join(v[:40])
     texts = [line + "\n" + " ".join(rng.choices(v, k=20)) for _ in range(6)]
     texts += [line + "\n" + " ".join(rng.choices(v, k=120)) for _ in range(2)]
-    texts += [" ".join(v[100:200])] * 9                     # equal texts are one text
+    texts += [" ".join(v[100:200])] * 9                     # copies are documents
+    texts += [" ".join(v[200:300])] * 5
     d = frame(spark, texts, source=["h"] * len(texts))
-    got = line_frequency.quality(d, max_texts=5).toPandas().sort_values("doc_id")
-    assert got["kept"].tolist() == [False] * 6 + [True] * 11
-    assert got["lost_words"].tolist() == [40] * 8 + [0] * 9
-    clean = {r["doc_id"]: r["text"] for r in line_frequency.cleaned(d, max_texts=5).collect()}
-    assert sorted(clean) == list(range(6, 17)) and clean[6] == texts[6].split("\n")[1]
-
-
-def test_repeated_words_both_ways(spark):
+    got = line_frequency.quality(d, max_docs=5).toPandas().sort_values("doc_id")
+    assert got["kept"].tolist() == [False] * 6 + [True] * 2 + [False] * 9 + [True] * 5
+    assert got["lost_words"].tolist() == [40] * 8 + [100] * 9 + [0] * 5
+    clean = {r["doc_id"]: r["text"] for r in line_frequency.cleaned(d, max_docs=5).collect()}
+    assert sorted(clean) == [6, 7, *range(17, 22)] and clean[6] == texts[6].split("\n")[1]
+    # the same documents on hosts of their own are no boilerplate
+    apart = frame(spark, texts, source=[str(i) for i in range(len(texts))])
+    assert line_frequency.quality(apart, max_docs=5).filter("lost_words > 0").count() == 0
+    # 200 documents of one host that hold one line, copies of each other
+    many = frame(spark, [" ".join(v[:60])] * 200, source=["h"] * 200)
+    assert line_frequency.quality(many).filter("kept").count() == 0
+
+
+def test_repeated_words(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choices("abc", k=n)) for n in (0, 1, 2, 3, 4, 7, 12, 60)]
     w = line_frequency.words_of(F.col("text"))
@@ -231,11 +314,9 @@ def test_repeated_words_both_ways(spark):
         n = Counter(tri)
         return len({i + k for i, x in enumerate(tri) if n[x] > 1 for k in range(3)})
 
-    got = frame(spark, texts).select("text", line_frequency.repeated_words(w).alias("n"), w.alias("w"))
-    h = line_frequency._windows(F.col("w"))
-    slow = line_frequency._covered(line_frequency._repeated_places_long(F.col("w"), h))
-    for r in got.select("text", "n", slow.alias("m")).collect():
-        assert r["n"] == r["m"] == brute(r["text"])
+    got = frame(spark, texts).select("text", line_frequency.repeated_words(w).alias("n"))
+    for r in got.collect():
+        assert r["n"] == brute(r["text"])
 
 
 # ---------------------------------------------------------------- 4 tokens
@@ -377,6 +458,48 @@ def test_language_held_out(spark):
         ("und", 0.0, 1.0, True)] * 2
 
 
+def test_language_by_brute_force(spark, docs, texts):
+    model = language_centroids.fit_languages(docs)
+
+    def vector(text):
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        line = " " + " ".join(letters.split()) + " "
+        grams = Counter()
+        for n in (1, 2, 3):
+            for i in range(len(line) - n + 1):
+                gram = line[i:i + n]
+                if n > 1 or gram != " ":
+                    h = 0
+                    for c in gram:
+                        h = (h * 0x01000193 + ord(c)) & 0xFFFFFFFF
+                    grams[((h * 0x9E3779B1 + n) & 0xFFFFFFFF) >> (32 - 12)] += 1
+        out = np.zeros(language_centroids.DIMENSIONS)
+        for place, n in grams.items():
+            out[place] = (1 + np.log(n)) * model.idf[place]
+        return out / max(np.linalg.norm(out), 1e-12)
+
+    for _, text in texts[:120]:
+        [(lang, score, *_)] = model.predict([text])
+        if not any(c.isalpha() for c in text or ""):
+            assert lang == "und"
+            continue
+        near = model.centres.astype(float) @ vector(text)
+        assert abs(near.max() - score) < 1e-4 and lang == model.languages[int(near.argmax())]
+
+
+def test_language_of_symbols_and_copies(spark, docs):
+    model = language_centroids.fit_languages(docs, max_rows=60)
+    emoji, astral = "\U0001F600\U0001F601", "\U00020000\U00020001"      # no letters; letters
+    assert model.predict([emoji, f"12 {emoji}!", astral])[0][:2] == ("und", 0.0)
+    assert model.predict([f"12 {emoji}!"])[0][0] == "und" and model.predict([astral])[0][0] != "und"
+    # a text of half of all rows is one of the sample
+    row = docs.filter("lang = 'en' and length(text) > 500").filter(~held_out(F.col("doc_id"))).limit(1)
+    copies = row.withColumn("doc_id", F.explode(F.sequence(F.lit(10_000), F.lit(10_400)))).select(
+        *docs.columns)
+    again = language_centroids.fit_languages(docs.unionByName(copies), max_rows=60)
+    assert again.languages == model.languages and np.allclose(again.centres, model.centres)
+
+
 def test_held_out_rule(spark):
     got = spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 3 == 1) for r in got)
