@@ -1,6 +1,7 @@
 """The operators against brute force, exact round trips and held-out accuracy."""
 
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -435,14 +436,47 @@ def test_licences(spark, docs):
 
 
 def test_licence_spellings(spark):
-    mit = licence_digests.TEXTS["MIT"]
-    d = frame(spark, ["Copyright (c) 2020 Some One\n\n" + mit.upper().replace(",", " ,"),
-                      mit.replace("\n", " ").replace("copyright holders", "copyright owners")
-                      .replace("COPYRIGHT HOLDERS", "COPYRIGHT OWNERS"), mit + " More.",
-                      "text\nlicensed under the APACHE LICENCE version 2.0!"])
-    got = {(r["doc_id"], r["scope"], r["licence"]) for r in licence_digests.licence_hits(d).collect()}
-    assert got == {(0, "document", "MIT"), (1, "document", "MIT"), (1, "line", "MIT"),
-                   (3, "line", "Apache-2.0")}
+    known = dict(licence_digests.known_texts()[::-1])
+    files = {k: t for k, t in licence_digests.known_texts() if len(t) > 400}
+    mit, isc = (next(t for k, t in licence_digests.known_texts() if k == n) for n in ("MIT", "ISC"))
+    bsd = next(t for k, t in licence_digests.known_texts() if k == "BSD-3-Clause")
+    gpl = next(t for k, t in licence_digests.known_texts() if k == "GPL-3.0" and len(t) > 20_000)
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1",
+            "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense", "Zlib"} <= files.keys() <= known.keys()
+
+    def wrapped(text, width):
+        blocks = [" ".join(p.split()) for p in text.split("\n\n")]
+        return "\n\n".join("\n".join(textwrap.wrap(p, width)) for p in blocks)
+
+    texts = {
+        "title": "MIT License\n\nCopyright (c) 2021 Jane Doe\n\n" + mit,
+        "named": "The MIT License (MIT)\n\nCopyright Jane Doe <j@x.org>\nCopyright 2001, Other\n\n" + mit,
+        "sign": "\u00a9 2020 Someone\nAll rights reserved.\n\n" + mit.upper(),
+        "wrapped": wrapped(mit, 40), "isc": wrapped(isc, 61), "isc2": "ISC License\n\n" + wrapped(isc, 33),
+        "bsd": "Copyright (c) 1999, A\n" * 3 + "\n" + wrapped(bsd, 50), "gpl": gpl.upper().replace("\n", "\n//   "),
+        "spelled": mit.replace("sublicense", "sub-licence").replace(" and ", " & "),
+        "within": "# A tool\n\nsome words\n\n## Licence\n\nCopyright 2020 X\n\n" + mit + "\n\nThanks!",
+        "cut": mit[:-30], "changed": mit.replace("free of charge", "for a fee"),
+        "notice": "a\n * Licensed under the Apache Licence, version 2.0.\nb",
+    }
+    d = frame(spark, list(texts.values()))
+    names = list(texts)
+    got = defaultdict(set)
+    for r in licence_digests.licence_hits(d).collect():
+        got[names[r["doc_id"]]].add((r["scope"], r["licence"], r["place"]))
+    for name in ("title", "named", "sign", "wrapped", "spelled"):
+        assert ("document", "MIT", 0) in got[name], name
+    assert ("document", "ISC", 0) in got["isc"] & got["isc2"]
+    assert ("document", "BSD-3-Clause", 0) in got["bsd"]
+    assert ("document", "GPL-3.0", 0) in got["gpl"]
+    assert got["within"] == {("paragraphs", "MIT", 4)}
+    assert got["notice"] == {("line", "Apache-2.0", 2)}
+    assert got["cut"] == got["changed"] == set()
+    # the body's own lines aren't copyright lines, wherever they are wrapped
+    assert licence_digests.paragraphs("x granted, provided that the above\ncopyright notice and this\n"
+                                      "Copyright Holder and\ncopyright holders") == [
+        "x granted provided that the above copyright notice and this copyright holder and copyright holders"]
+
 
 
 # ------------------------------------------------- 7 language, 9 toxicity
