@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from medstar.functions.hl7 import INPATIENT_RANGE
 from medstar.functions.text import compact_time
 from medstar.operators import extract as X
-from medstar.operators.cube import CubeDef, CubeStore, month_of, ms_of, time_bounds
+from medstar.operators.cube import (CubeDef, CubeStore, month_of, ms_of, time_bounds,
+                                    time_rejects)
 from medstar.operators.delimited import PLAYER_CELLS, PLAYER_FAMILIES, parse_delimited
 from medstar.operators.item_stats import item_rejects, item_statistics
 from medstar.operators.star import star_join
@@ -334,6 +335,41 @@ def q_cube_query(spark, sf_dir):
                        where={"inClassId": ["KS01", "KS02", "KS03"]})
 
 
+def q_cube_patients(spark, sf_dir):
+    """Exact numbers of patients, merged over the segments and both ways up."""
+    fact = _fact_table(spark, sf_dir)
+    store = _store(spark)
+    store.define(CubeDef("patients", CUBE_DIMS, exact_patients=True))
+    years = _years(fact)
+    store.build_segments("patients", fact, years[:-1])
+    store.build("patients", fact, years[-2], years[-1])      # new patients are numbered on
+    store.build("patients", fact, years[0], years[2], build_type="MERGE")
+    out = None
+    for i, group in enumerate([CUBE_DIMS, ["genderId", "ageId"], ["inClassId"], []]):
+        part = store.exact_patients("patients", group).select(
+            F.lit(i).alias("grouping"), *[(F.col(d) if d in group else F.lit(None).cast("string"))
+                                          .alias(d) for d in CUBE_DIMS], "n_patients")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_cube_malformed_months(spark, sf_dir):
+    """Facts of a class have no month: the cube holds the others, the rest is
+    listed."""
+    fact = _fact_table(spark, sf_dir).withColumn("inTimeId", F.when(
+        F.col("inClassId") == "KS03", F.concat(F.substring("inTimeId", 1, 5), F.lit("x")))
+        .otherwise(F.col("inTimeId")))
+    store = _store(spark)
+    store.define(CubeDef("visits", ["genderId", "inClassId"]))
+    store.build("visits", fact, *time_bounds(fact))
+    bad = time_rejects(fact).groupBy("inTimeId", "reason").agg(F.count("*").alias("n_visits"))
+    good = store.query("visits", ["inClassId"])
+    return good.select("inClassId", "first_month", "last_month", F.lit("").alias("reason"),
+                       "n_visits").unionByName(
+        bad.select(F.lit("KS03").alias("inClassId"), F.col("inTimeId").alias("first_month"),
+                   F.col("inTimeId").alias("last_month"), "reason", "n_visits"))
+
+
 def q_cube_describe(spark, sf_dir):
     """Segments of a cube and the model it is built from."""
     fact, _, store = _visits(spark, sf_dir)
@@ -465,6 +501,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cube_refresh_empty": q_cube_refresh_empty,
     "cube_purge": q_cube_purge,
     "cube_describe": q_cube_describe,
+    "cube_patients": q_cube_patients,
+    "cube_malformed_months": q_cube_malformed_months,
     "upsert_compacted": q_upsert_compacted,
     "open_cells": q_open_cells,
     "directory_ingest": q_directory_ingest,
@@ -707,6 +745,20 @@ ORACLE: dict[str, str] = {
                max(inTimeId) AS last_month
         FROM fact WHERE inClassId IN ('KS01', 'KS02', 'KS03')
         GROUP BY genderId, ageId""",
+    "cube_patients": _FACT + """
+        SELECT CASE grouping(genderId, ageId, inClassId) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 6 THEN 2
+               ELSE 3 END AS grouping, genderId, ageId, inClassId,
+               count(DISTINCT idCard) AS n_patients
+        FROM fact GROUP BY GROUPING SETS ((genderId, ageId, inClassId), (genderId, ageId),
+                                          (inClassId), ())""",
+    "cube_malformed_months": _FACT + """
+        SELECT inClassId, min(inTimeId) AS first_month, max(inTimeId) AS last_month, '' AS reason,
+               count(*) AS n_visits
+        FROM fact WHERE inClassId <> 'KS03' GROUP BY inClassId
+        UNION ALL
+        SELECT 'KS03', t, t, 'inTimeId: no month: ' || t, count(*)
+        FROM (SELECT substr(inTimeId, 1, 5) || 'x' AS t FROM fact WHERE inClassId = 'KS03')
+        GROUP BY t""",
     "cube_listing": _FACT + """
         , c AS (SELECT count(*) AS n FROM (SELECT 1 FROM fact
                   GROUP BY CUBE (genderId, inClassId))),

@@ -8,8 +8,16 @@ A cube has dimensions (fact columns) and a fixed set of mergeable measures:
 * ``patients_hll`` – HLL sketch of the patient id, merged by
   ``hll_union_agg``; read with ``hll_sketch_estimate``.
 
-An average or an exact distinct count cannot be merged, so neither is
-stored.
+A cube with ``exact_patients`` also keeps the patients of every cuboid row as
+bitmaps over dense patient numbers, one row per bucket of 32,768 numbers:
+merged by ``bitmap_or_agg``, counted by ``bitmap_count``, so the number of
+different patients is exact over any segments and groups.  Numbers are given
+once per cube and patient and kept in the cube's folder.
+
+Cuboids come by roll-up: the fact is aggregated once, by all dimensions, and
+every other cuboid is derived from its smallest stored parent (``rollup``).
+Segments are of whole months, so a fact row whose time is no month belongs to
+none; ``time_rejects`` lists those rows.
 
 Storage: every build writes a folder of its own,
 ``<root>/<cube>/attempt=<id>/segment=<yyyyMM_yyyyMM>/gid=<n>`` (parquet, one row
@@ -32,11 +40,15 @@ import json
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..session import scratch_path
 from ..sources import fs
+from .rollup import every_set, gid_of, roll_up
 
 MAX_GROUPINGS = 1024         # stored when no grouping sets are named
 BUILD_TYPES = ("BUILD", "REFRESH", "MERGE")
@@ -54,6 +66,7 @@ class CubeDef:
     time_column: str = "inTimeId"
     patient_column: str = "idCard"
     grouping_sets: list[list[str]] | None = None
+    exact_patients: bool = False
     status: str = "DISABLED"         # READY once built; DISABLED refuses queries
     segments: list[dict] = field(default_factory=list)
 
@@ -90,13 +103,28 @@ def _next_month(month: str) -> str:
     return f"{y + m // 12:04d}{m % 12 + 1:02d}"
 
 
+def is_month(time: Column) -> Column:
+    """Whether a time begins with a month, ``yyyyMM``."""
+    return F.coalesce(time.rlike("^(?!0000)[0-9]{4}(0[1-9]|1[0-2])"), F.lit(False))
+
+
 def time_bounds(fact: DataFrame, time_column: str = "inTimeId") -> tuple[int, int] | None:
-    """The smallest whole-month range (epoch ms) that holds every row with a
-    time; None without any."""
-    r = fact.agg(F.min(time_column).alias("lo"), F.max(time_column).alias("hi")).first()
+    """The smallest whole-month range (epoch ms) that holds every row whose
+    time is a month; None without any."""
+    r = fact.filter(is_month(F.col(time_column))).agg(
+        F.min(time_column).alias("lo"), F.max(time_column).alias("hi")).first()
     return None if r["lo"] is None else (ms_of(r["lo"][:6]), ms_of(_next_month(r["hi"][:6])))
 
 
+def time_rejects(fact: DataFrame, time_column: str = "inTimeId") -> DataFrame:
+    """The fact rows that no segment can hold, with ``field`` and ``reason``."""
+    t = F.col(time_column)
+    return fact.filter(~is_month(t)).withColumns({
+        "field": F.lit(time_column),
+        "reason": F.when(t.isNull(), f"{time_column}: null").otherwise(
+            F.concat(F.lit(f"{time_column}: no month: "), t))})
+
+
 def _range(start_ms: int, end_ms: int) -> tuple[str, str]:
     lo, hi = month_of(start_ms), month_of(end_ms)
     if lo >= hi:
@@ -104,13 +132,6 @@ def _range(start_ms: int, end_ms: int) -> tuple[str, str]:
     return lo, hi
 
 
-def gid_of(dimensions: list[str], grouped: list[str]) -> int:
-    """``grouping_id()`` of a grouping: bit set for every dimension not grouped,
-    first dimension = highest bit."""
-    n = len(dimensions)
-    return sum(1 << (n - 1 - i) for i, d in enumerate(dimensions) if d not in grouped)
-
-
 def _fits(lo: str, hi: str):
     """Refuses a range that overlaps a segment."""
     def check(cube: CubeDef) -> None:
@@ -217,18 +238,104 @@ class CubeStore:
     def _cube_path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _aggregate(self, cube: CubeDef, fact: DataFrame) -> DataFrame:
-        dims = cube.dimensions
-        aggs = [F.count(F.lit(1)).alias("n_visits"),
-                F.min(cube.time_column).alias("first_month"),
-                F.max(cube.time_column).alias("last_month"),
-                F.hll_sketch_agg(cube.patient_column).alias("patients_hll")]
-        if cube.grouping_sets is None:
-            grouped = fact.cube(*dims)                       # all 2^d groupings
-        else:
-            grouped = fact.groupingSets([list(s) for s in cube.grouping_sets], *dims)
-        return grouped.agg(F.grouping_id().cast("bigint").alias("gid"), *aggs) \
-            .select("gid", *dims, *MEASURES)
+    def _finest(self, cube: CubeDef, rows: DataFrame) -> DataFrame:
+        """Rows of a fact with its ``segment`` by all dimensions: one
+        aggregation, its partial sums map-side."""
+        dims = self._top(cube)
+        found = rows.groupBy("segment", *dims).agg(
+            F.count(F.lit(1)).alias("n_visits"), F.min(cube.time_column).alias("first_month"),
+            F.max(cube.time_column).alias("last_month"),
+            F.hll_sketch_agg(cube.patient_column).alias("patients_hll"))
+        return self._all_dims(cube, found)
+
+    @staticmethod
+    def _top(cube: CubeDef) -> list[str]:
+        sets = cube.grouping_sets
+        return [d for d in cube.dimensions if sets is None or any(d in s for s in sets)]
+
+    def _all_dims(self, cube: CubeDef, rows: DataFrame) -> DataFrame:
+        top = self._top(cube)
+        return rows.withColumns({d: F.lit(None).cast("string") for d in cube.dimensions
+                                 if d not in top})
+
+    @staticmethod
+    def _merged() -> list[Column]:
+        return [F.sum("n_visits").cast("bigint").alias("n_visits"),
+                F.min("first_month").alias("first_month"),
+                F.max("last_month").alias("last_month"),
+                F.hll_union_agg("patients_hll").alias("patients_hll")]
+
+    def _roll_up(self, cube: CubeDef, fact: DataFrame, seg_col: Column) -> str:
+        """Every cuboid of the fact's segments into a folder of its own."""
+        sets = cube.grouping_sets or every_set(cube.dimensions)
+        path = f"{self._cube_path(cube.name)}/{(attempt := f'attempt={uuid.uuid4().hex}')}"
+        rows = fact.withColumn("segment", seg_col).filter("segment is not null")
+        self._cuboids(cube, self._finest(cube, rows), sets, path, self._merged(), self._schema(cube))
+        if cube.exact_patients:
+            ids = self._patient_ids(cube, rows)
+            p = F.col(cube.patient_column)
+            dims = self._top(cube)
+            bits = (rows.select("segment", *dims, p.alias("_patient"))
+                    .join(ids, F.col("_patient") == F.col("patient"))
+                    .groupBy("segment", *dims, F.bitmap_bucket_number("id").alias("bucket"))
+                    .agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits")))
+            self._cuboids(cube, self._all_dims(cube, bits), sets, self._bits_path(cube.name, attempt),
+                          [F.bitmap_or_agg("bits").alias("bits")], self._bits_schema(cube), ("bucket",))
+        return attempt
+
+    def _cuboids(self, cube: CubeDef, finest: DataFrame, sets: list, path: str, merge: list[Column],
+                 schema: str, keys: tuple[str, ...] = ()) -> None:
+        """Rolls up into the folder ``path``, one sub-folder per cuboid, so a
+        query reads the files of its cuboid only."""
+        columns = StructType.fromDDL(schema).names
+        # a finest grouping that is not asked for is no part of the store
+        stored = frozenset(self._top(cube)) in map(frozenset, sets)
+        written: list[str] = []
+
+        def store(rows: DataFrame) -> DataFrame:
+            target = path if stored or written else scratch_path(self.spark, "cube-finest")
+            # one task per segment and cuboid; only a large cuboid is split
+            (rows.select(*columns).hint("rebalance", "segment", "gid")
+             .write.mode("append").partitionBy("segment", "gid").parquet(target))
+            if target not in written:
+                written.append(target)
+            parts = [self.spark.read.schema(schema).parquet(p) for p in written]
+            return reduce(DataFrame.unionByName, parts)
+
+        roll_up(finest, cube.dimensions, sets, merge, store, keys=("segment", *keys))
+
+    # ----------------------------------------------------- patient numbers --
+    def _bits_path(self, name: str, attempt: str) -> str:
+        return f"{self._cube_path(name)}/_patients/{attempt}"
+
+    def _patient_ids(self, cube: CubeDef, rows: DataFrame) -> DataFrame:
+        """(patient, id) with the patients of ``rows``; new ones are numbered
+        after the known ones, range by range, and stored."""
+        path, schema = f"{self._cube_path(cube.name)}/_patient_ids", "patient string, id long"
+
+        def known() -> DataFrame:
+            parts = [self.spark.read.schema(schema).parquet(f"{path}/{n}")
+                     for n in fs.list_names(self.spark, path)]
+            return reduce(DataFrame.unionByName, parts, self.spark.createDataFrame([], schema))
+
+        before, last = known(), known().agg(F.max("id")).first()[0] or 0
+        scratch = scratch_path(self.spark, "cube-patients")
+        (rows.select(F.col(cube.patient_column).alias("patient")).filter("patient is not null")
+         .distinct().join(before, "patient", "left_anti").repartitionByRange("patient")
+         .withColumn("part", F.spark_partition_id()).write.parquet(scratch))
+        new = self.spark.read.schema("patient string, part int").parquet(scratch)
+        earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        moved = new.groupBy("part").count().select(             # one row per range
+            "part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("moved"))
+        own = Window.partitionBy("part").orderBy("patient")
+        (new.join(F.broadcast(moved), "part")
+         .select("patient", (F.row_number().over(own) + F.col("moved") + last).alias("id"))
+         .write.parquet(f"{path}/{uuid.uuid4().hex}"))
+        return known()
+
+    def _bits_schema(self, cube: CubeDef) -> str:
+        return ", ".join([f"`{d}` string" for d in cube.dimensions]
+                         + ["bucket bigint", "bits binary", "segment string", "gid bigint"])
 
     def build(self, name: str, fact: DataFrame, start_ms: int, end_ms: int,
               build_type: str = "BUILD") -> str:
@@ -247,17 +354,23 @@ class CubeStore:
         cube, seg = self.get(name), f"{lo}_{hi}"
         check = _refreshes(seg) if build_type == "REFRESH" else _fits(lo, hi)
         check(cube)
-        t = F.col(cube.time_column)
-        rows = self._aggregate(cube, fact.filter((t >= lo) & (t < hi)))
-        self._publish(name, self._write(name, rows.withColumn("segment", F.lit(seg))),
-                      [(lo, hi)], check)
+        self._publish(name, self._roll_up(cube, fact, self._segment(cube, [(lo, hi)])), [(lo, hi)],
+                      check)
         return seg
 
+    @staticmethod
+    def _segment(cube: CubeDef, segs: list[tuple[str, str]]) -> Column:
+        """The segment of a fact row, null for a row of none."""
+        t = F.col(cube.time_column)
+        out = F.lit(None).cast("string")
+        for lo, hi in reversed(segs):
+            out = F.when(is_month(t) & (t >= lo) & (t < hi), F.lit(f"{lo}_{hi}")).otherwise(out)
+        return out
+
     def build_segments(self, name: str, fact: DataFrame, bounds_ms: list[int]) -> list[str]:
         """Q1 for several adjacent segments at once: ``bounds_ms`` = b0 < b1 <
         ... gives segments [b0, b1), [b1, b2), ...  One scan of the fact and one
-        aggregation (the segment is part of every grouping, so ``grouping_id``
-        is the same as in a one-segment build) instead of one job per segment."""
+        roll-up, in which the segment is a key, instead of one per segment."""
         cube = self.get(name)
         months = [month_of(b) for b in bounds_ms]
         if len(months) < 2 or months != sorted(set(months)):
@@ -265,31 +378,9 @@ class CubeStore:
         segs = list(zip(months, months[1:]))
         check = _fits(months[0], months[-1])
         check(cube)
-        t = F.col(cube.time_column)
-        seg_col = F.lit(None).cast("string")
-        for lo, hi in reversed(segs):
-            seg_col = F.when((t >= lo) & (t < hi), F.lit(f"{lo}_{hi}")).otherwise(seg_col)
-        rows = fact.filter((t >= months[0]) & (t < months[-1])).withColumn("segment", seg_col)
-        dims = cube.dimensions
-        subsets = cube.grouping_sets or [
-            [d for i, d in enumerate(dims) if mask >> (len(dims) - 1 - i) & 1]
-            for mask in range(2 ** len(dims))]
-        agg = rows.groupingSets([["segment", *sub] for sub in subsets], "segment", *dims).agg(
-            F.grouping_id().cast("bigint").alias("gid"),
-            F.count(F.lit(1)).alias("n_visits"),
-            F.min(cube.time_column).alias("first_month"),
-            F.max(cube.time_column).alias("last_month"),
-            F.hll_sketch_agg(cube.patient_column).alias("patients_hll"))
-        self._publish(name, self._write(name, agg), segs, check)
+        self._publish(name, self._roll_up(cube, fact, self._segment(cube, segs)), segs, check)
         return [f"{lo}_{hi}" for lo, hi in segs]
 
-    def _write(self, name: str, rows: DataFrame) -> str:
-        """Rows of one or more segments into a folder of their own; one
-        sub-folder per cuboid, so a query reads the files of its cuboid only."""
-        attempt = f"attempt={uuid.uuid4().hex}"
-        (rows.write.partitionBy("segment", "gid").parquet(f"{self._cube_path(name)}/{attempt}"))
-        return attempt
-
     def _publish(self, name: str, attempt: str, segs: list[tuple[str, str]], check,
                  replaced: tuple[str, ...] = ()) -> None:
         """Names the written segments in the metadata, after ``check`` against
@@ -309,12 +400,14 @@ class CubeStore:
             self._update(name, swap)
         except Exception:
             fs.delete(self.spark, f"{self._cube_path(name)}/{attempt}")
+            fs.delete(self.spark, self._bits_path(name, attempt))
             raise
         for old in names & set(before):
             self._drop(name, before[old], old)
 
     def _drop(self, name: str, folder: str, segment: str) -> None:
         fs.delete(self.spark, f"{self._cube_path(name)}/{folder}/segment={segment}")
+        fs.delete(self.spark, f"{self._bits_path(name, folder)}/segment={segment}")
 
     def merge(self, name: str, lo: str, hi: str) -> str:
         """Q3: one segment from all segments inside ``[lo, hi)``, which must
@@ -335,19 +428,19 @@ class CubeStore:
 
         # the new segment is written beside the old ones, which are retired when
         # it is visible: a failed merge leaves them as they are
-        rows = self._merge_rows(cube, self._read_segments(cube, parts))
-        self._publish(name, self._write(name, rows.withColumn("segment", F.lit(seg))),
-                      [(new_lo, new_hi)], same, tuple(p["name"] for p in parts))
+        attempt = f"attempt={uuid.uuid4().hex}"
+        kept = [(self._read_segments(cube, parts), self._merged(), (),
+                 f"{self._cube_path(name)}/{attempt}")]
+        if cube.exact_patients:
+            kept.append((self._read_bits(cube, parts), [F.bitmap_or_agg("bits").alias("bits")],
+                         ("bucket",), self._bits_path(name, attempt)))
+        for rows, merge, keys, path in kept:
+            (rows.groupBy("gid", *cube.dimensions, *keys).agg(*merge)
+             .withColumn("segment", F.lit(seg)).hint("rebalance", "gid")
+             .write.partitionBy("segment", "gid").parquet(path))
+        self._publish(name, attempt, [(new_lo, new_hi)], same, tuple(p["name"] for p in parts))
         return seg
 
-    def _merge_rows(self, cube: CubeDef, rows: DataFrame) -> DataFrame:
-        keys = ["gid", *cube.dimensions]
-        return rows.groupBy(*keys).agg(
-            F.sum("n_visits").cast("bigint").alias("n_visits"),
-            F.min("first_month").alias("first_month"),
-            F.max("last_month").alias("last_month"),
-            F.hll_union_agg("patients_hll").alias("patients_hll"))
-
     def purge(self, name: str) -> None:
         """Q4: drop every segment; the definition stays."""
         gone: list[dict] = []
@@ -364,11 +457,15 @@ class CubeStore:
     def _schema(self, cube: CubeDef) -> str:
         return ", ".join([f"`{d}` string" for d in cube.dimensions]
                          + ["n_visits bigint", "first_month string", "last_month string",
-                            "patients_hll binary", "gid bigint", "segment string"])
+                            "patients_hll binary", "segment string", "gid bigint"])
 
     def _read_segments(self, cube: CubeDef, segments: list[dict]) -> DataFrame:
-        base = self._cube_path(cube.name)
-        schema = self._schema(cube)
+        return self._read(self._cube_path(cube.name), segments, self._schema(cube))
+
+    def _read_bits(self, cube: CubeDef, segments: list[dict]) -> DataFrame:
+        return self._read(f"{self._cube_path(cube.name)}/_patients", segments, self._bits_schema(cube))
+
+    def _read(self, base: str, segments: list[dict], schema: str) -> DataFrame:
         # a segment without rows in its range has no folder at all
         paths = [f"{base}/{s['folder']}/segment={s['name']}" for s in segments]
         paths = [p for p in paths if fs.exists(self.spark, p)]
@@ -394,6 +491,29 @@ class CubeStore:
 
         Without a visit in the window or under the filters there is no row,
         with or without ``group_by``."""
+        cube, rows = self._serving(name, group_by, where or {}, between, self._read_segments)
+        out = rows.groupBy(*group_by).agg(*self._merged())
+        if not group_by:
+            out = out.filter(F.col("n_visits").isNotNull())     # nothing was added up
+        if estimate_patients:
+            out = out.withColumn("patients_est", F.hll_sketch_estimate("patients_hll"))
+        return out.drop("patients_hll")
+
+    def exact_patients(self, name: str, group_by: list[str], where: dict | None = None,
+                       between: tuple[int, int] | None = None) -> DataFrame:
+        """(group_by, n_patients): numbers of different patients, exact over
+        the segments and groups that are merged; as ``query`` otherwise."""
+        cube, rows = self._serving(name, group_by, where or {}, between, self._read_bits)
+        if not cube.exact_patients:
+            raise ValueError(f"cube {name} keeps no exact patients")
+        out = (rows.groupBy(*group_by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+               .groupBy(*group_by).agg(F.sum(F.bitmap_count("bits")).alias("n_patients")))
+        return out if group_by else out.filter(F.col("n_patients").isNotNull())
+
+    def _serving(self, name: str, group_by: list[str], where: dict,
+                 between: tuple[int, int] | None, read) -> tuple[CubeDef, DataFrame]:
+        """The rows of the smallest fitting cuboid in the window's segments,
+        under the filters."""
         cube = self.get(name)
         segments = cube.segments
         if between is not None:
@@ -405,7 +525,6 @@ class CubeStore:
             segments = [s for s in segments if lo <= s["lo"] and s["hi"] <= hi]
         if cube.status != "READY":
             raise PermissionError(f"cube {name} is {cube.status}")
-        where = where or {}
         needed = list(dict.fromkeys([*group_by, *where]))
         unknown = [c for c in needed if c not in cube.dimensions]
         if unknown:
@@ -418,20 +537,11 @@ class CubeStore:
             if not fits:
                 raise ValueError("no stored grouping holds these columns")
             target = gid_of(cube.dimensions, min(fits, key=len))
-        rows = self._read_segments(cube, segments).filter(F.col("gid") == target)
+        rows = read(cube, segments).filter(F.col("gid") == target)
         for col, val in where.items():
             rows = rows.filter(F.col(col).isin(*val) if isinstance(val, (list, tuple, set))
                                else F.col(col) == val)
-        out = rows.groupBy(*group_by).agg(
-            F.sum("n_visits").cast("bigint").alias("n_visits"),
-            F.min("first_month").alias("first_month"),
-            F.max("last_month").alias("last_month"),
-            F.hll_union_agg("patients_hll").alias("patients_hll"))
-        if not group_by:
-            out = out.filter(F.col("n_visits").isNotNull())     # nothing was added up
-        if estimate_patients:
-            out = out.withColumn("patients_est", F.hll_sketch_estimate("patients_hll"))
-        return out.drop("patients_hll")
+        return cube, rows
 
     def forget(self) -> None:
         """Read the metadata anew next time."""

@@ -223,20 +223,20 @@ def test_concurrent_builds_lose_nothing(spark, fact):
     a = _store(spark)
     b = CubeStore(spark, a.root)
     a.get("c"), b.get("c")
-    inner = a._write
+    inner = a._roll_up
 
-    def meanwhile(name, rows):                  # b builds while a's rows are written
-        a._write = inner
+    def meanwhile(*args):                       # b builds while a's rows are written
+        a._roll_up = inner
         b.build("c", fact, JAN96, JAN97)
-        return inner(name, rows)
+        return inner(*args)
 
-    a._write = meanwhile
+    a._roll_up = meanwhile
     a.build("c", fact, JAN95, JAN96)
     assert [s["name"] for s in CubeStore(spark, a.root).get("c").segments] == [
         "199501_199601", "199601_199701"]
     # the same range twice: the later one is refused and leaves no folder
-    a._write = lambda name, rows: (setattr(a, "_write", inner), b.build("c", fact, JAN97, JAN98),
-                                   inner(name, rows))[2]
+    a._roll_up = lambda *args: (setattr(a, "_roll_up", inner), b.build("c", fact, JAN97, JAN98),
+                                inner(*args))[2]
     with pytest.raises(ValueError, match="overlaps"):
         a.build("c", fact, JAN97, JAN98)
     assert len(b.get("c").segments) == 3
