@@ -15,10 +15,13 @@ folded is closed: writing it again is refused (or skipped).
 Writing appends map-side: no shuffle and no sort, whatever the content's size.
 
 Latest view: for every cell the value of the largest ``(_version, _source,
-value)``.  Reading takes two steps: a scan of the key column finds the keys that
-have more than one row; all other rows are passed through as they are, and
-only the rows of those keys are aggregated.  After a compaction, which lays
-the rows out in key order, a key range reads only the files that hold it.
+value)``.  Keys with several rows are found from the key column alone and kept
+as a bitmap over ``SLOTS`` hash values.  The bitmap goes to every task (32 MB at
+most, whatever the table's size): a row whose slot isn't set is surely the only
+one of its key and passes where it is read; the other rows, those of repeated
+keys and the few that share a slot with one, are aggregated.  All of it is one
+lazy plan, no job runs while it is built.  After a compaction, which lays the
+rows out in key order, a key range reads only the files that hold it.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from typing import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, shared_dir
+from ..session import shared_dir
 from ..sources import fs
 
 # ---- fixed values: the document table of the original jobs --------------
@@ -42,9 +45,8 @@ DOCUMENT_FAMILIES = {
 WRITER = "put"               # writer of batches that callers number themselves
 COMPACTED = "compacted"
 _OWN = ("row_key", "_open", "_source", "_version", "_batch")
-#: Keys with several rows are picked out of the scan up to this share of the
-#: rows; above it everything is aggregated in one go.
-PICK_SHARE = 0.2
+#: Hash values of the bitmap of repeated keys: 8,192 pieces of 4 KB.
+SLOTS = 1 << 28
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -243,20 +245,24 @@ class WideTable:
             log = log.filter(F.col("row_key") < F.lit(hi))
         return log
 
-    def _repeated(self, key_range) -> tuple[DataFrame | None, bool]:
-        """Keys with more than one row, and whether they are few.  Only the key
-        column is read; the keys are written, so joins know their size."""
-        keys = self._in_range(key_range).select("row_key")
-        several = (keys.groupBy("row_key").count().filter("count > 1")
-                   .select("row_key", F.col("count").alias("rows")))
-        path = scratch_path(self.spark, "repeated-keys")
-        several.write.parquet(path)
-        several = self.spark.read.schema("row_key string, rows long").parquet(path)
-        n = several.agg(F.sum("rows")).first()[0]
-        if not n:
-            fs.delete(self.spark, path)
-            return None, True
-        return several.select("row_key"), n <= PICK_SHARE * keys.count()
+    def _repeated(self, key_range) -> DataFrame:
+        """(_bucket, _bits): pieces of the bitmap over the slots of the keys
+        with more than one row.  Only the key column is read."""
+        return (self._in_range(key_range).groupBy("row_key").count().filter("count > 1")
+                .select(_slot().alias("slot"))
+                .groupBy(F.bitmap_bucket_number("slot").alias("_bucket"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits")))
+
+    def _split(self, rows: DataFrame, key_range) -> tuple[DataFrame, DataFrame]:
+        """``rows`` of keys that surely have one row, and the others."""
+        bits = F.broadcast(self._repeated(key_range))         # 32 MB at most
+        at = F.bitmap_bit_position(_slot())
+        byte = F.conv(F.hex(F.substr("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10)
+        is_set = F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1
+        near = F.bitmap_bucket_number(_slot()) == F.col("_bucket")
+        single = rows.join(bits, near, "left").filter(F.col("_bits").isNull() | ~is_set)
+        return (single.select(*rows.columns),
+                rows.join(bits, near).filter(is_set).select(*rows.columns))
 
     def latest(self, cells: Iterable[str] | None = None,
                key_range: tuple[str | None, str | None] | None = None) -> DataFrame:
@@ -265,20 +271,10 @@ class WideTable:
         as bytes), for the keys that have one of them."""
         flat, names = self._flat(cells, key_range)
         cols = list(names.values())
-
-        def newest(rows: DataFrame) -> DataFrame:
-            aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(
-                "_version", "_source", F.col(c).alias("v"))))["v"].alias(c) for c in cols]
-            return rows.groupBy("row_key").agg(*aggs)
-
-        several, few = self._repeated(key_range)
-        if several is None:
-            out = flat.select("row_key", *cols)
-        elif few:
-            out = flat.join(several, "row_key", "left_anti").select("row_key", *cols).unionByName(
-                newest(flat.join(several, "row_key", "left_semi")))
-        else:
-            out = newest(flat)
+        single, several = self._split(flat, key_range)
+        newest = several.groupBy("row_key").agg(*[F.max(F.when(F.col(c).isNotNull(), F.struct(
+            "_version", "_source", F.col(c).alias("v"))))["v"].alias(c) for c in cols])
+        out = single.select("row_key", *cols).unionByName(newest)
         out = out.filter(F.coalesce(*cols).isNotNull())
         groups: dict[str, list[tuple[str, str]]] = {}
         for cell, c in names.items():
@@ -342,32 +338,27 @@ class WideTable:
         # per cell the version and source that own it, then one row per owner
         aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(owner.alias("o"), F.col(c).alias("v"))))
                 .alias(names[c]) for c in cols]
-        several, _ = self._repeated(None)
-        if several is None:
-            rows = log
-        else:
-            again = log.join(several, "row_key", "left_semi")
-            best = again.groupBy("row_key").agg(*aggs)
-            owners = F.array_distinct(F.array_compact(F.array(*[
-                F.col(f"{n}.o") for n in names.values()])))
-            each = best.select("*", F.explode(owners).alias("o"))
-            fams = [F.struct(*[F.when(F.col(f"{names[f'{f}.{q}']}.o") == F.col("o"),
-                                      F.col(f"{names[f'{f}.{q}']}.v")).alias(q)
-                               for q in qs]).alias(f) for f, qs in self.families.items()]
-            declared = each.select("row_key", *fams,
-                                   F.lit(None).cast("map<string,string>").alias("_open"),
-                                   F.col("o._source").alias("_source"),
-                                   F.col("o._version").alias("_version"))
-            # open cells: the newest of each name, one row per owner
-            opened = (again.select("row_key", owner.alias("o"), F.explode("_open").alias("k", "v"))
-                      .groupBy("row_key", "k").agg(F.max(F.struct("o", "v")).alias("b"))
-                      .groupBy("row_key", "b.o").agg(F.map_from_entries(F.collect_list(
-                          F.struct("k", "b.v"))).alias("_open")))
-            empty = [F.lit(None).cast(log.schema[f].dataType).alias(f) for f in self.families]
-            rows = (log.join(several, "row_key", "left_anti")
-                    .unionByName(declared.select(*log.columns))
-                    .unionByName(opened.select("row_key", *empty, "_open", F.col("o._source").alias(
-                        "_source"), F.col("o._version").alias("_version")).select(*log.columns)))
+        single, again = self._split(log, None)
+        best = again.groupBy("row_key").agg(*aggs)
+        owners = F.array_distinct(F.array_compact(F.array(*[
+            F.col(f"{n}.o") for n in names.values()])))
+        each = best.select("*", F.explode(owners).alias("o"))
+        fams = [F.struct(*[F.when(F.col(f"{names[f'{f}.{q}']}.o") == F.col("o"),
+                                  F.col(f"{names[f'{f}.{q}']}.v")).alias(q)
+                           for q in qs]).alias(f) for f, qs in self.families.items()]
+        declared = each.select("row_key", *fams,
+                               F.lit(None).cast("map<string,string>").alias("_open"),
+                               F.col("o._source").alias("_source"),
+                               F.col("o._version").alias("_version"))
+        # open cells: the newest of each name, one row per owner
+        opened = (again.select("row_key", owner.alias("o"), F.explode("_open").alias("k", "v"))
+                  .groupBy("row_key", "k").agg(F.max(F.struct("o", "v")).alias("b"))
+                  .groupBy("row_key", "b.o").agg(F.map_from_entries(F.collect_list(
+                      F.struct("k", "b.v"))).alias("_open")))
+        empty = [F.lit(None).cast(log.schema[f].dataType).alias(f) for f in self.families]
+        rows = (single.unionByName(declared.select(*log.columns))
+                .unionByName(opened.select("row_key", *empty, "_open", F.col("o._source").alias(
+                    "_source"), F.col("o._version").alias("_version")).select(*log.columns)))
         name = f"{COMPACTED}.{uuid.uuid4().hex}"
         path = f"{self.location()}/_batch={name}"
         rows.repartitionByRange("row_key").sortWithinPartitions("row_key").write.parquet(path)
@@ -396,6 +387,11 @@ class WideTable:
         self.spark.catalog.refreshTable(self.name)
 
 
+def _slot() -> Column:
+    """The slot of a row's key, from 1."""
+    return F.pmod(F.xxhash64("row_key"), F.lit(SLOTS)) + 1
+
+
 def key_share(key: Column, seed: int = 0) -> Column:
     """A number from 0 to 1 that depends on the key and the seed only."""
     digest = F.md5(F.concat(key, F.lit(f":{int(seed)}")).cast("binary"))
