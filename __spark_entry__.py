@@ -71,6 +71,16 @@ def q_fact_extract(spark, sf_dir):
     return X.patient_fact(docs, keep=("path",))
 
 
+def q_fact_extract_jvm(spark, sf_dir):
+    """Documents of the regular shape stay in the JVM."""
+    return X.patient_fact(order_documents(spark, sf_dir), keep=("path",), engine="jvm")
+
+
+def q_fact_rejects_jvm(spark, sf_dir):
+    parsed = X.parse_fact(order_documents(spark, sf_dir), keep=("path",), engine="jvm")
+    return X.rejects(parsed, key="path")
+
+
 def q_fact_rejects(spark, sf_dir):
     docs = order_documents(spark, sf_dir)
     return X.rejects(X.parse_fact(docs, keep=("path",)), key="path")
@@ -486,6 +496,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "header_extract_jvm": q_header_extract_jvm,
     "fact_extract": q_fact_extract,
     "fact_rejects": q_fact_rejects,
+    "fact_extract_jvm": q_fact_extract_jvm,
+    "fact_rejects_jvm": q_fact_rejects_jvm,
     "range_scan": q_range_scan,
     "inpatient_fact": q_inpatient_fact,
     "column_scan": q_column_scan,
@@ -802,6 +814,10 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_inpatient_fact(spark, SMOKE_DIR)
 
 
+ORACLE["fact_extract_jvm"] = ORACLE["fact_extract"]
+ORACLE["fact_rejects_jvm"] = ORACLE["fact_rejects"]
+
+
 # The training-data operators are a subpackage of their own: without it, or
 # without the pipeline module, the other queries work all the same.
 try:
