@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from medstar.llm import (decontaminate, kd_shards, language_centroids, licence_digests,
@@ -360,58 +361,104 @@ def levenshtein(a, b):
     return row[-1]
 
 
-def within_edits(a, b, k):
-    """Whether at most ``k`` edits turn one into the other, by trying them."""
-    n = 0
-    while n < min(len(a), len(b)) and a[n] == b[n]:
-        n += 1
-    a, b = a[n:], b[n:]
-    if not a or not b or not k:
-        return max(len(a), len(b)) <= k
-    return any(within_edits(x, y, k - 1) for x, y in ((a[1:], b), (a, b[1:]), (a[1:], b[1:])))
+def edited(ws, n, rng):
+    ws = list(ws)
+    for _ in range(n):
+        i, what = rng.randrange(len(ws) + 1), rng.randrange(3)
+        ws[i:i + (what != 1)] = [rng.choice(["xx", "yé", "7"])] if what else []
+    return ws
 
 
-def edited(line, n, rng):
-    for _ in range(n):
-        i, what = rng.randrange(len(line) + 1), rng.randrange(3)
-        line = line[:i] + (rng.choice("xyé") if what else "") + line[i + (what != 1):]
-    return line
+def budget_of(n):
+    return 0 if n < 8 else 1 if n < 16 else min(30, int((n / 4) ** 0.5))
 
 
-@pytest.mark.parametrize("hot", [1, 12])
-def test_line_links_equal_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(line_edit_join, "HOT", hot)
-    rng = random.Random(6)
-    base = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in [15, 19, 20, 22, 39, 40, 41, 60, 90] * 3]
-    lines = [edited(x, k, rng) for x in base for k in (0, 0, 1, 2, 3, 1)]
+def groups_of(nodes, pairs):
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for x, y in pairs:
+        root[find(x)] = find(y)
+    out = defaultdict(set)
+    for x in nodes:
+        out[find(x)].add(x)
+    return {frozenset(g) for g in out.values()}
+
+
+def check_lines(spark, lines):
+    """Links are right, and join what all links join."""
     lines = [x for x in lines if x.strip()]
-    d = frame(spark, ["\n".join(lines[i::7]) for i in range(7)])
     key = {r["h"]: r["line"] for r in spark.createDataFrame([(x,) for x in lines], "line string")
            .select("line", F.xxhash64("line").alias("h")).collect()}
-    got = {frozenset((key[r["a"]], key[r["b"]])): r["edits"] for r in line_edit_join.line_links(d).collect()}
-    want, distinct = {}, sorted(set(lines))
+    tokens = {x: regex.findall(r"[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]]+|\S", x,
+                               regex.V1) for x in lines}
+    links = [r.asDict() for r in line_edit_join.line_links(
+        frame(spark, ["\n".join(lines[i::7]) for i in range(7)])).collect()]
+    distinct, want = sorted(set(lines)), {}
     for i, x in enumerate(distinct):
         for y in distinct[i + 1:]:
-            k = line_edit_join._edits(min(len(x), len(y)))
-            if abs(len(x) - len(y)) <= k and (e := levenshtein(x, y)) <= k:
+            a, b = tokens[x], tokens[y]
+            k = budget_of(min(len(a), len(b)))
+            if k and abs(len(a) - len(b)) <= k and (e := levenshtein(a, b)) <= k:
                 want[frozenset((x, y))] = e
-    assert got == want and len(want) > 50
+    found = {frozenset((key[r["a"]], key[r["b"]])): r["edits"] for r in links}
+    assert len(found) == len(links) and found.items() <= want.items()
+    assert groups_of(distinct, map(tuple, found)) == groups_of(distinct, map(tuple, want))
+    return found, want
+
+
+@pytest.mark.parametrize("hot", [1, 12])
+def test_line_links_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(line_edit_join, "HOT", hot)
+    rng = random.Random(6)
+    v = vocabulary(6, 25)
+    base = [rng.choices(v, k=n) for n in [7, 8, 9, 15, 16, 17, 35, 36, 37, 64, 70, 101] * 2]
+    lines = [" ".join(edited(x, k, rng)) for x in base for k in (0, 0, 1, 2, 3, 4, 5, 6, 1)]
+    lines += ["  ".join(base[4]) + " ", "日本語のテキストはここにあります。", "日本語のテキストがここにあります。"]
+    found, want = check_lines(spark, lines)
+    assert len(want) > 100 and (hot == 1 or len(found) == len(want))
 
 
 def test_lines_of_one_template(spark):
     rng = random.Random(13)
-    base = vocabulary(13, 60)
-    lines = []
-    for _ in range(120):                       # most differ in several words
+    base, lines = vocabulary(13, 60), []
+    for _ in range(100):                       # most differ in several words
         ws = list(base)
         for _ in range(rng.choice([0, 3, 3, 3, 4])):
             ws[rng.randrange(60)] = "".join(rng.choice("abcdef") for _ in range(5))
-        lines += [x := " ".join(ws), edited(x, rng.randint(0, 2), rng)]
-    got = {(r["a"], r["b"]): r["edits"] for r in line_edit_join.line_links(
-        frame(spark, ["\n".join(lines)])).collect()}
-    distinct = sorted(set(lines))
-    n = sum(within_edits(x, y, 2) for i, x in enumerate(distinct) for y in distinct[i + 1:])
-    assert len(got) == n > 40
+        lines += [" ".join(ws), " ".join(edited(ws, rng.randint(0, 2), rng))]
+    # and lines that share a passage only
+    lines += [" ".join(base[:20] + vocabulary(i, 30)) for i in range(100, 160)]
+    found, want = check_lines(spark, lines)
+    assert len(want) > 200
+
+
+def test_links_of_near_copies_grow_with_their_number(spark):
+    rng, base = random.Random(3), vocabulary(21, 70)
+    counts = []
+    for n in (100, 200, 400):
+        lines = {" ".join(edited(base, rng.randint(1, 2), rng)) for _ in range(3 * n)}
+        lines = [" ".join(base), *sorted(lines - {" ".join(base)})[:n - 1]]
+        links = line_edit_join.line_links(frame(spark, ["\n".join(lines)]))
+        ids = {r["a"] for r in links.collect()} | {r["b"] for r in links.collect()}
+        assert len(ids) == n                   # each is linked
+        counts.append(links.count())
+    assert counts[1] < 2.6 * counts[0] and counts[2] < 2.6 * counts[1] and counts[2] < 15 * 400
+
+
+def test_long_lines_and_one_word_of_many(spark):
+    v, rng = vocabulary(9, 300), random.Random(9)
+    long_ = rng.choices(v, k=2000)
+    some = rng.choices(v, k=31)
+    lines = [" ".join(some), " ".join([*some[:12], "other", *some[13:]]), " ".join(long_),
+             " ".join(edited(long_, 20, rng)), " ".join(edited(long_, 60, rng))]
+    found, _ = check_lines(spark, lines)
+    assert {frozenset(lines[:2]): 1}.items() <= found.items() and frozenset(lines[2:4]) in found
 
 
 def test_line_dedup_keeps_the_first(spark):
@@ -419,6 +466,8 @@ def test_line_dedup_keeps_the_first(spark):
     d = frame(spark, [f"{line}\nother\n{line}", f"{line}!\nother", "\n \nshort", "short"])
     got = line_edit_join.line_dedup(d).toPandas().sort_values(["doc_id", "line_no"])
     assert got["kept"].tolist() == [True, True, False, False, False, True, False]
+    assert got["n_links"].tolist() == [1, 0, 1, 1, 0, 0, 0]
+    assert got["group_id"].nunique() == 3 and got["class_id"].nunique() == 4
     text = {r["doc_id"]: r["text"] for r in line_edit_join.dedup_text(d).collect()}
     assert text == {0: f"{line}\nother", 1: "", 2: "\n \nshort", 3: ""}
 
