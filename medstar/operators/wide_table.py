@@ -96,10 +96,11 @@ class WideTable:
 
     # -------------------------------------------------------------- writes --
     def cells(self, df: DataFrame, key: Column | str,
-              mapping: Mapping[str, Column | str], source: Column | str | None = None
-              ) -> DataFrame:
+              mapping: Mapping[str, Column | str], source: Column | str | None = None,
+              keep: Sequence[str] = ()) -> DataFrame:
         """Map fields to cells (K5): ``{'family:qualifier': column}``.  A
-        qualifier that the family doesn't declare becomes an open cell."""
+        qualifier that the family doesn't declare becomes an open cell.
+        Columns named in ``keep`` stay beside the cells."""
         def value(v) -> Column:
             return (F.col(v) if isinstance(v, str) else v).cast("string")
 
@@ -122,7 +123,7 @@ class WideTable:
         else:
             cols.append(F.lit(None).cast("map<string,string>").alias("_open"))
         cols.append(value(F.lit(None) if source is None else source).alias("_source"))
-        return df.select(*cols)
+        return df.select(*cols, *keep)
 
     def _has_cell(self) -> Column:
         found = F.coalesce(F.size("_open") > 0, F.lit(False))
@@ -142,10 +143,8 @@ class WideTable:
         that nothing was written to.
         """
         batch = self._batch(version, writer)
-        if batch in self.folded():
-            if folded == "skip":
-                return False
-            raise ValueError(f"batch {batch} is part of a compaction and can't be rewritten")
+        if not self.writable(version, writer, folded):
+            return False
         cols = ["row_key", *self.families, "_open", "_source"]
         # a static partition spec replaces exactly this batch, whatever the
         # session's partitionOverwriteMode
@@ -160,6 +159,35 @@ class WideTable:
             self.spark.catalog.dropTempView(view)
         return True
 
+    def writable(self, version: int, writer: str = WRITER, folded: str = "refuse") -> bool:
+        """Whether a batch can be written; if a compaction has folded it, that
+        is refused, or False with ``folded="skip"``."""
+        batch = self._batch(version, writer)
+        if batch not in self.folded():
+            return True
+        if folded != "skip":
+            raise ValueError(f"batch {batch} is part of a compaction and can't be rewritten")
+        return False
+
+    def adopt(self, path: str, version: int, writer: str = WRITER) -> None:
+        """Files written elsewhere (rows of ``cells`` and ``_version``; other
+        columns are not looked at) become the batch, in place of its files of
+        before, without being copied."""
+        batch = self._batch(version, writer)
+        part = f"PARTITION (_batch = '{batch}')"
+        if batch in self.batches():
+            before = self._path_of(batch)
+            self.spark.sql(f"ALTER TABLE {self.name} {part} SET LOCATION '{path}'")
+            if before != path:
+                fs.delete(self.spark, before)
+        else:
+            self.spark.sql(f"ALTER TABLE {self.name} ADD {part} LOCATION '{path}'")
+        self.spark.catalog.refreshTable(self.name)
+
+    def _path_of(self, batch: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name} PARTITION (_batch = '{batch}')")
+        return rows.filter("col_name = 'Location'").collect()[0]["data_type"]
+
     def put_cells(self, cells: DataFrame, version: int, writer: str = WRITER,
                   folded: str = "refuse") -> bool:
         """Single-cell writes (K4): rows ``(row_key, family, qualifier, value)``.
@@ -380,10 +408,10 @@ class WideTable:
     def _retire(self, batches: list[str]) -> None:
         """Catalog entries and files of folded batches (the table is external,
         so dropping a partition alone would leave the files)."""
-        loc = self.location()
         for b in batches:
+            path = self._path_of(b)
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (_batch = '{b}')")
-            fs.delete(self.spark, f"{loc}/_batch={b}")
+            fs.delete(self.spark, path)
         self.spark.catalog.refreshTable(self.name)
 
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from ..functions.hl7 import FACT_COLUMNS, INPATIENT_RANGE
 from ..operators.extract import extract_header, good, parse_fact, rejects
 from ..operators.wide_table import DOCUMENT_FAMILIES, WRITER, WideTable
 from ..session import shared_dir
+from ..sources import fs
 
 HEADER_CELLS = {
     "basic:id": "id", "basic:typeCode": "typeCode",
@@ -33,8 +33,9 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version:
 
     A document that can't be read never vanishes: it is written to
     ``rejects_table`` (``<table>_rejects`` unless named), or with
-    ``on_error="fail"`` fails the job.  The header is parsed once; the parsed
-    rows are persisted for the two writes and released afterwards.
+    ``on_error="fail"`` fails the job.  Documents are parsed and written once,
+    in files apart by outcome: those of the good ones become the batch as they
+    are, the few columns of the others go to the rejects.
     """
     wt = WideTable.create(spark, table, DOCUMENT_FAMILIES, location)
     parsed = extract_header(docs, keep=("path", "content"), engine=engine, on_error=on_error)
@@ -42,15 +43,22 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version:
         wt.put(wt.cells(good(parsed), "row_key", HEADER_CELLS, source="path"), version, writer,
                folded)
         return wt
-    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if wt.put(wt.cells(good(parsed), "row_key", HEADER_CELLS, source="path"), version,
-                  writer, folded):
-            _write_rejects(spark, rejects(parsed, key="path"),
-                           rejects_table or f"{table}_rejects", version, writer,
-                           location and f"{location}-rejects")
-    finally:
-        parsed.unpersist()
+    if not wt.writable(version, writer, folded):
+        return wt
+    is_good = F.col("err").isNull()
+    cells = wt.cells(parsed.withColumn("content", F.when(is_good, F.col("content"))), "row_key",
+                     HEADER_CELLS, source="path", keep=("path", "err"))
+    staged = f"{wt.location()}/_ingest/{writer}.{int(version)}-{uuid.uuid4().hex}"
+    (cells.select("*", F.lit(int(version)).cast("bigint").alias("_version"),
+                  F.when(is_good, "good").otherwise("bad").alias("outcome"))
+     .write.partitionBy("outcome").parquet(staged))
+    for outcome in ("good", "bad"):                       # a folder without rows isn't there
+        fs.make_folder(spark, f"{staged}/outcome={outcome}")
+    bad = spark.read.schema("path string, err string").parquet(f"{staged}/outcome=bad")
+    _write_rejects(spark, rejects(bad, key="path"), rejects_table or f"{table}_rejects", version,
+                   writer, location and f"{location}-rejects")
+    fs.delete(spark, f"{staged}/outcome=bad")
+    wt.adopt(f"{staged}/outcome=good", version, writer)
     return wt
 
 

@@ -14,3 +14,24 @@ def spark():
     s = get_session(master="local[4]", shuffle_partitions=4)
     yield s
     s.stop()
+
+
+def above_broadcasts(df) -> list[str]:
+    """Names of the operators that ran outside broadcast sides."""
+    names = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.startswith("Broadcast") and "Join" not in name:
+            return None
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        names.append(name)
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return names

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medstar.operators.wide_table import WideTable, table_exists
+from tests.conftest import above_broadcasts
 
 
 def _t(spark):
@@ -42,27 +43,6 @@ def test_single_cell_puts(spark):
     assert got == {"r1": ("C1", "a"), "r2": (None, "t")}
 
 
-def _above_broadcasts(df) -> list[str]:
-    """Names of the operators that ran outside broadcast sides."""
-    names = []
-
-    def walk(node):
-        name = node.getClass().getSimpleName()
-        if name == "AdaptiveSparkPlanExec":
-            return walk(node.executedPlan())
-        if name.startswith("Broadcast") and "Join" not in name:
-            return None
-        if name.endswith("QueryStageExec"):
-            return walk(node.plan())
-        names.append(name)
-        children = node.children()
-        for i in range(children.size()):
-            walk(children.apply(i))
-
-    walk(df._jdf.queryExecution().executedPlan())
-    return names
-
-
 def test_rows_of_one_key_pass_without_an_exchange(spark):
     """Whatever the number of repeated keys, and without automatic broadcasts."""
     t = _t(spark)
@@ -77,7 +57,7 @@ def test_rows_of_one_key_pass_without_an_exchange(spark):
         # 2^28 slots: a slot shared by chance is out of question here
         assert single.count() == 1000 and several.count() == 2000
         assert {r["row_key"] for r in single.collect()} == {f"k{i}" for i in range(1, 2000, 2)}
-        assert "ShuffleExchangeExec" not in _above_broadcasts(single)
+        assert "ShuffleExchangeExec" not in above_broadcasts(single)
         got = {r["row_key"]: r["specific_title"] for r in t.scan(["specific:title"]).collect()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -105,7 +85,7 @@ def test_range_scan_pushdown_and_byte_order(spark):
     assert "GreaterThanOrEqual(row_key,RN32_001)" in plan and "LessThan(row_key,RN33_001)" in plan
     final = plan.split("Initial Plan")[0]        # as it ran: no key has two rows
     assert final.count("specific:struct<title:string>") == 1       # cells are read once
-    assert not [x for x in _above_broadcasts(df) if "Shuffle" in x or "Aggregate" in x]
+    assert not [x for x in above_broadcasts(df) if "Shuffle" in x or "Aggregate" in x]
     assert "content" not in plan.split("ReadSchema")[1].split("\n")[0]
 
 
