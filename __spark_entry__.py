@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medstar.functions.hl7 import INPATIENT_RANGE
-from medstar.functions.text import compact_time
+from medstar.functions.text import compact_time, utf8_decode, utf8_encode
 from medstar.operators import extract as X
 from medstar.operators.cube import (CubeDef, CubeStore, month_of, ms_of, time_bounds,
                                     time_rejects)
@@ -241,6 +241,21 @@ def q_fact_store(spark, sf_dir):
         F.broadcast(shown), "tableName")
 
 
+def q_fact_preview(spark, sf_dir):
+    """The first facts by row key as text lines."""
+    fact = jobs.fact_job(_ingested(spark, sf_dir)).orderBy("row_key")
+    lines = warehouse.preview(fact, 20).split("\n")
+    return spark.createDataFrame(list(enumerate(lines)), "line_no long, line string")
+
+
+def q_text_bytes(spark, sf_dir):
+    """Texts as UTF-8 bytes and back."""
+    d = read_table(spark, sf_dir, "documents").withColumn("bytes", utf8_encode("text"))
+    return d.select("doc_id", F.octet_length("bytes").cast("long").alias("n_bytes"),
+                    F.md5("bytes").alias("digest"),
+                    utf8_decode("bytes").eqNullSafe(F.col("text")).alias("same"))
+
+
 def q_row_count(spark, sf_dir):
     return read_table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -380,6 +395,33 @@ def q_cube_malformed_months(spark, sf_dir):
                    F.col("inTimeId").alias("last_month"), "reason", "n_visits"))
 
 
+def q_cube_wipe(spark, sf_dir):
+    """Q11: two cached cube views; the cubes change, and only the one that is
+    wiped by name shows its new rows."""
+    fact, bounds, store = _visits(spark, sf_dir)
+    store.define(CubeDef("other", CUBE_DIMS))
+    some = fact.filter(F.col("genderId") == "1")
+    prefix = _name("wipe") + "_"
+    for name in ("visits", "other"):
+        store.build(name, some, *bounds)
+    store.register_views(prefix)
+    for name in ("visits", "other"):
+        spark.catalog.cacheTable(f"{prefix}{name}")
+        spark.table(f"{prefix}{name}").count()
+    store.build("visits", fact, *bounds, build_type="REFRESH")
+    catalog.wipe_cache(spark, "CUBE", "visits", store=store, prefix=prefix)
+    out = None
+    for name in ("visits", "other"):
+        part = spark.table(f"{prefix}{name}").select(
+            F.lit(name).alias("cube"), "gid", *CUBE_DIMS, "n_visits")
+        out = part if out is None else out.unionByName(part)
+    rows = scratch_path(spark, "cube-wipe")
+    out.write.parquet(rows)
+    catalog.wipe_cache(spark, "CUBE", "other", action="drop", prefix=prefix)
+    catalog.wipe_cache(spark, "CUBE", "visits", action="drop", prefix=prefix)
+    return spark.read.parquet(rows)
+
+
 def q_cube_describe(spark, sf_dir):
     """Segments of a cube and the model it is built from."""
     fact, _, store = _visits(spark, sf_dir)
@@ -514,6 +556,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cube_purge": q_cube_purge,
     "cube_describe": q_cube_describe,
     "cube_patients": q_cube_patients,
+    "cube_wipe": q_cube_wipe,
+    "fact_preview": q_fact_preview,
+    "text_bytes": q_text_bytes,
     "cube_malformed_months": q_cube_malformed_months,
     "upsert_compacted": q_upsert_compacted,
     "open_cells": q_open_cells,
@@ -757,6 +802,26 @@ ORACLE: dict[str, str] = {
                max(inTimeId) AS last_month
         FROM fact WHERE inClassId IN ('KS01', 'KS02', 'KS03')
         GROUP BY genderId, ageId""",
+    "text_bytes": """
+        SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes, md5(text) AS digest,
+               true AS same FROM documents""",
+    "fact_preview": _DOC_VALUES + f""", f AS (
+          SELECT row_key, {_FACT_SELECT} FROM d WHERE {_RANGE} AND first_supp IS NOT NULL)
+        SELECT 0 AS line_no, 'row_key | idCard | genderId | ageId | addr | inTimeId | inClassId'
+               || ' | mainDocId | outSickId' AS line
+        UNION ALL
+        SELECT * FROM (
+          SELECT row_number() OVER (ORDER BY row_key) AS line_no,
+                 row_key || ' | ' || idCard || ' | ' || genderId || ' | ' || ageId || ' | ' || addr
+                 || ' | ' || inTimeId || ' | ' || inClassId || ' | ' || mainDocId || ' | ' || outSickId
+          FROM f) WHERE line_no <= 20""",
+    "cube_wipe": _FACT + """
+        SELECT 'visits' AS cube, CAST(grouping(genderId, ageId, inClassId) AS BIGINT) AS gid, genderId, ageId,
+               inClassId, count(*) AS n_visits
+        FROM fact GROUP BY CUBE (genderId, ageId, inClassId)
+        UNION ALL
+        SELECT 'other', grouping(genderId, ageId, inClassId), genderId, ageId, inClassId, count(*)
+        FROM fact WHERE genderId = '1' GROUP BY CUBE (genderId, ageId, inClassId)""",
     "cube_patients": _FACT + """
         SELECT CASE grouping(genderId, ageId, inClassId) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 6 THEN 2
                ELSE 3 END AS grouping, genderId, ageId, inClassId,
