@@ -28,7 +28,7 @@ from medstar.operators.cube import (CubeDef, CubeStore, month_of, ms_of, time_bo
                                     time_rejects)
 from medstar.operators.delimited import PLAYER_CELLS, PLAYER_FAMILIES, parse_delimited
 from medstar.operators.item_stats import item_rejects, item_statistics
-from medstar.operators.star import star_join
+from medstar.operators.star import heavy_keys, star_join
 from medstar.operators.wide_table import DOCUMENT_FAMILIES, WideTable
 from medstar.plans import catalog, jobs, warehouse
 from medstar.plans.dimensions import derived_dimensions, dimension_frames, load_dimensions
@@ -280,6 +280,14 @@ def q_star_join(spark, sf_dir):
     return star_join(fact, derived_dimensions(spark, sf_dir))
 
 
+def q_star_join_hot(spark, sf_dir):
+    """A doctor has a third of all facts: dealt over parts, same rows."""
+    fact = _fact_table(spark, sf_dir).withColumn("mainDocId", F.when(
+        F.col("idCard").cast("long") % 3 == 0, "DR21").otherwise(F.col("mainDocId")))
+    dims = derived_dimensions(spark, sf_dir)
+    return star_join(fact, dims, heavy=heavy_keys(fact, dims))
+
+
 # ---- fixed values: cube of the contract queries ---------------------------
 CUBE_DIMS = ["genderId", "ageId", "inClassId"]
 # ---------------------------------------------------------------------------
@@ -549,6 +557,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_count": q_row_count,
     "row_sample": q_row_sample,
     "star_join": q_star_join,
+    "star_join_hot": q_star_join_hot,
     "cube_build": q_cube_build,
     "cube_refresh": q_cube_refresh,
     "cube_merge": q_cube_merge,
@@ -879,6 +888,11 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_inpatient_fact(spark, SMOKE_DIR)
 
 
+ORACLE["star_join_hot"] = ORACLE["star_join"].replace(_FACT, _DOC_VALUES + f""", fact AS (
+  SELECT * REPLACE (CASE WHEN CAST(idCard AS BIGINT) % 3 = 0 THEN 'DR21' ELSE mainDocId END
+                    AS mainDocId)
+  FROM (SELECT path, {_FACT_SELECT} FROM d WHERE first_supp IS NOT NULL))
+""")
 ORACLE["fact_extract_jvm"] = ORACLE["fact_extract"]
 ORACLE["fact_rejects_jvm"] = ORACLE["fact_rejects"]
 

@@ -33,23 +33,6 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def folders_below(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
-    """Every folder from ``path`` down with whether it has subfolders.  Entries
-    are looked at one by one: no list of files is held."""
-    fs, p = _fs(spark, path)
-    out, todo = [], [p]
-    while todo:
-        at = todo.pop()
-        below, entries = [], fs.listStatusIterator(at)
-        while entries.hasNext():
-            entry = entries.next()
-            if entry.isDirectory() and not entry.getPath().getName().startswith(("_", ".")):
-                below.append(entry.getPath())
-        out.append((at.toString(), bool(below)))
-        todo += below
-    return out
-
-
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))

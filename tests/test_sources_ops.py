@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medstar.operators.delimited import parse_delimited
-from medstar.operators.star import Dimension, spread_key, star_join
+from medstar.operators.star import Dimension, dealt_key, heavy_keys, spread_key, star_join
 from medstar.sources.documents import first_document, literal_lines, read_documents
 from tests.docs import inpatient
 
@@ -92,6 +92,31 @@ def test_star_join_same_result_with_and_without_broadcast(spark, request):
     assert a == b and len(a) > 0
 
 
+def test_a_hot_doctor_is_dealt_over_parts(spark, no_broadcast):
+    fact = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, "").otherwise(
+            F.concat(F.lit("d"), F.col("id") % 997)).alias("doc"), F.col("id"))
+    dim = spark.createDataFrame([("hot", "Dr Hot"), ("", "nobody"), *[(f"d{i}", f"Dr {i}") for i in range(500)]],
+                                "doc_id string, name string")
+    dims = [Dimension(dim, "doc_id", "doc")]
+    heavy = heavy_keys(fact, dims)
+    assert set(heavy) == {"doc"} and set(heavy["doc"]) == {"hot"} and 60 <= heavy["doc"]["hot"] <= 70
+    for how in ("left", "inner"):
+        plain = star_join(fact, dims, how=how)
+        dealt = star_join(fact, dims, how=how, heavy=heavy)
+        assert dealt.columns == plain.columns
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+
+    def tasks(key):
+        rows = fact.select(key.alias("k")).repartition(16, "k").groupBy(F.spark_partition_id()).count()
+        return sorted(r["count"] for r in rows.collect())
+
+    sizes = tasks(dealt_key(spread_key("doc", fact.columns), heavy["doc"], fact.columns))
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+    assert tasks(F.col("doc"))[-1] > 5 * tasks(F.col("doc"))[8]
+    assert heavy_keys(fact.limit(0), dims) == {} and heavy_keys(fact, []) == {}
+
+
 def test_jdbc_options_without_a_database():
     import pytest
     from medstar.plans.dimensions import jdbc_options
