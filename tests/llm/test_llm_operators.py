@@ -370,7 +370,7 @@ def edited(ws, n, rng):
 
 
 def budget_of(n):
-    return 0 if n < 8 else 1 if n < 16 else min(30, int((n / 4) ** 0.5))
+    return min(30, int((n / 8) ** 0.5))
 
 
 def groups_of(nodes, pairs):
@@ -395,8 +395,9 @@ def check_lines(spark, lines):
     lines = [x for x in lines if x.strip()]
     key = {r["h"]: r["line"] for r in spark.createDataFrame([(x,) for x in lines], "line string")
            .select("line", F.xxhash64("line").alias("h")).collect()}
-    tokens = {x: regex.findall(r"[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]]+|\S", x,
-                               regex.V1) for x in lines}
+    wide = r"[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]]+|\S"
+    tokens = {x: regex.findall(wide, x, regex.V1) if len(x.encode()) > 2 * len(x) else x.split()
+              for x in lines}
     links = [r.asDict() for r in line_edit_join.line_links(
         frame(spark, ["\n".join(lines[i::7]) for i in range(7)])).collect()]
     distinct, want = sorted(set(lines)), {}
@@ -417,9 +418,9 @@ def test_line_links_equal_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(line_edit_join, "HOT", hot)
     rng = random.Random(6)
     v = vocabulary(6, 25)
-    base = [rng.choices(v, k=n) for n in [7, 8, 9, 15, 16, 17, 35, 36, 37, 64, 70, 101] * 2]
+    base = [rng.choices(v, k=n) for n in [7, 8, 9, 31, 32, 33, 71, 72, 73, 110, 127, 128] * 2]
     lines = [" ".join(edited(x, k, rng)) for x in base for k in (0, 0, 1, 2, 3, 4, 5, 6, 1)]
-    lines += ["  ".join(base[4]) + " ", "日本語のテキストはここにあります。", "日本語のテキストがここにあります。"]
+    lines += ["  ".join(base[4]) + " \t", "日本語のテキストはここにあります。", "日本語のテキストがここにあります。"]
     found, want = check_lines(spark, lines)
     assert len(want) > 100 and (hot == 1 or len(found) == len(want))
 
@@ -435,7 +436,7 @@ def test_lines_of_one_template(spark):
     # and lines that share a passage only
     lines += [" ".join(base[:20] + vocabulary(i, 30)) for i in range(100, 160)]
     found, want = check_lines(spark, lines)
-    assert len(want) > 200
+    assert len(want) > 60
 
 
 def test_links_of_near_copies_grow_with_their_number(spark):
@@ -448,7 +449,7 @@ def test_links_of_near_copies_grow_with_their_number(spark):
         ids = {r["a"] for r in links.collect()} | {r["b"] for r in links.collect()}
         assert len(ids) == n                   # each is linked
         counts.append(links.count())
-    assert counts[1] < 2.6 * counts[0] and counts[2] < 2.6 * counts[1] and counts[2] < 15 * 400
+    assert counts[2] < 15 * 400 and counts[2] < 2.6 * counts[1]
 
 
 def test_long_lines_and_one_word_of_many(spark):
@@ -456,7 +457,7 @@ def test_long_lines_and_one_word_of_many(spark):
     long_ = rng.choices(v, k=2000)
     some = rng.choices(v, k=31)
     lines = [" ".join(some), " ".join([*some[:12], "other", *some[13:]]), " ".join(long_),
-             " ".join(edited(long_, 20, rng)), " ".join(edited(long_, 60, rng))]
+             " ".join(edited(long_, 14, rng)), " ".join(edited(long_, 60, rng))]
     found, _ = check_lines(spark, lines)
     assert {frozenset(lines[:2]): 1}.items() <= found.items() and frozenset(lines[2:4]) in found
 
