@@ -1,8 +1,11 @@
 """Node-set rules and the failure table of the header and fact fields
 (pure Python: the evaluator that runs inside the Arrow UDF)."""
 
+import re
+
 import pytest
 
+from medstar.functions import hl7, xml_paths
 from medstar.functions.hl7 import FACT_FIELDS, HEADER_FIELDS
 from medstar.functions.xml_paths import (Reject, evaluate_fields, jdiv, jdrop, jparse_int,
                                          jprefix, parse_path)
@@ -129,3 +132,90 @@ def test_parse_path():
 def test_declared_encoding_is_ignored_for_decoded_text():
     doc = '<?xml version="1.0" encoding="GB2312"?>' + inpatient(titles=("<title>住院病案</title>",))
     assert header(doc)["title"] == "住院病案"
+
+
+def _both_ways(content, plan):
+    """Result of a document as the operators read it, and by the XML parser."""
+    out = []
+    for read in (lambda: xml_paths.evaluate_fields(content, plan),
+                 lambda: plan.evaluate(xml_paths.parse_document(content))):
+        try:
+            out.append(read())
+        except xml_paths.Reject as e:
+            out.append(str(e))
+    return out
+
+
+def _sample_document():
+    return ('<?xml version="1.0" encoding="UTF-8"?>\n<ClinicalDocument xmlns="urn:hl7-org:v3" '
+            'xmlns:x="urn:x"><!-- a - b -->\n<id root="1" extension="RN1"/><code code="C&amp;1"/>'
+            '<title>A &amp; <b>bold</b> &lt;title&gt;</title><effectiveTime value="19950101"/>'
+            '<realmCode code="CN"/><languageCode code="zh"/>\n<x:recordTarget><patientRole><addr>'
+            '<city>北京</city><county>c</county></addr><patient><id extension="ID7"/>'
+            '<administrativeGenderCode code="1"/><age value="42" unit="a"/></patient></patientRole>'
+            '</x:recordTarget><authenticator><assignedEntity><id extension="DR21"/></assignedEntity>'
+            '</authenticator><componentOf><encompassingEncounter><effectiveTime><low value="199501"/>'
+            '</effectiveTime><location><healthCareFacility><serviceProviderOrganization>'
+            '<asOrganizationPartOf><wholeOrganization><asOrganizationPartOf><wholeOrganization>'
+            '<id x:extension="n" extension="KS1"/></wholeOrganization></asOrganizationPartOf>'
+            '</wholeOrganization></asOrganizationPartOf></serviceProviderOrganization>'
+            '</healthCareFacility></location></encompassingEncounter></componentOf>\n<component>'
+            '<structuredBody><component><section><entry><observation><code><qualifier>'
+            '<name displayName="JB1"/></qualifier></code></observation></entry></section></component>'
+            '</structuredBody></component></ClinicalDocument>\n')
+
+
+def test_plain_scan_equals_the_parser_on_damaged_documents():
+    import random
+    rng, doc = random.Random(3), _sample_document()
+    odd = ['"', "'", "<", ">", "&", "&lt;", "&amp", "&#65;", "\r\n", "\r", "\t", "\n", "\x01", "﻿",
+           "￾", "\x85", "\U0001f600", "]]>", "<!-- -->", "<!---->", "<!-- -- -->", "<![CDATA[x]]>",
+           "<?pi x?>", ' extension="ID8"', ' x:a="1" x:b="2"', ' y:a="1"', ' xmlns:y="urn:x"', ' xmlns=""',
+           ' xml:lang="en"', "<component>", "</component>", "<section><entry/></section>",
+           "<authenticator><authenticator/></authenticator>", "<x:id/>", "<y:id/>", "<id/>", " ", ":", "="]
+    plans = [xml_paths.FieldPlan(hl7.FACT_FIELDS), xml_paths.FieldPlan(hl7.HEADER_FIELDS)]
+    pieces = re.findall(r"<[^>]*>|[^<]+", doc)
+    plain = 0
+    for i in range(12_000):
+        text = doc
+        if i % 3 == 0:                                   # markup moved, doubled or left out
+            parts = list(pieces)
+            for _ in range(rng.randint(1, 2)):
+                a, b = rng.randrange(len(parts)), rng.randrange(len(parts))
+                parts[a:a + rng.randint(0, 3)] = parts[b:b + rng.randint(0, 6)]
+            text = "".join(parts)
+        else:
+            for _ in range(rng.randint(0, 2)):
+                at = rng.randrange(len(text) + 1)
+                text = text[:at] + rng.choice(odd) + text[at + rng.choice((0, 0, 1, 9)):]
+        for plan in plans:
+            got, expected = _both_ways(text, plan)
+            assert got == expected, text
+            plain += plan.scan.node_sets(text) is not None
+    assert plain > 3_000
+
+
+def test_plain_scan_reads_nested_sections_and_texts():
+    section = ("<section><entry><observation><code><qualifier><name displayName='{}'/></qualifier>"
+               "</code></observation></entry>{}</section>").replace("'", '"')
+    inner = f"<component>{section.format('JB2', '')}</component>"
+    plan = xml_paths.FieldPlan(hl7.FACT_FIELDS)
+    for old, new in [("<section><entry>", f"<section>{inner}<entry>"),
+                     ("<county>c</county>", "<county>c<i>d<i>e</i></i>f</county>"),
+                     ("<county>c</county>", "<county>he said \"c\"</county>"),
+                     ("<ClinicalDocument", ' "x"<ClinicalDocument'),
+                     ("<authenticator>", "<authenticator><authenticator><assignedEntity>"
+                                         "<id extension=\"DR22\"/></assignedEntity></authenticator>")]:
+        text = _sample_document().replace(old, new, 1)
+        got, expected = _both_ways(text, plan)
+        assert got == expected, text
+
+
+def test_plain_scan_reads_the_documents_of_the_queries_and_stays_small():
+    scan = xml_paths.FieldPlan(hl7.FACT_FIELDS).scan
+    assert scan.node_sets(_sample_document()) is not None     # no tree is built for it
+    scan.ROOM = 10_000
+    for i in range(200):                                      # every text is another
+        doc = _sample_document().replace("bold", f"text {i} " + "z" * (i % 50))
+        assert scan.node_sets(doc) is not None
+        assert scan.kept <= scan.ROOM + 10_000
