@@ -40,6 +40,19 @@ def read_documents(spark: SparkSession, directory: str,
                      strip_bom("value").alias("content"))
 
 
+def write_documents(docs: DataFrame, folder: str, name: str = "name") -> None:
+    """``(value, name)`` rows as text files, each name in a folder
+    ``name=...`` of its own; rows of one name share a file.
+
+    A file costs much more than its bytes, so the names are dealt over all tasks,
+    and each task moves its own files into place (the folder is new, a failed
+    write leaves it to nobody).
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (docs.repartition(parts, name).write.partitionBy(name)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder))
+
+
 def literal_documents(spark: SparkSession, rows: Iterable[tuple[str, str]]) -> DataFrame:
     """In-memory rows as documents (S7); for small fixed inputs only."""
     return spark.createDataFrame(list(rows), DOCUMENT_SCHEMA)

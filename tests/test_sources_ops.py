@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from medstar.operators.delimited import parse_delimited
 from medstar.operators.star import Dimension, dealt_key, heavy_keys, spread_key, star_join
+from medstar.sources import documents
 from medstar.sources.documents import first_document, literal_lines, read_documents
 from tests.docs import inpatient
 
@@ -127,3 +128,14 @@ def test_jdbc_options_without_a_database():
     assert "partitionColumn" not in jdbc_options("jdbc:x://h/db", "t")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x://h/db", "t", partition_column="k")
+
+
+def test_documents_are_written_by_all_tasks_one_file_a_name(spark, tmp_path):
+    rows = [(f"text {i}", f"S{i % 40}") for i in range(60)]
+    folder = str(tmp_path / "documents")
+    documents.write_documents(spark.createDataFrame(rows, "value string, name string").coalesce(1), folder)
+    files = [f.name for f in (tmp_path / "documents").glob("name=*/part-*")]
+    assert len(files) == 40
+    assert len({f.split("-")[1] for f in files}) > 1           # part numbers are tasks
+    assert sorted(r["content"] for r in documents.read_documents(spark, folder).collect()) == sorted(
+        "".join(f"text {j}\n" for j in range(i, 60, 40)) for i in range(40))
