@@ -12,6 +12,11 @@ student's total beside them (a window over one student's items), then sums per
 total and item.  Ranks come from that small table (one row per distinct total
 and item), never from a window over all students of a paper.
 
+A student's answers are dealt to one task before they are summed: nothing is
+gained by summing them where they are read, as a student answers an item once,
+and the number of tasks follows the size of the files read, so that what one
+task holds does not grow with them.
+
 Sums of squares are decimals, so no number of answers overflows.  A statistic
 that ``decimal(4,3)`` can't hold is null in the statistics and a row of
 ``item_rejects``.
@@ -22,6 +27,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import fs
+
+#: Bytes of input files behind one task's answers.
+TASK_BYTES = 8 << 20
 GROUP_SHARE = 0.27
 STAT_TYPE = "decimal(4,3)"
 PAPER = ["paper_code", "create_time"]
@@ -38,7 +47,10 @@ def _statistics(scores: DataFrame, full_mark: float) -> DataFrame:
     statistics as rounded doubles."""
     sc = F.col("score").cast("bigint")
     wide = sc.cast("decimal(19,0)")
-    per_item = scores.groupBy(*PAPER, "student", "item_id").agg(
+    spark = scores.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                -(-fs.total_size(spark, scores.inputFiles()) // TASK_BYTES))
+    per_item = scores.repartition(parts, "student").groupBy(*PAPER, "student", "item_id").agg(
         F.count(sc).alias("n"), F.sum(sc).alias("s1"),
         F.sum((wide * wide).cast("decimal(28,0)")).alias("s2"),
         F.max(sc).alias("mx"), F.min(sc).alias("mn"))

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL, above_broadcasts
@@ -86,3 +87,21 @@ def test_rejected_statistics_of_huge_counts(spark):
     assert row["avg_score"] is None and float(row["nandu"]) == 0.4
     assert {r["field"] for r in item_rejects(many, 2.5e9).collect()} == {
         "avg_score", "fc_score", "bzc_score"}
+
+
+def test_item_statistics_deal_students_over_tasks_that_follow_the_input(spark, monkeypatch):
+    """One task's answers are bounded by the size of the files read."""
+    import os
+
+    from medstar.operators import item_stats
+    from medstar.sources import fs
+
+    files = [f"{SF_SMALL}/{t}.parquet" for t in ("lineitem", "orders")]
+    size = sum(os.path.getsize(f) for f in files)
+    assert fs.total_size(spark, E._scores(spark, SF_SMALL).inputFiles()) == size
+    monkeypatch.setattr(item_stats, "TASK_BYTES", size // 20)
+    plan = _formatted(E.queries()["item_stats"](spark, SF_SMALL))
+    found = [int(n) for n in re.findall(r"hashpartitioning\(student[^)]*?, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert found and found[0] >= 20
+    # answers aren't summed before they are dealt
+    assert plan.count("student") > 0 and "partial_count" in plan
