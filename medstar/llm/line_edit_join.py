@@ -28,16 +28,14 @@ allowed are certain.
 
 Scale.  Equal lines are one row from a map-side aggregation on.  Only hashes are
 shuffled for the join of segments with probes.  Lines that share a segment of
-more than ``HOT`` lines are not paired: each is compared with the segment's
-representative (the line whose segments and whose end most lines have).  Lines linked to it
-are of one group, whatever their distance to each other, and need no link of
-their own.  For
-the others, what is left of a line without that segment differs by as many edits
-at most, so it is split and probed again, which sets lines apart that share a
-passage only; ``LEVELS`` times, then every pair that is still together and has no
-representative in common is verified.  No candidate is dropped, so groups are exactly the
-connected components of all links, while the pairs of a group of near copies
-grow with its lines, not with their square.
+more than ``HOT`` lines are not paired at once: what is left of a line without
+that segment differs by as many edits at most, so it is split and probed again,
+which sets lines apart that share a passage only; ``LEVELS`` times, then every
+pair that is still together is verified.  No candidate is dropped, so the links
+are exactly all pairs within the budget, and the groups their connected
+components.  The links of a group of near copies are as many as its pairs within
+the budget, with the square of its lines: that is the result's own size.  Pairs
+are numbers only, distinct before they are verified.
 
 Result: one row for each line of each document with a token: its class (equal
 lines), the number of its copies, its group, the number of its verified links,
@@ -222,18 +220,16 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _near(index: DataFrame, probes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of index and probe rows of one segment that may be links and
-    have no representative in common."""
-    i = index.withColumnsRenamed({"n": "na", "settled": "sa"})
-    p = probes.withColumnsRenamed({"n": "nb", "settled": "sb"})
+    """Pairs (a, b) of index and probe rows of one segment that may be links."""
+    i, p = index.withColumnRenamed("n", "na"), probes.withColumnRenamed("n", "nb")
     # of two equally long lines each probes the other
     return (i.join(p, "key").filter("a != b and nb >= na and nb - na <= t and (nb > na or a < b)")
-            .filter(~F.arrays_overlap("sa", "sb")).select("a", "b"))
+            .select("a", "b"))
 
 
 def line_links(docs: DataFrame) -> DataFrame:
-    """Verified links (a, b, edits) between classes of lines, which join all
-    lines that any link joins; see the module's docstring."""
+    """All verified links (a, b, edits) between classes of lines; see the
+    module's docstring."""
     each = _each_line(docs).select(F.xxhash64("line").alias("id"), "line")
     lines = each.groupBy("id").agg(F.first("line").alias("line"))
     measured = _measured(lines)
@@ -252,73 +248,36 @@ def line_links(docs: DataFrame) -> DataFrame:
         F.first("line").alias("line"))), "line-texts")
     pairs = [hits.filter("lines = 1").select("a", "b")]
     # segments of a few lines: numbers only
-    no = F.array().cast("array<bigint>").alias("settled")       # representatives it is linked to
     some = hits.filter(f"lines > 1 and lines <= {HOT}")
-    pairs.append(_near(_index(texts).select("a", "n", "t", "e.key", no)
-                       .join(some.select("key").distinct(), "key"),
-                       some.select("key", "b", "n", no)))
+    pairs.append(_near(_index(texts).select("a", "n", "t", "e.key")
+                       .join(some.select("key").distinct(), "key"), some.select("key", "b", "n")))
     links = [cut(_verified(pairs[0].union(pairs[1]), texts), "line-links")]
-    hot = cut(hits.filter(f"lines > {HOT}").groupBy("key").agg(F.first("lines").alias("lines")), "line-hot")
+    hot = cut(hits.filter(f"lines > {HOT}").select("key").distinct(), "line-hot")
     # segments of many lines: their lines with tokens and the segment's place
     flat, length = ["n", "x", "t", "e.*"], _least(F.col("t"))
-    end = F.xxhash64(F.slice("x", length + 1, F.size("x"))).alias("end")
-    index = _index(texts).select("a", *flat, no, length.alias("length"), end).join(hot, "key")
-    probes = _probes(texts).select("b", *flat, no, length.alias("length"), end).join(hot, "key")
-    for level in range(LEVELS + 1):
+    index = _index(texts).select("a", *flat, length.alias("length")).join(hot, "key")
+    probes = _probes(texts).select("b", *flat, length.alias("length")).join(hot, "key")
+    for level in range(LEVELS):
         if hot.isEmpty():
             break
-        index, probes = cut(index, "line-index"), cut(probes, "line-probes")
-        chosen = cut(_representatives(index), "line-representatives")
-        star = probes.select("key", "b").distinct().join(chosen, "key")
-        found = cut(_verified(star.filter("rep != b").select(F.col("rep").alias("a"), "b"), texts),
-                    "line-links")
-        links.append(found)
-        both = found.select("a", "b").union(found.select("b", "a"))
-        settled = cut(star.join(both.toDF("rep", "b"), ["rep", "b"], "left_semi")
-                      .select("key", "b", "rep").union(star.filter("rep = b").select("key", "b", "rep"))
-                      .distinct(), "line-settled")
-        # segments with a line that is not settled are split again
-        open_keys = cut(star.select("key", "b").join(settled, ["key", "b"], "left_anti")
-                        .select("key").distinct(), "line-open")
-        index = _settled(index.join(open_keys, "key"), settled, "a")
-        probes = _settled(probes.join(open_keys, "key"), settled, "b")
-        few, numbers = F.lit(True), index.select("key", "t", "a", "n", "settled")
-        if level < LEVELS:
-            more = level + 1 < LEVELS                         # tokens to split yet again
-            index = cut(_again(index, "a", more), "line-rest")
-            probes = cut(_again(probes, "b", more), "line-rest")
+        last = level + 1 == LEVELS                             # tokens aren't split again
+        index = cut(_again(index, "a", not last), "line-rest")
+        probes = cut(_again(probes, "b", not last), "line-rest")
+        few, rest = index, probes
+        if not last:
             keys = cut(index.groupBy("key").agg(F.count("*").alias("lines")), "line-keys")
-            index, probes = index.join(keys, "key"), probes.join(keys, "key")
-            few, hot = F.col("lines") <= HOT, keys.filter(f"lines > {HOT}")
-            numbers = index.filter(few).select("key", "t", "a", "n", "settled")
-        else:
-            hot = hot.limit(0)
-        left = _near(numbers, probes.filter(few).select("key", "b", "n", "settled"))
-        links.append(cut(_verified(left, texts), "line-links"))
-        if level < LEVELS:
-            index, probes = index.filter(~few), probes.filter(~few)
+            cool, hot = keys.filter(f"lines <= {HOT}").select("key"), keys.filter(
+                f"lines > {HOT}").select("key")
+            few, rest = index.join(cool, "key"), probes.join(cool, "key")
+            index, probes = index.join(hot, "key"), probes.join(hot, "key")
+        links.append(cut(_verified(_near(few.select("key", "t", "a", "n"),
+                                         rest.select("key", "b", "n")), texts), "line-links"))
     out = links[0]
     for more in links[1:]:
         out = out.union(more)
     return out.distinct()
 
 
-def _representatives(index: DataFrame) -> DataFrame:
-    """(key, rep): the line whose segments most lines have, of such lines the one
-    whose end, behind the segments, most have: an original rather than a copy."""
-    ends = index.select("a", "end").distinct()
-    common = ends.join(ends.groupBy("end").count(), "end").groupBy("a").agg(F.max("count").alias("same"))
-    weight = index.groupBy("a").agg(F.sum("lines").alias("lines")).join(common, "a").select(
-        "a", F.struct("lines", "same", "a").alias("weight"))
-    return index.select("key", "a").join(weight, "a").groupBy("key").agg(F.max("weight")["a"].alias("rep"))
-
-
-def _settled(rows: DataFrame, settled: DataFrame, own: str) -> DataFrame:
-    """``rows`` with the representative of their segment, if they are linked."""
-    return rows.join(settled.withColumnRenamed("b", own), ["key", own], "left").withColumn(
-        "settled", F.concat("settled", F.array_compact(F.array("rep")))).drop("rep", "lines")
-
-
 def _again(rows: DataFrame, own: str, more: bool) -> DataFrame:
     """The lines of a segment without it, split anew: by all places a segment of
     the rest can have, or by its own ones for the index; ``more``: with the
@@ -327,12 +286,12 @@ def _again(rows: DataFrame, own: str, more: bool) -> DataFrame:
     rest = F.concat(F.slice(x, F.lit(1), p), F.slice(x, p + w + 1, F.size(x)))
     rows = rows.select(
         own, "n", "t", F.col("key").alias("base"), F.explode(F.array(rest)).alias("x"),
-        (F.col("length") - w).alias("length"), "settled", "end")
+        (F.col("length") - w).alias("length"))
     entries = _entries(F.col("x"), t, F.col("length"), F.col("base"), own == "a")
     # lines too short to split any further stay together
     whole = F.array(F.struct(F.col("base").alias("key"), F.lit(0).alias("p"), F.lit(0).alias("w")))
     rows = rows.withColumn("e", F.explode(F.coalesce(entries, whole)))
-    kept = [own, "n", "t", "settled", "end"]
+    kept = [own, "n", "t"]
     return rows.select(*kept, "x", "length", "e.*") if more else rows.select(*kept, "e.key")
 
 

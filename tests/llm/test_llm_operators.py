@@ -391,7 +391,7 @@ def groups_of(nodes, pairs):
 
 
 def check_lines(spark, lines):
-    """Links are right, and join what all links join."""
+    """The links are exactly all pairs within the budget."""
     lines = [x for x in lines if x.strip()]
     key = {r["h"]: r["line"] for r in spark.createDataFrame([(x,) for x in lines], "line string")
            .select("line", F.xxhash64("line").alias("h")).collect()}
@@ -408,7 +408,7 @@ def check_lines(spark, lines):
             if k and abs(len(a) - len(b)) <= k and (e := levenshtein(a, b)) <= k:
                 want[frozenset((x, y))] = e
     found = {frozenset((key[r["a"]], key[r["b"]])): r["edits"] for r in links}
-    assert len(found) == len(links) and found.items() <= want.items()
+    assert len(found) == len(links) and found == want
     assert groups_of(distinct, map(tuple, found)) == groups_of(distinct, map(tuple, want))
     return found, want
 
@@ -439,17 +439,11 @@ def test_lines_of_one_template(spark):
     assert len(want) > 60
 
 
-def test_links_of_near_copies_grow_with_their_number(spark):
+def test_no_link_of_near_copies_is_left_out(spark):
     rng, base = random.Random(3), vocabulary(21, 70)
-    counts = []
-    for n in (100, 200, 400):
-        lines = {" ".join(edited(base, rng.randint(1, 2), rng)) for _ in range(3 * n)}
-        lines = [" ".join(base), *sorted(lines - {" ".join(base)})[:n - 1]]
-        links = line_edit_join.line_links(frame(spark, ["\n".join(lines)]))
-        ids = {r["a"] for r in links.collect()} | {r["b"] for r in links.collect()}
-        assert len(ids) == n                   # each is linked
-        counts.append(links.count())
-    assert counts[2] < 15 * 400 and counts[2] < 2.6 * counts[1]
+    lines = {" ".join(edited(base, rng.randint(1, 2), rng)) for _ in range(150)}
+    found, want = check_lines(spark, [" ".join(base), *sorted(lines - {" ".join(base)})])
+    assert len(want) > 10 * len(lines)
 
 
 def test_long_lines_and_one_word_of_many(spark):
