@@ -219,3 +219,52 @@ def test_plain_scan_reads_the_documents_of_the_queries_and_stays_small():
         doc = _sample_document().replace("bold", f"text {i} " + "z" * (i % 50))
         assert scan.node_sets(doc) is not None
         assert scan.kept <= scan.ROOM + 10_000
+
+
+def test_documents_of_one_skeleton_are_read_by_numbers():
+    plan = xml_paths.FieldPlan(hl7.FACT_FIELDS)
+    docs = [_sample_document().replace("<county>c", f"<county>c &amp; {i}").replace('"DR21"', f'"DR2{i}&lt;"')
+            for i in range(5)]
+    for doc in docs[:2]:
+        xml_paths.evaluate_fields(doc, plan)
+    kept = plan.scan.kept
+    for i, doc in enumerate(docs):
+        got, expected = _both_ways(doc, plan)
+        assert got == expected
+        out = xml_paths.evaluate_fields(doc, plan)
+        assert (out["_county"], out["mainDocId"]) == (f"c & {i}", f"DR2{i}<")
+    assert plan.scan.kept == kept                 # own texts leave nothing behind
+
+
+def test_numbered_reading_equals_the_parser_on_damaged_values_and_texts():
+    import random
+    rng, doc = random.Random(11), _sample_document()
+    odd = ["'", ">", "&", "&lt;", "&amp", "&#65;", "\r\n", "\r", "\t", "\n", "\x01", "﻿", "\x85", "\U0001f600",
+           "]]>", "-->", "--", "<!-- a -->", "<!-- > -->", "<![CDATA[x]]>", "<?pi x?>", "/", "7", "\n> 7", " ", "é",
+           '"', '"x"', "<i/>", "x > 1", "\x00", ">\x00<"]
+    pieces = re.findall(r"<[^>]*>|[^<]+", doc)
+    numbered = 0
+    for i in range(1_500):
+        parts = list(pieces)
+        if i % 3:                                   # another skeleton
+            a, b = rng.randrange(len(parts)), rng.randrange(len(parts))
+            parts[a:a + rng.randint(0, 2)] = parts[b:b + rng.randint(0, 4)]
+        for _ in range(i % 4):                      # texts and comments between tags
+            parts.insert(rng.randrange(len(parts)), rng.choice(odd + ["text", "\n text", "<!-- c -->", "<!-- a > b"]))
+        text = "".join(parts)
+        plans = [xml_paths.FieldPlan(hl7.FACT_FIELDS), xml_paths.FieldPlan(hl7.HEADER_FIELDS)]
+        for plan in plans:
+            for _ in range(2):                      # now the skeleton is known
+                got, expected = _both_ways(text, plan)
+                assert got == expected, text
+        for _ in range(4):                          # other values and texts in it
+            spots = [m.end() for m in re.finditer(r'="|>', text)]
+            other = text
+            for at in sorted(rng.sample(spots, min(len(spots), rng.randint(1, 2))), reverse=True):
+                other = other[:at] + rng.choice(odd) + other[at + rng.choice((0, 0, 1)):]
+            for plan in plans:
+                got, expected = _both_ways(other, plan)
+                assert got == expected, (text, other)
+                cut = plan.scan.cut(other)
+                numbered += cut is not None and plan.scan.fits(cut)
+    assert numbered > 500
