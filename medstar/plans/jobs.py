@@ -6,6 +6,7 @@ Each is one Catalyst plan per write; no RDD step.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +50,10 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version:
     cells = wt.cells(parsed.withColumn("content", F.when(is_good, F.col("content"))), "row_key",
                      HEADER_CELLS, source="path", keep=("path", "err"))
     staged = f"{wt.location()}/_ingest/{writer}.{int(version)}-{uuid.uuid4().hex}"
-    (cells.select("*", F.lit(int(version)).cast("bigint").alias("_version"),
-                  F.when(is_good, "good").otherwise("bad").alias("outcome"))
-     .write.partitionBy("outcome").parquet(staged))
+    with _unsorted_writes(spark, 2):
+        (cells.select("*", F.lit(int(version)).cast("bigint").alias("_version"),
+                      F.when(is_good, "good").otherwise("bad").alias("outcome"))
+         .write.partitionBy("outcome").parquet(staged))
     for outcome in ("good", "bad"):                       # a folder without rows isn't there
         fs.make_folder(spark, f"{staged}/outcome={outcome}")
     bad = spark.read.schema("path string, err string").parquet(f"{staged}/outcome=bad")
@@ -62,6 +64,22 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, table: str, version:
     return wt
 
 
+@contextmanager
+def _unsorted_writes(spark: SparkSession, folders: int):
+    """A task that writes to so many folders keeps their files open, instead of
+    sorting its rows (whole documents) by folder first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(folders))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _write_rejects(spark: SparkSession, bad: DataFrame, table: str, version: int,
                    writer: str, location: str | None = None) -> None:
     """Rejects of one batch, partitioned like the batch: a rerun replaces

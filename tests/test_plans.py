@@ -105,3 +105,41 @@ def test_item_statistics_deal_students_over_tasks_that_follow_the_input(spark, m
     assert found and found[0] >= 20
     # answers aren't summed before they are dealt
     assert plan.count("student") > 0 and "partial_count" in plan
+
+
+def test_documents_are_dealt_by_order_however_customers_are_joined(spark):
+    from medstar.sources.seed import order_documents
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "7"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        docs = order_documents(spark, SF_SMALL)
+        assert docs.rdd.getNumPartitions() == 7             # not fewer, with more documents each
+        largest = max(docs.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+        assert largest < docs.count() / 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_ingest_does_not_sort_documents_by_outcome(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def recorded(self, path, *args, **kwargs):
+        seen.append(spark.conf.get(key))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    before = spark.conf.get(key)
+    E._ingested(spark, SF_SMALL)
+    assert seen == ["2"] and spark.conf.get(key) == before
+
+
+def test_documents_not_read_in_the_jvm_are_not_looked_at_there(spark):
+    from medstar.operators import extract
+    docs = spark.createDataFrame([("a", "<!-- no --><a/>")], "path string, content string")
+    parsed = extract.parse_fact(docs, keep=("path",), engine="jvm")
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"explode\(array\(CASE WHEN isnotnull\(_s#\d+\) THEN struct\(regular", plan)
