@@ -268,3 +268,42 @@ def test_numbered_reading_equals_the_parser_on_damaged_values_and_texts():
                 cut = plan.scan.cut(other)
                 numbered += cut is not None and plan.scan.fits(cut)
     assert numbered > 500
+
+
+def test_frequent_skeletons_are_matched_at_once_and_equal_the_parser():
+    import random
+    rng, doc = random.Random(17), _sample_document()
+    odd = ["'", ">", "&", "&lt;", "&amp", "&#65;", "\r\n", "\r", "\t", "\n", "\x01", "\x7f", "\x85", "﻿", "￾",
+           "\U0001f600", "]]>", "]", "-->", "<!-- a -->", "<![CDATA[x]]>", "<?pi x?>", "/", "é", "北", '"', "<i/>",
+           "x > 1", "\x00", "}", ""]
+    shapes = [doc, doc.replace("<county>c</county>", "<county>c<i>d</i> e</county>"),
+              doc.replace("</entry>", "</entry>" + doc[doc.index("<entry>"):doc.index("</section>")], 1),
+              doc.replace('<?xml version="1.0" encoding="UTF-8"?>\n', "").replace("<city>北京</city>", "")]
+    plans = [xml_paths.FieldPlan(hl7.FACT_FIELDS), xml_paths.FieldPlan(hl7.HEADER_FIELDS)]
+    matched = 0
+    for shape in shapes:
+        for plan in plans:
+            for i in range(60):
+                text = shape.replace('"ID7"', f'"ID{i}"')
+                assert _both_ways(text, plan)[0] == _both_ways(text, plan)[1]
+            assert plan.last is not None and plan.last.pattern.fullmatch(shape)
+        for _ in range(1_000):                      # other values, texts, now and then other markup
+            spots = [m.end() for m in re.finditer(r'="|>', shape)]
+            other = rng.choice(["", "", "", "﻿"]) + shape
+            for at in sorted(rng.sample(spots, rng.randint(0, 2)), reverse=True):
+                end = at + rng.choice((0, 0, 1, len(re.match('[^"<]*', shape[at:])[0])))
+                other = other[:at] + rng.choice(odd) + other[end:]
+            for plan in plans:
+                got, expected = _both_ways(other, plan)
+                assert got == expected, other
+                matched += plan.last.pattern.fullmatch(other) is not None
+    assert matched > 1_500
+
+
+def test_a_pattern_refuses_namespaces_that_the_parser_refuses():
+    plan, doc = xml_paths.FieldPlan(hl7.FACT_FIELDS), _sample_document()
+    for _ in range(60):
+        xml_paths.evaluate_fields(doc, plan)
+    for uri in ("", "a}b", "http://www.w3.org/2000/xmlns/", "urn:y"):
+        got, expected = _both_ways(doc.replace('"urn:x"', f'"{uri}"'), plan)
+        assert got == expected, uri
