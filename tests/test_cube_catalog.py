@@ -263,3 +263,22 @@ def test_wipe_cache_touches_one_cube_only(spark, fact):
     assert not spark.catalog.isCached("w_k1") and spark.catalog.isCached("w_k2")
     catalog.wipe_cache(spark, "CUBE", "k2", action="drop", prefix="w_")
     assert not spark.catalog.tableExists("w_k2") and spark.catalog.tableExists("w_k1")
+
+
+def test_time_bounds_look_at_each_time_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from medstar.operators import cube
+    looked, told = spark.sparkContext.accumulator(0), cube.is_month
+
+    @F.udf("string")
+    def seen(x):
+        looked.add(1)
+        return x
+
+    monkeypatch.setattr(cube, "is_month", lambda time: told(seen(time)))
+    rows = [("200001",), ("200112",), ("20000x",), ("000001",), (None,), ("",)] * 200
+    fact = spark.createDataFrame(rows, "inTimeId string").repartition(3)
+    assert cube.time_bounds(fact) == (cube.ms_of("200001"), cube.ms_of("200201"))
+    assert looked.value <= 30                      # 1,200 rows of six times
+    assert cube.time_bounds(fact.filter("inTimeId = '20000x' or inTimeId is null")) is None

@@ -139,3 +139,13 @@ def test_documents_are_written_by_all_tasks_one_file_a_name(spark, tmp_path):
     assert len({f.split("-")[1] for f in files}) > 1           # part numbers are tasks
     assert sorted(r["content"] for r in documents.read_documents(spark, folder).collect()) == sorted(
         "".join(f"text {j}\n" for j in range(i, 60, 40)) for i in range(40))
+
+
+def test_padded_numbers_equal_the_format(spark):
+    from pyspark.sql import functions as F
+
+    from medstar.sources.seed import padded
+    rows = [(v,) for v in (None, 0, 7, 99, 100, 999, 1000, 2**40, -1, -5, -12345)]
+    df = spark.createDataFrame(rows, "v long")
+    got = df.select(padded(F.col("v"), 3).alias("a"), F.format_string("%03d", "v").alias("b")).collect()
+    assert len(got) == len(rows) and all(r["a"] == r["b"] for r in got)
