@@ -20,22 +20,27 @@ below if a line of it can be near enough, with the substrings at those places
 root, a line has about as many probes as a tenth of its tokens, and segments
 grow with the line.
 
-Verification is a banded bit-parallel edit distance: the cells of a column that
-lie in the band are the bits of one number per error level, updated with a few
-bit operations for each token (after Wu and Manber, 1992).  The common beginning
-and end of two lines are set aside first, and it stops once more edits than
-allowed are certain.
+Verification.  A token's hash is cut to 20 bits, one code point, so that a line
+is a string and Spark's own ``levenshtein`` with a limit tells most pairs apart:
+two tokens may get one code point, so that its distance is never too large.  It
+is the distance if the tokens of both lines have as many code points as there
+are tokens; if not, ``within`` works on the whole hashes, a banded bit-parallel
+edit distance: the cells of a column that lie in the band are the bits of one
+number per error level, updated with a few bit operations for each token (after
+Wu and Manber, 1992).
 
 Scale.  Equal lines are one row from a map-side aggregation on.  Only hashes are
-shuffled for the join of segments with probes.  Lines that share a segment of
-more than ``HOT`` lines are not paired at once: what is left of a line without
-that segment differs by as many edits at most, so it is split and probed again,
-which sets lines apart that share a passage only; ``LEVELS`` times, then every
-pair that is still together is verified.  No candidate is dropped, so the links
-are exactly all pairs within the budget, and the groups their connected
-components.  The links of a group of near copies are as many as its pairs within
-the budget, with the square of its lines: that is the result's own size.  Pairs
-are numbers only, distinct before they are verified.
+shuffled for the join of segments with probes; a line's own segments are among
+its probes, so both are made at once.  Lines that share a segment of more than
+``HOT`` lines are dealt into chunks of about ``CHUNK`` lines of one length, and
+two chunks whose lengths allow a link are one row, which any task can compare:
+each pair of lines is looked at, none becomes a row of its own.  A pair that
+shares several such segments counts with the smallest one only.  The comparisons
+in a group of near copies, and its links, grow with the square of its lines; the
+rows do with that square divided by ``CHUNK``.  From two chunks, ``line_dedup``
+takes each line's number of links and one line of its component there,
+``line_links`` every link.  No candidate is dropped, so the links are exactly
+all pairs within the budget, and the groups their connected components.
 
 Result: one row for each line of each document with a token: its class (equal
 lines), the number of its copies, its group, the number of its verified links,
@@ -57,7 +62,7 @@ from pyspark.sql import functions as F
 from medstar.llm.common import cut
 from medstar.llm.components import components
 
-PER_EDIT, MAX_EDITS, HOT, LEVELS, BROADCAST_IDS = 8, 30, 12, 2, 2_000_000
+PER_EDIT, MAX_EDITS, HOT, CHUNK, BROADCAST_IDS = 8, 30, 12, 200, 2_000_000
 _ALONE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
 TOKEN = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_ALONE}]]+|\S"
 
@@ -77,62 +82,65 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def tokens(line: Column) -> Column:
+def _words(line: Column) -> Column:
     blanks = "\t\r\x0b\x0c\xa0"
     odd = line.contains("\t") | line.contains("\r") | line.contains("\x0b") | line.contains(
         "\x0c") | line.contains("\xa0")
     plain = F.when(odd, F.translate(line, blanks, " " * len(blanks))).otherwise(line)
-    words = F.filter(F.split(plain, " "), lambda w: w != "")
+    words = F.split(plain, " ")
     wide = F.octet_length(line) > 2 * F.length(line)
-    return F.transform(F.when(wide, F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0))).otherwise(words),
-                       lambda w: F.xxhash64(w))
+    loose = odd | line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    return (F.when(wide, F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0)))
+            .when(loose, F.filter(words, lambda w: w != "")).otherwise(words))
 
 
-def _entries(x: Column, t: Column, length: Column, base: Column, home: bool) -> Column:
-    """Keys of the substrings of ``x`` that can be whole segments of a line with
-    budget ``t``, whose first ``length`` tokens are split; ``home``: only those
-    of ``x`` itself.  Each with its place ``p`` and width ``w``."""
-    w = F.floor(length / (t + 1)).cast("int")
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-    def of(w: Column) -> Column:
-        def segment(i: Column) -> Column:
-            # edits before the segment make its move, edits after it the rest
-            moves = F.sequence(F.lit(0), F.lit(0)) if home else F.sequence(F.greatest(-i, i - t), i)
-            return F.transform(moves, lambda s: F.struct(
-                (i * w + s).alias("p"), w.alias("w"), i.alias("i")))
 
-        places = F.flatten(F.transform(F.sequence(F.lit(0), t), segment))
-        inside = F.filter(places, lambda e: (e["p"] >= 0) & (e["p"] + w <= F.size(x)))
-        return F.transform(inside, lambda e: F.struct(
-            F.xxhash64(base, t, e["i"], F.slice(x, e["p"] + 1, w)).alias("key"),
-            e["p"].alias("p"), w.alias("w")))
+def tokens(line: Column) -> Column:
+    return _hashes(_words(line))
+
 
-    return F.when((t > 0) & (w > 0), _let(w, of))
+def _code(h: Column) -> Column:
+    return h.bitwiseAND(0xFFFFF)
 
 
-def _measured(lines: DataFrame) -> DataFrame:
-    """(id, x, n, t): tokens, their number and the budget of each line."""
-    return (lines.select("id", F.explode(F.array(tokens(F.col("line")))).alias("x"))
-            .select("id", "x", F.size("x").alias("n"), budget(F.size("x")).alias("t"))
-            .filter("t > 0"))
+def _coded(x: Column) -> Column:
+    """The tokens as a string of one code point each."""
+    digits = F.transform(x, lambda h: F.lpad(F.hex(_code(h) + 0x10000), 8, "0"))
+    return F.decode(F.unhex(F.array_join(digits, "")), "UTF-32")
 
 
-def _index(measured: DataFrame) -> DataFrame:
-    """(a, n, x, t, e): a line's own segments."""
-    t = F.col("t")
-    return measured.select(F.col("id").alias("a"), "n", "x", "t", F.explode(
-        _entries(F.col("x"), t, _least(t), F.lit(0), True)).alias("e"))
+def _entries(x: Column, t: Column, home: Column) -> Column:
+    """Keys of the substrings of ``x`` that can be whole segments of a line with
+    budget ``t``; ``own``: a segment of ``x`` itself, if ``home`` is its class."""
+    def of(w: Column) -> Column:
+        def segment(i: Column) -> Column:
+            # edits before the segment make its move, edits after it the rest
+            first = i * w + 1
+            return F.transform(F.sequence(first + F.greatest(-i, i - t), first + i), lambda p: F.when(
+                p + w <= F.size(x) + 1, F.struct(F.xxhash64(t, i, F.slice(x, p, w)).alias("key"),
+                                                 t.alias("t"), (home & (p == first)).alias("own"))))
 
+        return F.flatten(F.transform(F.sequence(F.lit(0), t), segment))
 
-def _probes(measured: DataFrame) -> DataFrame:
-    """(b, n, x, t, e): probes of a line in its class and the one below, as far
-    as a line there can be as near as that class's budget."""
-    t, n, x = F.col("t"), F.col("n"), F.col("x")
+    return _let(F.floor(_least(t) / (t + 1)).cast("int"), of)
+
+
+def _probes(lines: DataFrame) -> DataFrame:
+    """(id, n, t, key, own): probes of a line in its class and the one below, as
+    far as a line there can be as near as that class's budget."""
+    t, n, words = F.col("t"), F.col("n"), F.col("words")
     below = F.when((t > 1) & (n - (t - 1) < _least(t)), t - 1)
-    both = F.array_compact(F.array(t, below))
-    return (measured.withColumn("t", F.explode(both))
-            .select(F.col("id").alias("b"), "n", "x", "t", F.explode(
-                _entries(x, t, _least(t), F.lit(0), False)).alias("e")))
+    # no probe reaches behind the segments by more than the budget
+    x = _hashes(F.slice(words, F.lit(1), _least(t) + t))
+    entries = _let(x, lambda x: F.flatten(F.transform(
+        F.array_compact(F.array(t, below)), lambda c: _entries(x, c, c == t))))
+    return (lines.select("id", F.explode(F.array(_words(F.col("line")))).alias("words"))
+            .select("id", "words", F.size("words").alias("n"), budget(F.size("words")).alias("t"))
+            .filter("t > 0").select("id", "n", F.explode(entries).alias("e"))
+            .filter("e is not null").select("id", "n", "e.*"))
 
 
 def within(a: Column, b: Column, k: Column) -> Column:
@@ -206,93 +214,163 @@ def _each_line(docs: DataFrame) -> DataFrame:
             .filter(F.col("line").rlike(r"\S")))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, edits) of the pairs that are links, a < b."""
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = texts.select(F.col("id").alias("a"), F.col("x"))
-    second = texts.select(F.col("id").alias("b"), F.col("x").alias("y"))
-    x, y = F.col("x"), F.col("y")
-    ordered = F.size(x) <= F.size(y)
-    both = pairs.join(first, "a").join(second, "b").select(
-        "a", "b", F.when(ordered, x).otherwise(y).alias("x"), F.when(ordered, y).otherwise(x).alias("y"))
-    edits = within(x, y, budget(F.size("x")))
-    return both.select("a", "b", F.explode(F.array(edits)).alias("edits")).filter("edits is not null")
-
-
-def _near(index: DataFrame, probes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of index and probe rows of one segment that may be links."""
-    i, p = index.withColumnRenamed("n", "na"), probes.withColumnRenamed("n", "nb")
-    # of two equally long lines each probes the other
-    return (i.join(p, "key").filter("a != b and nb >= na and nb - na <= t and (nb > na or a < b)")
-            .select("a", "b"))
+def _edits(a: Column, b: Column, k: Column) -> Column:
+    """Least edits between two lines ``x`` with their code points ``s``, null if
+    more than ``k``; ``b`` is the longer one."""
+    def same(both: Column) -> Column:
+        return F.size(both) == F.size(F.array_distinct(F.transform(both, _code)))
 
+    def of(least: Column) -> Column:
+        alone = _let(F.array_distinct(F.concat(a["x"], b["x"])), same)
+        return F.when(least >= 0, F.when(alone, least).otherwise(within(a["x"], b["x"], k).cast("int")))
 
-def line_links(docs: DataFrame) -> DataFrame:
-    """All verified links (a, b, edits) between classes of lines; see the
-    module's docstring."""
+    return _let(F.call_function("levenshtein", a["s"], b["s"], k), of)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, edits) of the pairs that are links, a < b; those of lines with a
+    segment of many lines in common are left to the chunks."""
+    one = texts.select(F.col("id").alias("a"), F.struct("x", "s", "own").alias("one"))
+    two = texts.select(F.col("id").alias("b"), F.struct("x", "s", "probes").alias("two"))
+    both = pairs.distinct().join(one, "a").join(two, "b").filter(
+        ~F.arrays_overlap("one.own", "two.probes"))
+    edits = _edits(F.col("one"), F.col("two"), budget(F.size("one.x")))
+    return (both.select("a", "b", F.explode(F.array(edits)).alias("edits")).filter("edits is not null")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "edits"))
+
+
+def _chunks(hot: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, t, n, chunk, home, lines): lines of one length that share a segment;
+    ``home``: with lines whose own segment it is."""
+    lines = hot.groupBy("key", "b").agg(
+        F.max("own").alias("home"), F.first("n").alias("n"), F.first("t").alias("t"))
+    sizes = lines.groupBy("key", "n").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    return (lines.join(sizes, ["key", "n"]).join(texts.withColumnRenamed("id", "b"), "b")
+            .withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
+            .groupBy("key", "t", "n", "chunk").agg(F.max("home").alias("home"), F.collect_list(
+                F.struct(F.col("b").alias("id"), "home", "x", "s", "own", "probes")).alias("lines")))
+
+
+def _chunk_pairs(chunks: DataFrame) -> DataFrame:
+    """(i, j, cells): every two chunks of a segment whose lengths allow a link;
+    ``cells``: for each line of ``j`` and each of ``i`` their edits, or null."""
+    places = chunks.select("key", "t", "n", "chunk", "home")
+    one = places.filter("home").select("key", "t", F.col("n").alias("ni"), F.col("chunk").alias("ci"))
+    two = places.select("key", F.col("n").alias("nj"), F.col("chunk").alias("cj"))
+    lines = chunks.select("key", "n", "chunk", "lines")
+    pairs = (one.join(two, "key").filter("nj >= ni and nj - ni <= t")
+             .join(lines.toDF("key", "ni", "ci", "i"), ["key", "ni", "ci"])
+             .join(lines.toDF("key", "nj", "cj", "j"), ["key", "nj", "cj"]))
+    # comparing takes long for its few bytes: dealt by number, not by size
+    parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(parts, "key", "ni", "ci", "nj", "cj")
+    key, t, longer = F.col("key"), F.col("t"), F.col("nj") > F.col("ni")
+
+    def cell(a: Column, b: Column) -> Column:
+        # the pair counts with the smallest of the segments that both have
+        first = F.array_min(F.array_intersect(a["own"], b["probes"])) == key
+        # of two equally long lines each probes the other
+        return F.when(a["home"] & (longer | (a["id"] < b["id"])), _let(
+            _edits(a, b, t), lambda e: F.when(e.isNotNull() & first, e)))
+
+    cells = F.transform("j", lambda b: F.transform("i", lambda a: cell(a, b)))
+    ids = lambda c: F.transform(c, lambda x: x["id"]).alias(c)
+    return (pairs.select("i", "j", F.explode(F.array(cells)).alias("cells"))
+            .filter(F.exists("cells", lambda row: F.exists(row, lambda e: e.isNotNull())))
+            .select(ids("i"), ids("j"), "cells"))
+
+
+def _links_of(cells: DataFrame) -> DataFrame:
+    """(a, b, edits) of every link, a < b."""
+    links = F.flatten(F.transform("cells", lambda row, j: F.filter(F.transform(row, lambda e, i: F.struct(
+        F.get("i", i).alias("a"), F.get("j", j).alias("b"), e.alias("edits"))), lambda e: e["edits"].isNotNull())))
+    return cells.select(F.explode(links).alias("e")).select(
+        F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b"), "e.edits")
+
+
+def _sums_of(cells: DataFrame) -> DataFrame:
+    """(id, n_links, near): the number of links of a line between two chunks,
+    and one line for each component that these links make."""
+    def linked(row: Column, label: Column) -> Column:
+        return F.array_distinct(F.array_compact(F.transform(
+            row, lambda e, i: F.when(e.isNotNull(), F.get(label, i)))))
+
+    def merged(label: Column, row: Column) -> Column:
+        return _let(linked(row, label), lambda met: F.when(F.size(met) < 2, label).otherwise(
+            _let(F.array_min(met), lambda least: F.transform(
+                label, lambda x: F.when(F.array_contains(met, x), least).otherwise(x)))))
+
+    # lines of i that a line of j links get one label, the place of one of them
+    start = F.transform("i", lambda _, at: at)
+    labels = F.explode(F.array(F.aggregate("cells", start, merged))).alias("label")
+    label = F.col("label")
+
+    def of(id_: Column, n: Column, near: Column) -> Column:
+        return F.struct(id_.alias("id"), n.cast("long").alias("n_links"), F.get("i", near).alias("near"))
+
+    ones = F.transform("i", lambda a, i: of(a, F.size(F.filter(
+        "cells", lambda row: F.get(row, i).isNotNull())), F.get(label, i)))
+    twos = F.transform("cells", lambda row, j: of(F.get("j", j), F.size(F.filter(
+        row, lambda e: e.isNotNull())), F.get(linked(row, label), F.lit(0))))
+    return (cells.select("i", "j", "cells", labels)
+            .select(F.explode(F.filter(F.concat(ones, twos), lambda e: e["n_links"] > 0)).alias("e"))
+            .select("e.*"))
+
+
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The links of lines without a segment of many lines in common, and the
+    compared chunks with all others; see the module's docstring."""
     each = _each_line(docs).select(F.xxhash64("line").alias("id"), "line")
-    lines = each.groupBy("id").agg(F.first("line").alias("line"))
-    measured = _measured(lines)
-    index = (_index(measured).groupBy("e.key").agg(
-        F.min(F.struct("a", "n")).alias("one"), F.count("*").alias("lines")))
+    probes = cut(_probes(each.groupBy("id").agg(F.first("line").alias("line"))), "line-probes")
+    index = probes.filter("own").groupBy("key").agg(
+        F.min(F.struct("id", "n")).alias("one"), F.count("*").alias("lines"))
     # a segment of one line is a pair with each probe; the others follow
-    hits = cut(_probes(measured).select("b", "n", "t", "e.key").join(index, "key")
-               .filter("lines > 1 or (one.a != b and n >= one.n and n - one.n <= t)")
-               .select("key", "lines", "b", "n", "t", F.col("one.a").alias("a")), "line-hits")
+    hits = cut(probes.withColumnRenamed("id", "b").join(index, "key")
+               .filter("lines > 1 or (one.id != b and n - one.n <= t and "
+                       "(n > one.n or (n = one.n and one.id < b)))")
+               .select("key", "lines", "b", "n", "t", "own", F.col("one.id").alias("a")), "line-hits")
     # every line of a shared segment probes it itself
     ids = cut(hits.select(F.col("b").alias("id")).union(
         hits.filter("lines = 1").select(F.col("a").alias("id"))).distinct(), "line-ids")
     # ids of a size that has been counted meet the lines where they are read
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = cut(_measured(each.join(wanted, "id", "left_semi").groupBy("id").agg(
-        F.first("line").alias("line"))), "line-texts")
-    pairs = [hits.filter("lines = 1").select("a", "b")]
+    hot = hits.filter(f"lines > {HOT}")
+    keys = hot.groupBy(F.col("b").alias("id")).agg(
+        F.collect_set(F.when(F.col("own"), F.col("key"))).alias("own"), F.collect_set("key").alias("probes"))
+    none = F.array().cast("array<bigint>")
+    texts = cut(each.join(wanted, "id", "left_semi").groupBy("id").agg(F.first("line").alias("line"))
+                .select("id", F.explode(F.array(tokens(F.col("line")))).alias("x"))
+                .select("id", "x", _coded(F.col("x")).alias("s")).join(keys, "id", "left")
+                .withColumns({c: F.coalesce(c, none) for c in ("own", "probes")}), "line-texts")
     # segments of a few lines: numbers only
     some = hits.filter(f"lines > 1 and lines <= {HOT}")
-    pairs.append(_near(_index(texts).select("a", "n", "t", "e.key")
-                       .join(some.select("key").distinct(), "key"), some.select("key", "b", "n")))
-    links = [cut(_verified(pairs[0].union(pairs[1]), texts), "line-links")]
-    hot = cut(hits.filter(f"lines > {HOT}").select("key").distinct(), "line-hot")
-    # segments of many lines: their lines with tokens and the segment's place
-    flat, length = ["n", "x", "t", "e.*"], _least(F.col("t"))
-    index = _index(texts).select("a", *flat, length.alias("length")).join(hot, "key")
-    probes = _probes(texts).select("b", *flat, length.alias("length")).join(hot, "key")
-    for level in range(LEVELS):
-        if hot.isEmpty():
-            break
-        last = level + 1 == LEVELS                             # tokens aren't split again
-        index = cut(_again(index, "a", not last), "line-rest")
-        probes = cut(_again(probes, "b", not last), "line-rest")
-        few, rest = index, probes
-        if not last:
-            keys = cut(index.groupBy("key").agg(F.count("*").alias("lines")), "line-keys")
-            cool, hot = keys.filter(f"lines <= {HOT}").select("key"), keys.filter(
-                f"lines > {HOT}").select("key")
-            few, rest = index.join(cool, "key"), probes.join(cool, "key")
-            index, probes = index.join(hot, "key"), probes.join(hot, "key")
-        links.append(cut(_verified(_near(few.select("key", "t", "a", "n"),
-                                         rest.select("key", "b", "n")), texts), "line-links"))
-    out = links[0]
-    for more in links[1:]:
-        out = out.union(more)
-    return out.distinct()
-
-
-def _again(rows: DataFrame, own: str, more: bool) -> DataFrame:
-    """The lines of a segment without it, split anew: by all places a segment of
-    the rest can have, or by its own ones for the index; ``more``: with the
-    tokens of the rest."""
-    x, p, w, t = F.col("x"), F.col("p"), F.col("w"), F.col("t")
-    rest = F.concat(F.slice(x, F.lit(1), p), F.slice(x, p + w + 1, F.size(x)))
-    rows = rows.select(
-        own, "n", "t", F.col("key").alias("base"), F.explode(F.array(rest)).alias("x"),
-        (F.col("length") - w).alias("length"))
-    entries = _entries(F.col("x"), t, F.col("length"), F.col("base"), own == "a")
-    # lines too short to split any further stay together
-    whole = F.array(F.struct(F.col("base").alias("key"), F.lit(0).alias("p"), F.lit(0).alias("w")))
-    rows = rows.withColumn("e", F.explode(F.coalesce(entries, whole)))
-    kept = [own, "n", "t"]
-    return rows.select(*kept, "x", "length", "e.*") if more else rows.select(*kept, "e.key")
+    near = (some.filter("own").select("key", F.col("b").alias("a"), F.col("n").alias("na"))
+            .join(some.select("key", "t", "b", "n"), "key")
+            .filter("a != b and n >= na and n - na <= t and (n > na or a < b)").select("a", "b"))
+    links = cut(_verified(hits.filter("lines = 1").select("a", "b").union(near), texts), "line-links")
+    if hot.isEmpty():
+        return links, None
+    return links, _chunk_pairs(cut(_chunks(hot, texts), "line-chunks"))
+
+
+def line_links(docs: DataFrame) -> DataFrame:
+    """All verified links (a, b, edits) between classes of lines; see the
+    module's docstring."""
+    links, cells = _found(docs)
+    return links if cells is None else links.union(_links_of(cells))
+
+
+def _linked(docs: DataFrame) -> DataFrame:
+    """(class_id, n_links, group_id) of the classes of lines with a link."""
+    links, cells = _found(docs)
+    sums = links.select(F.col("a").alias("id"), F.lit(1).cast("long").alias("n_links"), F.col("b").alias("near")).union(
+        links.select("b", F.lit(1).cast("long"), "a"))
+    if cells is not None:
+        sums = sums.union(_sums_of(cells))
+    sums = cut(sums, "line-sums")
+    degrees = sums.groupBy(F.col("id").alias("class_id")).agg(F.sum("n_links").alias("n_links"))
+    return degrees.join(components(sums, "id", "near").select(
+        F.col("node").alias("class_id"), F.col("label").alias("group_id")), "class_id")
 
 
 def _order(doc_id: Column, line_no: Column) -> Column:
@@ -306,11 +384,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     classes = rows.groupBy("class_id").agg(
         F.min(_order(F.col("doc_id"), F.col("line_no"))).alias("first"),
         F.count("*").alias("n_copies"))
-    links = cut(line_links(docs), "line-links")
-    ends = links.select(F.col("a").alias("x")).union(links.select(F.col("b").alias("x")))
-    degrees = ends.groupBy(F.col("x").alias("class_id")).agg(F.count("*").alias("n_links"))
-    linked = degrees.join(components(links).select(F.col("node").alias("class_id"),
-                                                   F.col("label").alias("group_id")), "class_id")
+    linked = _linked(docs)
     of = cut(classes.join(linked, "class_id", "left").select(
         "class_id", "first", "n_copies", F.coalesce("group_id", "class_id").alias("group_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "line-classes")

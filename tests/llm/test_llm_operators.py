@@ -446,6 +446,32 @@ def test_no_link_of_near_copies_is_left_out(spark):
     assert len(want) > 10 * len(lines)
 
 
+@pytest.mark.parametrize("hot, chunk", [(12, 50), (1, 3)])
+def test_links_are_counted_without_a_row_for_each(spark, monkeypatch, hot, chunk):
+    monkeypatch.setattr(line_edit_join, "HOT", hot)
+    monkeypatch.setattr(line_edit_join, "CHUNK", chunk)
+    rng, v, lines = random.Random(31), vocabulary(31, 40), set()
+    for n, copies in ((60, 200), (20, 12), (33, 12)) if hot > 1 else ((20, 12), (33, 12), (71, 9), (72, 9)):
+        base = rng.choices(v, k=n)
+        for _ in range(copies):
+            ws = list(base) if copies == 200 else edited(base, rng.randint(1, 4), rng)
+            ws[rng.randrange(len(ws))] = "".join(rng.choice("abcdef") for _ in range(6))
+            lines.add(" ".join(ws))
+    d, handed, plain = frame(spark, sorted(lines)), [], line_edit_join.components
+    links = {(r["a"], r["b"]) for r in line_edit_join.line_links(d).collect()}
+
+    def recorded(given, *ends):
+        handed.append(given.count())
+        return plain(given, *ends)
+
+    monkeypatch.setattr(line_edit_join, "components", recorded)
+    got = line_edit_join.line_dedup(d).toPandas()
+    degrees = Counter(x for pair in links for x in pair)
+    assert dict(zip(got["class_id"], got["n_links"])) == {x: degrees[x] for x in got["class_id"]}
+    assert {frozenset(g) for _, g in got.groupby("group_id")["class_id"]} == groups_of(got["class_id"], links)
+    assert hot == 1 or (len(links) > 10_000 and handed[0] < len(links) / 2)
+
+
 def test_long_lines_and_one_word_of_many(spark):
     v, rng = vocabulary(9, 300), random.Random(9)
     long_ = rng.choices(v, k=2000)
